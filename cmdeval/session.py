@@ -51,3 +51,47 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path below the shared folder."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ensure_package_on_workers(spark: SparkSession) -> None:
+    """Make ``cmdeval`` importable in Python workers (once per application).
+
+    When the shared folder is a local path (local mode, tests) the package is
+    zipped there and added with ``addPyFile``. On a cluster, ship it with
+    ``--py-files`` or install it on the executors.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    base = shared_dir(spark)
+    local = base[len("file:"):] if base.startswith("file:") else base
+    if "://" in local:
+        _SHIPPED.add(app)
+        return
+    import shutil
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(local, f"pyfiles-{uuid.uuid4().hex}")
+    os.makedirs(target, exist_ok=True)
+    archive = shutil.make_archive(os.path.join(target, "cmdeval"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="cmdeval")
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin a scan of few files over the cores before CPU-bound row work.
+
+    A single small Parquet file with one row group is read by one task; with
+    as many files as cores (the cluster case) the scan already splits and
+    nothing is added. The partition count is explicit, so adaptive execution
+    keeps it.
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= want:
+        return df
+    return df.repartition(want)
