@@ -61,11 +61,14 @@ def token_counts(df: DataFrame, keys: list[str], pred: str = "clean_prediction",
     Grams are exploded and counted with a grouped count, which combines
     map-side before the shuffle.
     """
+    def tag(side: str, n: int):
+        # One-argument lambda: transform() reads a second parameter as the index.
+        return lambda g: F.struct(F.lit(side).alias("side"), F.lit(n).cast("bigint").alias("n"),
+                                  g.alias("gram"))
+
     def tagged(col: str, side: str):
         tok = tokens(col)
-        return [F.transform(ngrams(tok, n), lambda g, n=n: F.struct(
-            F.lit(side).alias("side"), F.lit(n).cast("bigint").alias("n"), g.alias("gram")))
-            for n in ORDERS]
+        return [F.transform(ngrams(tok, n), tag(side, n)) for n in ORDERS]
 
     items = F.concat(*tagged(pred, "pred"), *tagged(gold, "gold"))
     return (df.select(*keys, F.explode(items).alias("it"))

@@ -223,11 +223,12 @@ def q_log_tail(spark, d):
 
 def q_stream_log_tail(spark, d):
     src = scratch_path(spark, "log-src")
-    _run_log(spark, d).write.json(src)
+    log = _run_log(spark, d).withColumn("ts", fixtures.utc_instant("ts"))
+    log.write.option("timestampFormat", streaming.LOG_TS_FORMAT).json(src)
     out = scratch_path(spark, "log-tail")
     stream = streaming.tail_log(spark, src)
     streaming.run_availablenow(stream, out, out + "-ckpt")
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).select("run_id", "step", fixtures.utc_wall("ts").alias("ts"), "loss")
 
 
 def q_stream_eval(spark, d):
@@ -247,15 +248,15 @@ STREAM_WATERMARK = "1 hour"
 
 def q_stream_telemetry(spark, d):
     src = scratch_path(spark, "gpu-src")
-    _gpu(spark, d).withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(src)
+    _gpu(spark, d).withColumn("ts", fixtures.utc_instant("ts")).write.parquet(src)
     schema = spark.read.parquet(src).schema
     samples = spark.readStream.schema(schema).parquet(src)
     out = scratch_path(spark, "gpu-windows")
     windows = streaming.telemetry_windows(samples, STREAM_WINDOW, STREAM_WATERMARK, by=("label",))
     streaming.run_availablenow(windows, out, out + "-ckpt")
     return spark.read.parquet(out).select(
-        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+        fixtures.utc_wall("window_start").alias("window_start"),
+        fixtures.utc_wall("window_end").alias("window_end"),
         "label", "n_samples", "peak_reserved_bytes")
 
 

@@ -1,4 +1,4 @@
-from .streams import (finish_running, run_availablenow, running_evaluation, tail_log,
+from .streams import (LOG_TS_FORMAT, finish_running, run_availablenow, running_evaluation, tail_log,
                       telemetry_windows)
 
 __all__ = ["finish_running", "run_availablenow", "running_evaluation", "tail_log",

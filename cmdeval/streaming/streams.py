@@ -18,11 +18,17 @@ from ..operators.scoring import score_pairs
 from ..sources.schemas import RUN_LOG_SCHEMA
 
 
+# Log files carry microsecond timestamps with an explicit zone.
+LOG_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
 def tail_log(spark: SparkSession, source_dir: str, schema: T.StructType = RUN_LOG_SCHEMA,
              fmt: str = "json", run_ids: Sequence[str] | None = None, min_step: int | None = None,
              max_files_per_trigger: int | None = None) -> DataFrame:
     """``tail -f`` over a folder of log files: new records as they land."""
     reader = spark.readStream.schema(schema).format(fmt)
+    if fmt == "json":
+        reader = reader.option("timestampFormat", LOG_TS_FORMAT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     df = reader.load(source_dir)
