@@ -34,6 +34,9 @@ POSIX_BLANK = " \t\x0b\x0c"
 # Python `\w+|[^\w\s]` with Unicode classes, written for Java regex and RE2:
 # word = [\p{L}\p{N}_], space = [\x09-\x0d\x1c-\x20\x{85}\p{Z}].
 TOKEN_PATTERN = r"([\p{L}\p{N}_]+|[^\p{L}\p{N}_\x09-\x0d\x1c-\x20\x{85}\p{Z}])"
+# The same tokens for Java regex, without the group and with a possessive run
+# (the two alternatives are disjoint, so no match changes; RE2 lacks `++`).
+TOKEN_PATTERN_JAVA = r"[\p{L}\p{N}_]++|[^\p{L}\p{N}_\x09-\x0d\x1c-\x20\x{85}\p{Z}]"
 
 CODE_FENCE = "```"
 COMMENT_MARK = "#"

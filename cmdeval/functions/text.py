@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..constants import (CODE_FENCE, COMMENT_MARK, IM_END, IM_START, POSIX_BLANK,
-                         PY_WHITESPACE, TOKEN_PATTERN)
+                         PY_WHITESPACE, TOKEN_PATTERN_JAVA)
 
 
 def _col(c: Column | str) -> Column:
@@ -66,7 +66,7 @@ def cut_at_stop(c: Column | str) -> Column:
 
 def tokens(c: Column | str) -> Column:
     """Lower-cased word runs and single non-space symbols (Unicode classes)."""
-    return F.regexp_extract_all(F.lower(_col(c)), F.lit(TOKEN_PATTERN), 1)
+    return F.regexp_extract_all(F.lower(_col(c)), F.lit(TOKEN_PATTERN_JAVA), 0)
 
 
 def ngrams(tok: Column | str, n: int) -> Column:

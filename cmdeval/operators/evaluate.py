@@ -63,9 +63,13 @@ def score(suite: DataFrame, responses: DataFrame, models: Sequence[str],
     paired = pair_with_responses(suite, responses, models, dedupe)
     cleaned = paired.withColumn("clean_prediction", clean_command("raw_prediction"))
     scored = score_pairs(cleaned, "clean_prediction", "gold")
-    return scored.select(*RESULT_COLUMNS,
-                         single_line("raw_prediction").alias("single_line"),
-                         output_chars("raw_prediction").alias("output_chars"))
+    return with_format_flags(scored.select(*RESULT_COLUMNS))
+
+
+def with_format_flags(results: DataFrame) -> DataFrame:
+    """``single_line`` and ``output_chars``, both functions of the stripped raw answer."""
+    return (results.withColumn("single_line", single_line("raw_prediction"))
+            .withColumn("output_chars", output_chars("raw_prediction")))
 
 
 def sample_results(results: DataFrame) -> DataFrame:

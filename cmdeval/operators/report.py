@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..constants import REPORT_METRICS
 from ..functions.metrics import round_half_even
-from .evaluate import sample_results
+from .evaluate import sample_results, summarise, with_format_flags
 
 
 def compare(summary: DataFrame, base: str, tuned: str,
@@ -75,17 +75,22 @@ def write_markdown(lines: DataFrame, path: str) -> None:
      .select("line").write.mode("overwrite").text(path))
 
 
-def write_json(results: DataFrame, summary: DataFrame, path: str) -> dict[str, str]:
-    """JSON report: ``summary/`` (one line per model and suite) and ``results/``.
+def write_json(results: DataFrame, path: str) -> dict[str, str]:
+    """JSON report: ``results/`` (detail records) and ``summary/``.
 
     Details are partitioned by model and suite and sorted by id inside every
-    file. They are never collected into one nested record: a suite can be far
-    larger than one task.
+    file; they are never gathered into one nested record, since a suite can
+    be far larger than one task. The summary is computed from the written
+    details (the format flags are recomputed from ``raw_prediction``), so
+    scoring runs once and the lineage is cut at the files.
     """
+    spark = results.sparkSession
     out = {"summary": f"{path}/summary", "results": f"{path}/results"}
-    summary.write.mode("overwrite").json(out["summary"])
-    (sample_results(results).sortWithinPartitions("model", "suite", "id")
+    details = sample_results(results)
+    (details.sortWithinPartitions("model", "suite", "id")
      .write.mode("overwrite").partitionBy("model", "suite").json(out["results"]))
+    written = spark.read.schema(details.schema).json(out["results"])
+    summarise(with_format_flags(written)).write.mode("overwrite").json(out["summary"])
     return out
 
 

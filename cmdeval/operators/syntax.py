@@ -51,10 +51,17 @@ def check(df: DataFrame, col: str = "clean_prediction", out: str = "syntax_valid
 
     Distinct commands (deduplicated map-side first) go through an
     Arrow-batched ``mapInPandas`` worker that forks one parser each, a few
-    at a time; the verdicts join back on the command text. NULL -> false.
+    at a time; the verdicts join back on the command text (adaptive
+    execution splits a skewed command key). NULL -> false.
     """
     ensure_package_on_workers(df.sparkSession)
-    cmds = df.select(F.col(col).alias("_cmd")).where(F.col("_cmd").isNotNull()).distinct()
+    spark = df.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism,
+                int(spark.conf.get("spark.sql.shuffle.partitions", "1")))
+    # distinct() combines map-side (a command that fills a third of the rows is
+    # one row after it); the round-robin spread keeps the forks on all cores.
+    cmds = (df.select(F.col(col).alias("_cmd")).where(F.col("_cmd").isNotNull()).distinct()
+            .repartition(tasks))
     fn = functools.partial(_check_batches, col="_cmd", timeout=timeout, parallelism=parallelism)
     checked = cmds.mapInPandas(fn, schema="_cmd string, _ok boolean").withColumnRenamed("_cmd", col)
     return (df.join(checked, on=col, how="left")

@@ -188,8 +188,7 @@ def q_markdown_report(spark, d):
 
 def q_json_report(spark, d):
     path = scratch_path(spark, "json-report")
-    results = _results(spark, d)
-    paths = report.write_json(results, evaluate.summarise(results), path)
+    paths = report.write_json(_results(spark, d), path)
     return spark.read.json(paths["results"])
 
 
