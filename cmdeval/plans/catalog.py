@@ -30,7 +30,8 @@ def _documents(spark, d):
 
 
 def _suite(spark, d):
-    return fixtures.suite_from_documents(_documents(spark, d))
+    # Spread after the projection so the exchange carries only what the query reads.
+    return spread(fixtures.suite_from_documents(table(spark, d, "documents")))
 
 
 def _sim(spark, d):
