@@ -42,7 +42,9 @@ def round_half_even(x: Column, digits: int) -> Column:
 
 
 def _tag(arr: Column, side: int) -> Column:
-    return F.transform(arr, lambda g: F.struct(g.alias("g"), F.lit(side).alias("s")))
+    """(gram, side) structs built natively: zip with a repeated side marker."""
+    return (F.arrays_zip(arr, F.array_repeat(F.lit(side), F.size(arr)))
+            .cast("array<struct<g:string,s:int>>"))
 
 
 def multiset_overlap(pred: Column | str, gold: Column | str) -> Column:

@@ -69,6 +69,14 @@ def tokens(c: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(_col(c)), F.lit(TOKEN_PATTERN_JAVA), 0)
 
 
+def next_order(prev: Column | str, tok: Column | str, n: int) -> Column:
+    """Order-``n`` grams from the order ``n-1`` grams and the tokens (one zip)."""
+    prev, tok = _col(prev), _col(tok)
+    width = F.greatest(F.size(tok) - F.lit(n - 1), F.lit(0))
+    return F.zip_with(F.slice(prev, 1, width), F.slice(tok, n, width),
+                      lambda a, b: F.concat(a, F.lit(" "), b))
+
+
 def ngrams(tok: Column | str, n: int) -> Column:
     """Sliding n-grams of a token array as space-joined strings.
 

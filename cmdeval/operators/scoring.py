@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..constants import BLEU_MAX_ORDER
 from ..functions.metrics import bleu4_from_counts, exact_match, f1_from_counts, multiset_overlap
-from ..functions.text import ngrams, tokens
+from ..functions.text import next_order, ngrams, tokens
 
 ORDERS = tuple(range(1, BLEU_MAX_ORDER + 1))
 
@@ -24,8 +24,17 @@ def with_overlaps(df: DataFrame, pred: str = "clean_prediction", gold: str = "go
     """
     out = (df.withColumn("_pt", tokens(pred)).withColumn("_gt", tokens(gold))
            .withColumn("_np", F.size("_pt")).withColumn("_ng", F.size("_gt")))
+    out = with_gram_orders(with_gram_orders(out, "_pt", "_p"), "_gt", "_g")
     for n in ORDERS:
-        out = out.withColumn(f"_m{n}", multiset_overlap(ngrams("_pt", n), ngrams("_gt", n)))
+        out = out.withColumn(f"_m{n}", multiset_overlap(f"_p{n}", f"_g{n}"))
+    return out.drop(*[f"{side}{n}" for side in ("_p", "_g") for n in ORDERS if n > 1])
+
+
+def with_gram_orders(df: DataFrame, tok: str, prefix: str) -> DataFrame:
+    """Columns ``prefix1..prefix4``: each order built from the previous one."""
+    out = df.withColumn(f"{prefix}1", F.col(tok))
+    for n in ORDERS[1:]:
+        out = out.withColumn(f"{prefix}{n}", next_order(f"{prefix}{n - 1}", tok, n))
     return out
 
 
@@ -37,7 +46,7 @@ def score_pairs(df: DataFrame, pred: str = "clean_prediction", gold: str = "gold
     out = (out.withColumn("em", exact_match(pred, gold))
            .withColumn("f1", f1_from_counts(F.col("_m1"), n_pred, n_gold))
            .withColumn("bleu4", bleu4_from_counts([F.col(f"_m{n}") for n in ORDERS], n_pred, n_gold)))
-    helpers = ["_pt", "_gt", "_np", "_ng"] + [f"_m{n}" for n in ORDERS]
+    helpers = ["_pt", "_gt", "_np", "_ng", "_p1", "_g1"] + [f"_m{n}" for n in ORDERS]
     return out if keep_counts else out.drop(*helpers)
 
 

@@ -80,7 +80,7 @@ ALPHABET = st.sampled_from(list("ab c-_.'\"$()|&;\t\n\r`#éßÄ1") + [" ", " 
 TEXT = st.lists(ALPHABET, max_size=40).map("".join)
 
 
-@settings(max_examples=60, deadline=None)
+@settings(max_examples=25, deadline=None)
 @given(st.lists(st.tuples(TEXT, TEXT), min_size=1, max_size=25))
 def test_metrics_match_python_definitions(spark, pairs):
     got = score_rows(spark, pairs)
@@ -93,7 +93,7 @@ def test_metrics_match_python_definitions(spark, pairs):
             assert 0.0 < row.bleu4 <= 1.0 + 1e-12
 
 
-@settings(max_examples=40, deadline=None)
+@settings(max_examples=20, deadline=None)
 @given(st.lists(TEXT, min_size=1, max_size=25))
 def test_strip_tokens_clean_match_python(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
@@ -104,7 +104,7 @@ def test_strip_tokens_clean_match_python(spark, texts):
         assert row.c == pyref.clean(t)
 
 
-@settings(max_examples=30, deadline=None)
+@settings(max_examples=10, deadline=None)
 @given(st.lists(st.tuples(TEXT, TEXT), min_size=1, max_size=10))
 def test_f1_symmetric(spark, pairs):
     a = score_rows(spark, pairs)
