@@ -37,30 +37,36 @@ def suite_union(*suites: tuple[str, DataFrame]) -> DataFrame:
     return out
 
 
-def pair_with_responses(suite: DataFrame, responses: DataFrame, models: Sequence[str],
-                        dedupe: bool = False) -> DataFrame:
-    """Grid left-joined to answers; a missing answer becomes ``("", 0.0)``.
-
-    The answer is stripped as it is read. ``is_error`` marks the defaults.
-    With ``dedupe`` a replayed answer counts once (smallest latency, then
-    text); the aggregate shares the join's partitioning, so no extra exchange.
+def pair_with_responses(suite: DataFrame, responses: DataFrame, models: Sequence[str]) -> DataFrame:
+    """Every (model, suite row) with its answer; a missing answer becomes ``("", 0.0)``.
+
+    Answers are folded per (suite, id) into one struct column per requested
+    model (a single aggregation that combines map-side; a replayed answer
+    counts once: smallest latency, then text). The suite joins that once on
+    (suite, id) and the models are exploded after the join, so each suite row
+    crosses the network once however many models there are. The answer is
+    stripped as it is read; ``is_error`` marks the defaults.
     """
-    resp = responses.select(*KEYS, "raw_prediction", "latency")
-    if dedupe:
-        resp = (resp.groupBy(*KEYS).agg(F.min(F.struct("latency", "raw_prediction")).alias("r"))
-                .select(*KEYS, "r.raw_prediction", "r.latency"))
-    joined = grid(suite, models).join(resp, KEYS, "left")
+    if not models:
+        raise ValueError("models must name at least one model")
+    models = list(dict.fromkeys(models))
+    answer = F.struct(F.col("latency").cast("double").alias("latency"), F.col("raw_prediction"))
+    folded = (responses.where(F.col("model").isin(models)).groupBy("suite", "id")
+              .agg(*[F.min(F.when(F.col("model") == m, answer)).alias(f"_a{i}") for i, m in enumerate(models)]))
+    per_model = F.array(*[F.struct(F.lit(m).alias("model"), F.col(f"_a{i}").alias("a"))
+                          for i, m in enumerate(models)])
+    joined = (suite.join(folded, ["suite", "id"], "left")
+              .select("suite", "id", "nl", "gold", F.inline(per_model)))
     return joined.select(
         *KEYS, "nl", "gold",
-        F.coalesce(strip("raw_prediction"), F.lit("")).alias("raw_prediction"),
-        F.coalesce(F.col("latency").cast("double"), F.lit(0.0)).alias("latency"),
-        F.col("raw_prediction").isNull().alias("is_error"))
+        F.coalesce(strip(F.col("a.raw_prediction")), F.lit("")).alias("raw_prediction"),
+        F.coalesce(F.col("a.latency"), F.lit(0.0)).alias("latency"),
+        F.col("a.raw_prediction").isNull().alias("is_error"))
 
 
-def score(suite: DataFrame, responses: DataFrame, models: Sequence[str],
-          dedupe: bool = False) -> DataFrame:
+def score(suite: DataFrame, responses: DataFrame, models: Sequence[str]) -> DataFrame:
     """Per-sample results (the detail record) plus the two flags summaries need."""
-    paired = pair_with_responses(suite, responses, models, dedupe)
+    paired = pair_with_responses(suite, responses, models)
     cleaned = paired.withColumn("clean_prediction", clean_command("raw_prediction"))
     scored = score_pairs(cleaned, "clean_prediction", "gold")
     return with_format_flags(scored.select(*RESULT_COLUMNS))
