@@ -106,3 +106,25 @@ def training_plan(pairs: DataFrame, seed: int = TRAIN_SEED, rows_per_step: int =
     rank = F.row_number().over(Window.orderBy("order_key", id_col))
     return (head.withColumn("rank", rank.cast("bigint"))
             .withColumn("step", (F.floor((F.col("rank") - 1) / rows_per_step) + 1).cast("bigint")))
+
+
+def map_batches(df: DataFrame, fn, schema) -> DataFrame:
+    """A user's batched column map (dict of column lists in, dict out), run per Arrow batch.
+
+    ``fn`` receives ``{column: list}`` for one batch and returns the output
+    columns as ``{column: list}`` of the same length; ``schema`` declares
+    them. Built-in column functions are faster: use this only for logic they
+    cannot express.
+    """
+    import pyarrow as pa
+
+    from ..session import ensure_package_on_workers
+
+    ensure_package_on_workers(df.sparkSession)
+
+    def per_partition(batches):
+        for batch in batches:
+            out = fn(batch.to_pydict())
+            yield pa.RecordBatch.from_pydict(out)
+
+    return df.mapInArrow(per_partition, schema)

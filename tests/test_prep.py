@@ -65,3 +65,12 @@ def test_training_plan_bounded_and_deterministic(spark):
     allk = sorted(r.k for r in df.select(F.md5(F.concat(F.lit("3407:"), F.col("pair_id").cast("string"))).alias("k"))
                   .collect())
     assert keys == allk[:20]
+
+
+def test_map_batches(spark):
+    def _upper_commands(batch):  # local, so it is pickled by value
+        return {"pair_id": batch["pair_id"], "text": [c.upper() for c in batch["command"]]}
+
+    df = spark.createDataFrame([(i, f"ls {i}") for i in range(50)], "pair_id long, command string")
+    got = {r.pair_id: r.text for r in prep.map_batches(df, _upper_commands, "pair_id long, text string").collect()}
+    assert len(got) == 50 and got[7] == "LS 7"
