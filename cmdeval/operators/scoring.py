@@ -26,7 +26,9 @@ def with_overlaps(df: DataFrame, pred: str = "clean_prediction", gold: str = "go
            .withColumn("_np", F.size("_pt")).withColumn("_ng", F.size("_gt")))
     out = with_gram_orders(with_gram_orders(out, "_pt", "_p"), "_gt", "_g")
     for n in ORDERS:
-        out = out.withColumn(f"_m{n}", multiset_overlap(f"_p{n}", f"_g{n}"))
+        # An order missing on either side has no grams to match.
+        both = (F.col("_np") >= n) & (F.col("_ng") >= n)
+        out = out.withColumn(f"_m{n}", F.when(both, multiset_overlap(f"_p{n}", f"_g{n}")).otherwise(F.lit(0)))
     return out.drop(*[f"{side}{n}" for side in ("_p", "_g") for n in ORDERS if n > 1])
 
 
