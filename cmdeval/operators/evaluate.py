@@ -64,12 +64,20 @@ def pair_with_responses(suite: DataFrame, responses: DataFrame, models: Sequence
         F.col("a.raw_prediction").isNull().alias("is_error"))
 
 
-def score(suite: DataFrame, responses: DataFrame, models: Sequence[str]) -> DataFrame:
-    """Per-sample results (the detail record) plus the two flags summaries need."""
+def score(suite: DataFrame, responses: DataFrame, models: Sequence[str],
+          check_syntax: bool = False) -> DataFrame:
+    """Per-sample results (the detail record) plus the two flags summaries need.
+
+    ``check_syntax`` adds ``syntax_valid`` (``bash -n`` once per distinct
+    cleaned command).
+    """
     paired = pair_with_responses(suite, responses, models)
     cleaned = paired.withColumn("clean_prediction", clean_command("raw_prediction"))
-    scored = score_pairs(cleaned, "clean_prediction", "gold")
-    return with_format_flags(scored.select(*RESULT_COLUMNS))
+    scored = score_pairs(cleaned, "clean_prediction", "gold").select(*RESULT_COLUMNS)
+    if check_syntax:
+        from .syntax import check
+        scored = check(scored, "clean_prediction", "syntax_valid")
+    return with_format_flags(scored)
 
 
 def with_format_flags(results: DataFrame) -> DataFrame:

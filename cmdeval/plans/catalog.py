@@ -179,6 +179,11 @@ def q_suite_summary(spark, d):
     return _summary(spark, d)
 
 
+def q_suite_summary_full(spark, d):
+    """All seven published metrics, syntax validity included (rows only)."""
+    return evaluate.summarise(evaluate.score(_suite(spark, d), _sim(spark, d), MODELS, check_syntax=True))
+
+
 def q_model_compare(spark, d):
     return report.compare(_summary(spark, d), "base", "tuned")
 
@@ -281,6 +286,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "suite_union": q_suite_union,
     "sample_results": q_sample_results,
     "suite_summary": q_suite_summary,
+    "suite_summary_full": q_suite_summary_full,
     "model_compare": q_model_compare,
     "markdown_report": q_markdown_report,
     "json_report": q_json_report,
