@@ -36,3 +36,42 @@ def test_log_tail_limits_before_shuffle(spark):
 def test_scan_prunes_columns(spark):
     p = plan(catalog.q_loss_convergence(spark, SF001))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,value:double>" in p
+
+
+def test_suite_text_shuffles_once_per_row(spark):
+    """Without broadcast, the suite side is hash-shuffled once (not per model)."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(catalog.q_sample_results(spark, SF001))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    hashed = [l for l in p.split("\n") if "Exchange hashpartitioning" in l]
+    assert len(hashed) == 2  # one per join side
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_token_counts_shuffles_pairs_not_grams(spark):
+    df = spark.createDataFrame([("m", "s", 1, "ls -la", "ls -l")],
+                               "model string, suite string, id long, clean_prediction string, gold string")
+    p = plan(scoring.token_counts(df, ["model", "suite", "id"]))
+    exchanges = [l for l in p.split("\n") if "Exchange" in l]
+    assert len(exchanges) == 1 and "REPARTITION_BY_COL" in exchanges[0]
+
+
+def test_hot_command_key_survives(spark):
+    """A command that fills a third of the rows is checked once and joined back whole."""
+    from cmdeval.operators import syntax
+    rows = [(i, "" if i % 3 == 0 else f"echo {i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, cmd string")
+    out = syntax.check(df, "cmd", "ok")
+    assert out.count() == 300 and out.where("ok").count() == 300
+
+
+def test_spread_is_noop_with_many_files(spark):
+    from cmdeval.session import scratch_path, spread
+    path = scratch_path(spark, "many")
+    spark.range(1000).repartition(16).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert spread(df, 8) is df
+    one = spark.read.parquet(f"{SF001}/events.parquet")
+    assert spread(one, 8) is not one
