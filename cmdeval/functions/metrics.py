@@ -42,9 +42,8 @@ def round_half_even(x: Column, digits: int) -> Column:
 
 
 def _tag(arr: Column, side: int) -> Column:
-    """(gram, side) structs built natively: zip with a repeated side marker."""
-    return (F.arrays_zip(arr, F.array_repeat(F.lit(side), F.size(arr)))
-            .cast("array<struct<g:string,s:int>>"))
+    """(g, s) structs built natively: the gram array zipped with a repeated side marker."""
+    return F.arrays_zip(arr.alias("g"), F.array_repeat(F.lit(side), F.size(arr)).alias("s"))
 
 
 def multiset_overlap(pred: Column | str, gold: Column | str) -> Column:
@@ -59,16 +58,14 @@ def multiset_overlap(pred: Column | str, gold: Column | str) -> Column:
     zero = F.struct(F.lit(None).cast("string").alias("g"), F.lit(0).alias("c"), F.lit(0).alias("t"))
 
     def step(acc: Column, x: Column) -> Column:
-        same = acc["g"].eqNullSafe(x["g"])
-        pred_copy = F.struct(x["g"].alias("g"),
-                             F.when(same, acc["c"] + 1).otherwise(F.lit(1)).alias("c"),
-                             acc["t"].alias("t"))
+        # A new gram starts a run: one unmatched copy if it is a pred copy, none if gold.
+        new_run = F.struct(x["g"].alias("g"), (F.lit(1) - x["s"]).alias("c"), acc["t"].alias("t"))
+        pred_copy = F.struct(acc["g"].alias("g"), (acc["c"] + 1).alias("c"), acc["t"].alias("t"))
         matched = F.struct(acc["g"].alias("g"), (acc["c"] - 1).alias("c"), (acc["t"] + 1).alias("t"))
-        unmatched = F.struct(x["g"].alias("g"), F.lit(0).alias("c"), acc["t"].alias("t"))
-        return (F.when(x["s"] == 0, pred_copy)
-                .when(same & (acc["c"] > 0), matched)
-                .when(same, acc)
-                .otherwise(unmatched))
+        return (F.when(~acc["g"].eqNullSafe(x["g"]), new_run)
+                .when(x["s"] == 0, pred_copy)
+                .when(acc["c"] > 0, matched)
+                .otherwise(acc))
 
     return F.aggregate(merged, zero, step, lambda acc: acc["t"])
 
