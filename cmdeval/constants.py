@@ -44,6 +44,7 @@ COMMENT_MARK = "#"
 BLEU_MAX_ORDER = 4
 BLEU_WEIGHT = 0.25
 BLEU_SMOOTHING = 0.1
+BLEU_DIGITS = 12  # per-pair BLEU is rounded here so engines agree bit for bit
 
 SINGLE_LINE_MAX_LINES = 2
 SYNTAX_TIMEOUT_SEC = 2.0

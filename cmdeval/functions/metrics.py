@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..constants import (BLEU_MAX_ORDER, BLEU_SMOOTHING, BLEU_WEIGHT,
+from ..constants import (BLEU_DIGITS, BLEU_MAX_ORDER, BLEU_SMOOTHING, BLEU_WEIGHT,
                          SINGLE_LINE_MAX_LINES)
 from .text import _col, lines, strip
 
@@ -92,4 +92,6 @@ def bleu4_from_counts(matches: list[Column], n_pred: Column, n_gold: Column) ->
         log_sum = log_sum + term
     brevity = (F.when(n_pred < n_gold, F.exp(F.lit(1.0) - n_gold / F.greatest(n_pred, F.lit(1))))
                .otherwise(F.lit(1.0)))
-    return F.when(n_pred == 0, F.lit(0.0)).otherwise(brevity * F.exp(log_sum))
+    # Rounded at 1e-12: exp/ln differ by an ulp between engines; this keeps the
+    # score engine-independent without changing any reported digit.
+    return F.when(n_pred == 0, F.lit(0.0)).otherwise(round_half_even(brevity * F.exp(log_sum), BLEU_DIGITS))

@@ -7,7 +7,7 @@ line filters. Fixture parameters come from the same constants.
 
 from __future__ import annotations
 
-from ..constants import (IM_END, IM_START, PY_WHITESPACE_CODEPOINTS, REPORT_METRICS,
+from ..constants import (BLEU_DIGITS, IM_END, IM_START, PY_WHITESPACE_CODEPOINTS, REPORT_METRICS,
                          ROWS_PER_STEP, SEQ_BUDGET_TOKENS, SYSTEM_PROMPT, TOKEN_PATTERN,
                          TRAIN_MAX_STEPS, TRAIN_SEED, LOG_TAIL_LINES)
 from ..sources import fixtures as fx
@@ -113,8 +113,7 @@ scored AS (
     CASE WHEN np = 0 OR ng = 0 OR m1 = 0 THEN 0.0{D}
          ELSE (2.0{D} * (1.0{D} * m1 / np) * (1.0{D} * m1 / ng)) / ((1.0{D} * m1 / np) + (1.0{D} * m1 / ng)) END AS f1,
     CASE WHEN np = 0 THEN 0.0{D}
-         ELSE (CASE WHEN np < ng THEN exp(1.0{D} - ng / greatest(np, 1)) ELSE 1.0{D} END)
-              * exp(0.0{D} + {terms}) END AS bleu4,
+         ELSE {rnd(f"(CASE WHEN np < ng THEN exp(1.0{D} - ng / greatest(np, 1)) ELSE 1.0{D} END) * exp(0.0{D} + {terms})", BLEU_DIGITS)} END AS bleu4,
     CASE WHEN len(string_split(raw_prediction, {NL})) <= 2 THEN 1 ELSE 0 END AS single_line,
     CAST(length(raw_prediction) AS BIGINT) AS output_chars
   FROM counted)"""
