@@ -75,11 +75,26 @@ def score(suite: DataFrame, responses: DataFrame, models: Sequence[str],
     cleaned = paired.withColumn("clean_prediction", clean_command("raw_prediction"))
     scored = score_pairs(cleaned, "clean_prediction", "gold").select(*RESULT_COLUMNS)
     if check_syntax:
-        from .syntax import check
-        scored = check(scored, "clean_prediction", "syntax_valid")
+        scored = with_syntax(scored, responses, models)
     return with_format_flags(scored)
 
 
+def answer_commands(responses: DataFrame, models: Sequence[str]) -> DataFrame:
+    """Every command the results can hold: the cleaned answers of the requested
+    models plus the empty command a missing answer becomes."""
+    spark = responses.sparkSession
+    cleaned = (responses.where(F.col("model").isin(list(models)))
+               .select(clean_command(F.coalesce(strip("raw_prediction"), F.lit(""))).alias("clean_prediction")))
+    return cleaned.unionByName(spark.createDataFrame([("",)], "clean_prediction string"))
+
+
+def with_syntax(results: DataFrame, responses: DataFrame, models: Sequence[str]) -> DataFrame:
+    """``syntax_valid`` for scored results, with the parser verdicts computed
+    from the answers table, so the scored pipeline runs once."""
+    from .syntax import attach, verdicts
+    return attach(results, verdicts(answer_commands(responses, models)))
+
+
 def with_format_flags(results: DataFrame) -> DataFrame:
     """``single_line`` and ``output_chars``, both functions of the stripped raw answer."""
     return (results.withColumn("single_line", single_line("raw_prediction"))

@@ -45,24 +45,40 @@ def _check_batches(batches: Iterator[pd.DataFrame], col: str, timeout: float,
             yield pd.DataFrame({col: cmds, "_ok": ok})
 
 
-def check(df: DataFrame, col: str = "clean_prediction", out: str = "syntax_valid",
-          timeout: float = SYNTAX_TIMEOUT_SEC, parallelism: int = 4) -> DataFrame:
-    """Adds a boolean ``out`` column.
+def verdicts(commands: DataFrame, col: str = "clean_prediction", out: str = "syntax_valid",
+             timeout: float = SYNTAX_TIMEOUT_SEC, parallelism: int = 4) -> DataFrame:
+    """(command, verdict) for the distinct non-null commands of ``commands``.
 
-    Distinct commands (deduplicated map-side first) go through an
-    Arrow-batched ``mapInPandas`` worker that forks one parser each, a few
-    at a time; the verdicts join back on the command text (adaptive
-    execution splits a skewed command key). NULL -> false.
+    ``distinct()`` combines map-side (a command that fills a third of the rows
+    is one row after it); a round-robin spread keeps the parser forks on all
+    cores; an Arrow-batched ``mapInPandas`` worker forks one parser per
+    command, a few at a time.
     """
-    ensure_package_on_workers(df.sparkSession)
-    spark = df.sparkSession
+    spark = commands.sparkSession
+    ensure_package_on_workers(spark)
     tasks = max(spark.sparkContext.defaultParallelism,
                 int(spark.conf.get("spark.sql.shuffle.partitions", "1")))
-    # distinct() combines map-side (a command that fills a third of the rows is
-    # one row after it); the round-robin spread keeps the forks on all cores.
-    cmds = (df.select(F.col(col).alias("_cmd")).where(F.col("_cmd").isNotNull()).distinct()
+    cmds = (commands.select(F.col(col).alias("_cmd")).where(F.col("_cmd").isNotNull()).distinct()
             .repartition(tasks))
     fn = functools.partial(_check_batches, col="_cmd", timeout=timeout, parallelism=parallelism)
-    checked = cmds.mapInPandas(fn, schema="_cmd string, _ok boolean").withColumnRenamed("_cmd", col)
-    return (df.join(checked, on=col, how="left")
+    return (cmds.mapInPandas(fn, schema="_cmd string, _ok boolean")
+            .select(F.col("_cmd").alias(col), F.col("_ok").alias(out)))
+
+
+def attach(df: DataFrame, checked: DataFrame, col: str = "clean_prediction",
+           out: str = "syntax_valid") -> DataFrame:
+    """Join verdicts back on the command text (adaptive execution splits a hot
+    command key); a command without a verdict, or NULL, counts as invalid."""
+    return (df.join(checked.withColumnRenamed(out, "_ok"), on=col, how="left")
             .withColumn(out, F.coalesce(F.col("_ok"), F.lit(False))).drop("_ok"))
+
+
+def check(df: DataFrame, col: str = "clean_prediction", out: str = "syntax_valid",
+          timeout: float = SYNTAX_TIMEOUT_SEC, parallelism: int = 4) -> DataFrame:
+    """Adds a boolean ``out`` column: ``bash -n`` once per distinct command.
+
+    ``df`` is read twice (distinct commands, then the join back); when it is
+    expensive, compute the verdicts from a cheaper source of the same
+    commands with ``verdicts`` and ``attach`` (as ``evaluate.score`` does).
+    """
+    return attach(df, verdicts(df, col, out, timeout, parallelism), col, out)

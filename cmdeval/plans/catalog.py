@@ -200,7 +200,7 @@ def q_json_report(spark, d):
 
 def q_syntax_valid(spark, d):
     cleaned = _cleaned(spark, d).select(*KEYS, "clean_prediction")
-    return syntax.check(cleaned)
+    return evaluate.with_syntax(cleaned, _sim(spark, d), MODELS)
 
 
 def q_batch_predict(spark, d):
