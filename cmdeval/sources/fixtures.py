@@ -110,13 +110,14 @@ def with_arrival_time(responses: DataFrame) -> DataFrame:
 def utc_instant(ntz: Column | str) -> Column:
     """A wall-clock (NTZ) time read as UTC, as an instant; the session zone does not matter."""
     c = F.col(ntz) if isinstance(ntz, str) else ntz
-    return F.timestamp_micros(F.unix_micros(F.to_utc_timestamp(c.cast("timestamp"), F.current_timezone())))
+    # cast() reads the wall time in the session zone; shift it back by that zone's offset.
+    return F.from_utc_timestamp(c.cast("timestamp"), F.current_timezone())
 
 
 def utc_wall(instant: Column | str) -> Column:
     """Inverse of ``utc_instant``: the UTC wall-clock time of an instant."""
     c = F.col(instant) if isinstance(instant, str) else instant
-    return F.from_utc_timestamp(c, F.current_timezone()).cast("timestamp_ntz")
+    return F.to_utc_timestamp(c, F.current_timezone()).cast("timestamp_ntz")
 
 
 def run_log_from_events(events: DataFrame) -> DataFrame:

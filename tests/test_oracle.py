@@ -58,3 +58,13 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) == 4
     assert df.columns[:3] == ["model", "suite", "num_samples"]
+
+
+@pytest.mark.parametrize("name", ["stream_telemetry", "stream_log_tail", "loss_convergence", "log_tail"])
+def test_time_queries_independent_of_session_zone(spark, con, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = entry.queries()[name](spark, SF001).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert norm(got) == norm(con.execute(entry.oracle_sql()[name]).df())
