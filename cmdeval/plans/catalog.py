@@ -265,6 +265,18 @@ def q_stream_telemetry(spark, d):
         "label", "n_samples", "peak_reserved_bytes")
 
 
+def q_stream_loss_windows(spark, d):
+    src = scratch_path(spark, "loss-src")
+    _run_log(spark, d).withColumn("ts", fixtures.utc_instant("ts")).write.parquet(src)
+    log = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+    out = scratch_path(spark, "loss-windows")
+    streaming.run_availablenow(streaming.loss_windows(log, STREAM_WINDOW, STREAM_WATERMARK), out, out + "-ckpt")
+    return spark.read.parquet(out).select(
+        fixtures.utc_wall("window_start").alias("window_start"),
+        fixtures.utc_wall("window_end").alias("window_end"),
+        "run_id", "n_logged", "mean_loss", "last_loss")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chatml_train": q_chatml_train,
     "chatml_prompt": q_chatml_prompt,
@@ -300,6 +312,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_log_tail": q_stream_log_tail,
     "stream_eval": q_stream_eval,
     "stream_telemetry": q_stream_telemetry,
+    "stream_loss_windows": q_stream_loss_windows,
 }
 
 

@@ -277,5 +277,11 @@ WHERE rn <= {LOG_TAIL_LINES}""",
          max({RESERVED}) AS peak_reserved_bytes
   FROM events GROUP BY ALL)
 SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, label, n_samples, peak_reserved_bytes
+FROM w WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+    "stream_loss_windows": f"""WITH w AS (
+  SELECT date_trunc('day', ts) AS window_start, CAST(user_id AS VARCHAR) AS run_id, count(*) AS n_logged,
+         {rnd('avg(value)', 6)} AS mean_loss, arg_max(value, event_id) AS last_loss
+  FROM events GROUP BY ALL)
+SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, run_id, n_logged, mean_loss, last_loss
 FROM w WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
 }

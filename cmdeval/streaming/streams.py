@@ -89,6 +89,19 @@ def telemetry_windows(samples: DataFrame, window: str = "1 hour", watermark: str
                     *by, "n_samples", "peak_reserved_bytes"))
 
 
+def loss_windows(log: DataFrame, window: str = "1 hour", watermark: str = "1 hour",
+                 by: Sequence[str] = ("run_id",)) -> DataFrame:
+    """Tumbling event-time windows of the training log per run: records,
+    mean loss (6 decimals) and the loss of the last step in the window."""
+    return (log.withWatermark("ts", watermark)
+            .groupBy(F.window("ts", window).alias("w"), *by)
+            .agg(F.count(F.lit(1)).alias("n_logged"),
+                 round_half_even(F.avg("loss"), 6).alias("mean_loss"),
+                 F.max_by("loss", "step").alias("last_loss"))
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                    *by, "n_logged", "mean_loss", "last_loss"))
+
+
 def run_availablenow(stream: DataFrame, path: str, checkpoint: str, mode: str = "append",
                      timeout_sec: float | None = None) -> str:
     """Drain everything available into ``path`` and stop.

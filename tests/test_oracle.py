@@ -60,7 +60,7 @@ def test_entry_smoke(spark):
     assert df.columns[:3] == ["model", "suite", "num_samples"]
 
 
-@pytest.mark.parametrize("name", ["stream_telemetry", "stream_log_tail", "loss_convergence", "log_tail"])
+@pytest.mark.parametrize("name", ["stream_telemetry", "stream_loss_windows", "stream_log_tail", "loss_convergence", "log_tail"])
 def test_time_queries_independent_of_session_zone(spark, con, name):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
