@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..constants import BLEU_MAX_ORDER
 from ..functions.metrics import bleu4_from_counts, exact_match, f1_from_counts, multiset_overlap
-from ..functions.text import next_order, ngrams, tokens
+from ..functions.text import next_order, tokens
 
 ORDERS = tuple(range(1, BLEU_MAX_ORDER + 1))
 

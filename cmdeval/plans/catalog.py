@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_command, cut_at_stop, last_line
-from ..operators import evaluate, predict, prep, report, scoring, syntax, telemetry
+from ..operators import evaluate, predict, prep, report, scoring, telemetry
 from ..session import scratch_path, spread
 from ..sources import fixtures
 from .. import streaming

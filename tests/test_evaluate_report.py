@@ -72,7 +72,6 @@ def test_json_report_round_trip(spark, small):
 
 def test_fixture_summary_matches_published_present_only_numbers(spark):
     """FIXTURES §6 expected values (present answers only) at sf0.01."""
-    from cmdeval.streaming import finish_running
     from pyspark.sql import functions as F
     suite, sim = catalog._suite(spark, SF01), catalog._sim(spark, SF01)
     res = evaluate.score(suite, sim, ["base", "tuned"]).where(~F.col("is_error"))

@@ -1,7 +1,6 @@
 """Every catalogue query against its DuckDB SQL on sf0.001."""
 
 import math
-import os
 
 import duckdb
 import pandas as pd

@@ -4,7 +4,6 @@ import datetime as dt
 import json
 import os
 
-from pyspark.sql import functions as F
 
 from cmdeval import streaming
 from cmdeval.operators import prep
