@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..constants import (COMMAND_ALIASES, IM_END, IM_START, INSTRUCTION_ALIASES,
                          ROWS_PER_STEP, SEQ_BUDGET_TOKENS, SYSTEM_PROMPT, TRAIN_MAX_STEPS,
                          TRAIN_SEED)
+from ..config import TrainConfig  # noqa: F401  (type of the config argument)
 from ..functions.text import _col, strip, tokens
 
 
@@ -94,13 +95,18 @@ def truncate_tokens(df: DataFrame, col: str = "text", budget: int = SEQ_BUDGET_T
 
 
 def training_plan(pairs: DataFrame, seed: int = TRAIN_SEED, rows_per_step: int = ROWS_PER_STEP,
-                  max_steps: int = TRAIN_MAX_STEPS, id_col: str = "pair_id") -> DataFrame:
+                  max_steps: int = TRAIN_MAX_STEPS, id_col: str = "pair_id",
+                  config: "TrainConfig | None" = None) -> DataFrame:
     """Seeded order and step assignment of the rows a capped run consumes.
 
+    A ``config`` (``cmdeval.config.TrainConfig``) overrides the three numbers.
+
     The order key is ``md5(seed ':' pair_id)``. Only ``max_steps *
     rows_per_step`` rows are used, so the sort is a bounded top-k
     (TakeOrderedAndProject); the global rank runs on that bounded set only.
     """
+    if config is not None:
+        seed, rows_per_step, max_steps = config.seed, config.rows_per_step, config.max_steps
     keyed = pairs.withColumn("order_key", F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string"))))
     head = keyed.orderBy("order_key", id_col).limit(max_steps * rows_per_step)
     rank = F.row_number().over(Window.orderBy("order_key", id_col))

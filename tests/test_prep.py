@@ -74,3 +74,13 @@ def test_map_batches(spark):
     df = spark.createDataFrame([(i, f"ls {i}") for i in range(50)], "pair_id long, command string")
     got = {r.pair_id: r.text for r in prep.map_batches(df, _upper_commands, "pair_id long, text string").collect()}
     assert len(got) == 50 and got[7] == "LS 7"
+
+
+def test_training_plan_from_config(spark):
+    from cmdeval.config import TrainConfig
+    cfg = TrainConfig(batch_size=2, grad_accum_steps=2, max_steps=3)
+    assert (cfg.rows_per_step, cfg.rows_used) == (4, 12)
+    df = spark.range(50).withColumnRenamed("id", "pair_id")
+    rows = prep.training_plan(df, config=cfg).collect()
+    assert len(rows) == 12 and max(r.step for r in rows) == 3
+    assert TrainConfig().rows_used == 4800 and TrainConfig().max_seq_length == 2048
