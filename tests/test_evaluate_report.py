@@ -86,3 +86,16 @@ def test_fixture_summary_matches_published_present_only_numbers(spark):
         r = got[k]
         assert r.n == n
         assert (round(r.em, 6), round(r.sl, 6), round(r.lat, 6), round(r.chars, 6)) == (em, sl, lat, chars)
+
+
+def test_write_markdown_file_order(spark, small):
+    summ = evaluate.summarise(evaluate.score(*small, ["base", "tuned"]))
+    lines_df = report.markdown(report.compare(summ, "base", "tuned"))
+    path = scratch_path(spark, "md")
+    report.write_markdown(lines_df, path)
+    local = path[len("file:"):] if path.startswith("file:") else path
+    parts = sorted(f for f in os.listdir(local) if f.startswith("part-"))
+    text = "".join(open(os.path.join(local, f)).read() for f in parts).splitlines()
+    assert text[0] == "### s1" and text[2] == "| :--- | :--- | :--- | :--- |"
+    assert text.index("### s2") > text.index("| **Mean Latency (sec)** | 1.0s | **2.0s** | ⚡ -100.0% faster |")
+    assert len(text) == lines_df.count()
