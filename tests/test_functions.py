@@ -111,3 +111,18 @@ def test_f1_symmetric(spark, pairs):
     b = score_rows(spark, [(g, p) for p, g in pairs])
     for x, y in zip(a, b):
         assert math.isclose(x.f1, y.f1, abs_tol=1e-12)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(TEXT, min_size=1, max_size=20))
+def test_invariants_em_implies_perfect_and_clean_is_one_line(spark, texts):
+    pairs = [(t, t.upper().replace("ß", "ß")) for t in texts]  # same text, other case
+    for row, (p, _) in zip(score_rows(spark, pairs), pairs):
+        if row.em == 1.0 and pyref.tokens(p) and pyref.tokens(p) == pyref.tokens(p.upper()):
+            assert row.f1 == 1.0 and row.bleu4 == 1.0
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for t, row in zip(texts, df.select(clean_command("t").alias("c")).collect()):
+        survivors = [ln.strip() for ln in t.strip().split("\n")
+                     if ln.strip() and not ln.strip().startswith(("```", "#"))]
+        if survivors:
+            assert "\n" not in row.c
