@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..constants import LOG_TAIL_LINES
 from ..functions.metrics import round_half_even
+from ..functions.timefn import as_instant
 
 GIB = float(1 << 30)
 
@@ -19,7 +20,7 @@ def convergence(log: DataFrame, by: Sequence[str] = ("run_id",)) -> DataFrame:
     ``min_by``/``max_by`` combine partially, so a run holding most rows is
     still reduced map-side.
     """
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    micros = F.unix_micros(as_instant(log, "ts"))
     return (log.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_logged"),
         F.min("step").alias("first_step"),

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import timefn
 from ..functions.text import clean_command, cut_at_stop, last_line
 from ..operators import evaluate, predict, prep, report, scoring, telemetry
 from ..session import scratch_path, spread
@@ -228,12 +229,12 @@ def q_log_tail(spark, d):
 
 def q_stream_log_tail(spark, d):
     src = scratch_path(spark, "log-src")
-    log = _run_log(spark, d).withColumn("ts", fixtures.utc_instant("ts"))
+    log = _run_log(spark, d).withColumn("ts", timefn.utc_instant("ts"))
     log.write.option("timestampFormat", streaming.LOG_TS_FORMAT).json(src)
     out = scratch_path(spark, "log-tail")
     stream = streaming.tail_log(spark, src)
     streaming.run_availablenow(stream, out, out + "-ckpt")
-    return spark.read.parquet(out).select("run_id", "step", fixtures.utc_wall("ts").alias("ts"), "loss")
+    return spark.read.parquet(out).select("run_id", "step", timefn.utc_wall("ts").alias("ts"), "loss")
 
 
 def q_stream_eval(spark, d):
@@ -253,27 +254,27 @@ STREAM_WATERMARK = "1 hour"
 
 def q_stream_telemetry(spark, d):
     src = scratch_path(spark, "gpu-src")
-    _gpu(spark, d).withColumn("ts", fixtures.utc_instant("ts")).write.parquet(src)
+    _gpu(spark, d).withColumn("ts", timefn.utc_instant("ts")).write.parquet(src)
     schema = spark.read.parquet(src).schema
     samples = spark.readStream.schema(schema).parquet(src)
     out = scratch_path(spark, "gpu-windows")
     windows = streaming.telemetry_windows(samples, STREAM_WINDOW, STREAM_WATERMARK, by=("label",))
     streaming.run_availablenow(windows, out, out + "-ckpt")
     return spark.read.parquet(out).select(
-        fixtures.utc_wall("window_start").alias("window_start"),
-        fixtures.utc_wall("window_end").alias("window_end"),
+        timefn.utc_wall("window_start").alias("window_start"),
+        timefn.utc_wall("window_end").alias("window_end"),
         "label", "n_samples", "peak_reserved_bytes")
 
 
 def q_stream_loss_windows(spark, d):
     src = scratch_path(spark, "loss-src")
-    _run_log(spark, d).withColumn("ts", fixtures.utc_instant("ts")).write.parquet(src)
+    _run_log(spark, d).withColumn("ts", timefn.utc_instant("ts")).write.parquet(src)
     log = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
     out = scratch_path(spark, "loss-windows")
     streaming.run_availablenow(streaming.loss_windows(log, STREAM_WINDOW, STREAM_WATERMARK), out, out + "-ckpt")
     return spark.read.parquet(out).select(
-        fixtures.utc_wall("window_start").alias("window_start"),
-        fixtures.utc_wall("window_end").alias("window_end"),
+        timefn.utc_wall("window_start").alias("window_start"),
+        timefn.utc_wall("window_end").alias("window_end"),
         "run_id", "n_logged", "mean_loss", "last_loss")
 
 

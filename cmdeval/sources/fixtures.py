@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..constants import IM_END, IM_START
 from ..functions.text import first_line, strip
 
+
 # Fixture parameters (shared with the SQL in plans/oracle.py).
 SIM_MODELS = ("base", "tuned")
 SIM_MISSING_MOD = 11
@@ -107,19 +108,6 @@ def with_arrival_time(responses: DataFrame) -> DataFrame:
         "ts", F.timestamp_seconds(F.lit(1704067200) + F.col("id")))
 
 
-def utc_instant(ntz: Column | str) -> Column:
-    """A wall-clock (NTZ) time read as UTC, as an instant; the session zone does not matter."""
-    c = F.col(ntz) if isinstance(ntz, str) else ntz
-    # cast() reads the wall time in the session zone; shift it back by that zone's offset.
-    return F.from_utc_timestamp(c.cast("timestamp"), F.current_timezone())
-
-
-def utc_wall(instant: Column | str) -> Column:
-    """Inverse of ``utc_instant``: the UTC wall-clock time of an instant."""
-    c = F.col(instant) if isinstance(instant, str) else instant
-    return F.to_utc_timestamp(c, F.current_timezone()).cast("timestamp_ntz")
-
-
 def run_log_from_events(events: DataFrame) -> DataFrame:
     return events.select(F.col("user_id").cast("string").alias("run_id"),
                          F.col("event_id").alias("step"), "ts",

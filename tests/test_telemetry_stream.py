@@ -86,3 +86,15 @@ def test_telemetry_windows_drop_late_rows(spark):
     rows = sorted((r.window_start, r.n_samples, r.peak_reserved_bytes) for r in spark.read.parquet(out).collect())
     # windows [0,1h) and [1h,2h) close; the late row never enters the first window
     assert [(n, p) for _, n, p in rows][:2] == [(2, 2), (1, 70)]
+
+
+def test_convergence_runtime_ignores_session_dst(spark):
+    """Wall-clock log times across the March clock change: 01:30 -> 03:30 is 2 h."""
+    rows = [("r", 1, dt.datetime(2024, 3, 10, 1, 30), 1.0), ("r", 2, dt.datetime(2024, 3, 10, 3, 30), 0.5)]
+    log = spark.createDataFrame(rows, "run_id string, step long, ts timestamp_ntz, loss double")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = telemetry.convergence(log).collect()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert r.runtime_sec == 7200.0
