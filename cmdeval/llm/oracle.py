@@ -2,4 +2,36 @@
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+MIX = r"""
+WITH d AS (
+  SELECT doc_id, source, length(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k
+  FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rk FROM s),
+c AS (SELECT *, CASE rk % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w, 2 * source_size AS cap FROM r),
+f AS (
+  SELECT *, (sum(cap) OVER o - cap)::DOUBLE AS caps, (sum(w) OVER o - w)::DOUBLE AS ws,
+         (sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE AS budget, (sum(w) OVER ())::DOUBLE AS total_w
+  FROM c WINDOW o AS (ORDER BY cap::DOUBLE / w::DOUBLE, rk ROWS UNBOUNDED PRECEDING)),
+l AS (SELECT max((budget - caps) / (total_w - ws)) AS v FROM f),
+t AS (SELECT source, source_size, w, budget, least(cap::DOUBLE, w::DOUBLE * (SELECT v FROM l)) AS target FROM f),
+q AS (
+  SELECT d.doc_id, d.k, d.size, t.source, t.source_size, t.w, t.budget, t.target,
+         row_number() OVER (ORDER BY d.k, d.doc_id, d.size, t.source) AS rid,
+         (sum(d.size) OVER (PARTITION BY t.source ORDER BY d.k, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size)::BIGINT AS pos
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+p AS (
+  SELECT q.*, pass, pos + pass * source_size AS start, (pos + pass * source_size + size)::DOUBLE / w::DOUBLE AS finish
+  FROM q, (VALUES (0), (1)) AS two(pass) WHERE size > 0),
+z AS (SELECT *, sum(size) OVER (ORDER BY finish, source NULLS LAST, pass, k, doc_id, size ROWS UNBOUNDED PRECEDING) AS spent FROM p),
+g AS (
+  SELECT rid, sum(CASE WHEN spent <= budget OR greatest(0, floor(target + 0.5)::BIGINT - start) < size
+                       THEN least(size, greatest(0, floor(target + 0.5)::BIGINT - start)) ELSE 0 END)::BIGINT AS taken
+  FROM z GROUP BY rid)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM q LEFT JOIN g USING (rid)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op6_weighted_fair_mix": MIX,
+}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_count
+from . import bpe_count, mixing, repair_binary
 from .common import table
 
 
@@ -15,6 +15,17 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.count_tokens(docs).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op3_repair_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_binary.encode_and_read(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op6_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_repair_binary": op3_repair_binary,
     "op4_token_counts": op4_token_counts,
+    "op6_weighted_fair_mix": op6_weighted_fair_mix,
 }
