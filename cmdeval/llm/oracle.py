@@ -32,6 +32,44 @@ g AS (
 SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM q LEFT JOIN g USING (rid)
 """
 
+def _dot(a: str, b: str) -> str:
+    """Sum of products in component order, in double precision."""
+    return (f"list_reduce(list_transform(range(1, len({a}) + 1), lambda i: {a}[i]::DOUBLE * {b}[i]::DOUBLE), "
+            "lambda x, y: x + y)")
+
+
+USABLE = """
+v AS (
+  SELECT vec_id, embedding AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0)"""
+
+NEAREST = f"""
+WITH {USABLE},
+w AS (SELECT *, sqrt({_dot('e', 'e')}) AS n FROM v),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, {_dot('q.e', 'c.e')} / (q.n * c.n) AS score
+      FROM w q JOIN w c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+WHERE rank <= 5
+"""
+
+LINKED = f"""
+WITH RECURSIVE {USABLE},
+w AS (SELECT *, sqrt({_dot('e', 'e')}) AS n FROM v),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM w a JOIN w b ON a.vec_id <> b.vec_id
+      WHERE {_dot('a.e', 'b.e')} / (a.n * b.n) >= 0.95),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a),
+k AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, least(vec_id, coalesce(component_id, vec_id)) AS component_id,
+       vec_id <= coalesce(component_id, vec_id) AS kept
+FROM embeddings LEFT JOIN c ON vec_id = c.a LEFT JOIN k ON vec_id = k.a
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_pq_near_dedup": LINKED,
     "op6_weighted_fair_mix": MIX,
+    "op8_balanced_postings": NEAREST,
 }

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe_count, mixing, repair_binary
+from . import ann, bpe_count, mixing, pq_dedup, repair_binary
 from .common import table
 
 
@@ -15,6 +16,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.count_tokens(docs).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op1_pq_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_repair_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_binary.encode_and_read(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -24,8 +29,14 @@ def op6_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_balanced_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pq_near_dedup": op1_pq_near_dedup,
     "op3_repair_binary": op3_repair_binary,
     "op4_token_counts": op4_token_counts,
     "op6_weighted_fair_mix": op6_weighted_fair_mix,
+    "op8_balanced_postings": op8_balanced_postings,
 }
