@@ -37,6 +37,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -49,10 +50,13 @@ from .common import ship
 
 SHARD_TOKENS = 1 << 20
 #: A pair is replaced while it occurs at least so often in a shard.
-MIN_COUNT = 24
-MAX_ROUNDS = 12
-CACHE_ENTRIES = 500_000
+MIN_COUNT = 32
+MAX_ROUNDS = 8
+SLOT_MASK = (1 << 19) - 1
+CACHE_ENTRIES = 1_000_000
 GROUP_CHARS = 1 << 20
+#: A digit is a token of its own: it parts the words of one call to the library.
+SEPARATOR = "0"
 
 SHARD_SCHEMA = ("part int, shard int, part_start bigint, n_tokens bigint, first_rule bigint, rules binary, "
                 "lengths binary, symbols binary, doc_ids array<bigint>, doc_tokens array<bigint>")
@@ -76,6 +80,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end_id = end_id
+        self.separator = self.tokenizer.encode(SEPARATOR, add_special_tokens=False).ids[0]
         self.reset()
 
     def reset(self) -> None:
@@ -84,10 +89,42 @@ class WordEncoder:
         self.starts, self.sizes = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
         self.sizes[0], self.n_words, self.n_flat = 1, 1, 1
 
+    def library(self, words: list[str]) -> list[list[int]]:
+        """Ids of words by the library, many in one call, parted by a word whose only id no other word has."""
+        plain = [w for w in words if SEPARATOR not in w]
+        found = {}
+        for lo in range(0, len(plain), 256):
+            group = plain[lo:lo + 256]
+            ids = np.array(self.tokenizer.encode(f" {SEPARATOR} ".join(group), add_special_tokens=False).ids, dtype=np.int64)
+            cuts = np.flatnonzero(ids == self.separator)
+            if len(cuts) == len(group) - 1:
+                found.update(zip(group, (x.tolist() for x in np.split(ids, cuts))))
+        return [found[w][1:] if w in found and found[w][:1] == [self.separator] else found[w] if w in found
+                else self.tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+
+    def parts(self, word: str) -> tuple[str, str]:
+        """A word as its core, in lower case where that is plain, and the full stops and commas after it."""
+        core = word.rstrip(".,")
+        if core and core[-1].isalpha() and "<" not in core:
+            return core.lower() if core.isascii() else core, word[len(core):]
+        return word, ""
+
     def learn(self, words: list[str]) -> None:
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        split = {w: self.parts(w) for w in words}
+        pieces = sorted({p for w in split.values() for p in w if p and p not in self.known})
+        self.append(pieces, self.library(pieces))
+        flat, known, starts, sizes = self.flat, self.known, self.starts, self.sizes
+
+        def ids(piece: str) -> list[int]:
+            i = known[piece]
+            return flat[starts[i]:starts[i] + sizes[i]].tolist()
+
+        rest = [w for w in words if w not in known]
+        self.append(rest, [ids(split[w][0]) + (ids(split[w][1]) if split[w][1] else []) for w in rest])
+
+    def append(self, words: list[str], encoded: list[list[int]]) -> None:
         sizes = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded))
-        ids = np.fromiter((i for e in encoded for i in e), dtype=np.uint32, count=int(sizes.sum()))
+        ids = np.fromiter(chain.from_iterable(encoded), dtype=np.uint32, count=int(sizes.sum()))
 
         def room(a: np.ndarray, n: int) -> np.ndarray:
             return a if n <= len(a) else np.concatenate([a, np.zeros(max(n, 2 * len(a)) - len(a), a.dtype)])
@@ -127,42 +164,39 @@ def compress(ids: np.ndarray, min_count: int = MIN_COUNT) -> tuple[int, np.ndarr
     symbols = ids.astype(np.int64)
     rules: list[np.ndarray] = []
     n_rules = 0
-    for _ in range(MAX_ROUNDS):
+    for turn in range(MAX_ROUNDS):
         if len(symbols) < 2 * min_count:
             break
         keys = symbols[:-1] << 32 | symbols[1:]
-        ordered = np.sort(keys)
-        edges = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        counts = np.diff(np.append(edges, len(ordered)))
-        often = counts >= min_count
-        if not often.any():
+        # One pair speaks for each slot of a hash table; a pair that is crowded out has another slot next round.
+        odd = np.int64(0x9E3779B97F4A7C1 * (2 * turn + 1) & (1 << 62) - 1 | 1)
+        slots = (keys * odd >> 40) & SLOT_MASK
+        speaker = np.full(SLOT_MASK + 1, -1, dtype=np.int64)
+        speaker[slots] = keys
+        spoken = speaker[slots] == keys
+        counts = np.bincount(slots[spoken], minlength=len(speaker))
+        often = np.flatnonzero(counts >= min_count)
+        if not len(often):
             break
-        pairs, counts = ordered[edges[often]], counts[often]
-        pairs = pairs[np.argsort(-counts, kind="stable")]  # the most frequent first, ties by the pair
-        # A hash table gives each position the order of its pair; of pairs that share a slot the most frequent stays.
-        bits = max(10, int(len(pairs)).bit_length() + 3)
-        slot = lambda k: (k.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
-        table = np.full(1 << bits, len(pairs), dtype=np.int64)
-        at = slot(pairs)
-        table[at[::-1]] = np.arange(len(pairs))[::-1]
-        order = table[slot(keys)]
-        none = len(pairs)
-        order[np.append(pairs, -1)[order] != keys] = none
+        often = often[np.lexsort((speaker[often], -counts[often]))]  # the most frequent first, ties by the pair
+        pairs, none = speaker[often], len(often)
+        rank = np.full(len(speaker), none, dtype=np.int64)
+        rank[often] = np.arange(none)
+        order = rank[slots]
+        order[~spoken] = none
         # An occurrence is replaced if no neighbour that overlaps it comes before it.
         take = order < none
         take[1:] &= order[1:] < order[:-1]
         take[:-1] &= order[:-1] <= order[1:]
-        chosen = order[take]
-        used = np.bincount(chosen, minlength=none)
-        keep = used >= 2
-        take[take] = keep[chosen]
-        number = np.cumsum(keep) - 1
         where = np.flatnonzero(take)
+        used = np.bincount(order[where], minlength=none)
+        keep = used >= 2
+        where = where[keep[order[where]]]
         if not len(where):
             break
         made = pairs[keep]
         rules.append(np.stack([made >> 32, made & 0xFFFFFFFF], axis=1))
-        symbols[where] = first + n_rules + number[order[where]]
+        symbols[where] = first + n_rules + (np.cumsum(keep) - 1)[order[where]]
         stay = np.ones(len(symbols), dtype=bool)
         stay[where + 1] = False
         symbols = symbols[stay]
