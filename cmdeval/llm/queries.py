@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe_count, mixing, pq_dedup, repair_binary
+from . import ann, bpe_count, mixing, pq_dedup, repair_binary, toxicity
 from .common import table
 
 
@@ -20,6 +20,12 @@ def op1_pq_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op2_toxic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted", "evidence")
+
+
 def op3_repair_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_binary.encode_and_read(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -35,6 +41,7 @@ def op8_balanced_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pq_near_dedup": op1_pq_near_dedup,
+    "op2_toxic_neighbours": op2_toxic_neighbours,
     "op3_repair_binary": op3_repair_binary,
     "op4_token_counts": op4_token_counts,
     "op6_weighted_fair_mix": op6_weighted_fair_mix,
