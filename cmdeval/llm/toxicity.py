@@ -112,8 +112,9 @@ class Index:
         yes = (scores * self.toxic[places]).sum()
         return math.log((yes + 0.05) / (scores.sum() - yes + 0.05))
 
-    def calibrate(self, share: float) -> None:
-        """Fit the logistic curve to leave-one-out votes; ``share``: of toxic labels among all."""
+    def calibrate(self, share: float, n0: int, n1: int) -> None:
+        """Fit the logistic curve to leave-one-out votes. ``share``: of toxic labels among all;
+        ``n0``, ``n1``: examples of each class, those without a vector included."""
         votes, toxic = [], []
         for j in range(len(self.docs)):
             ids = np.flatnonzero(self.weights[:, j])
@@ -124,7 +125,7 @@ class Index:
         x, y = np.array(votes), np.array(toxic)
         if not 0 < y.sum() < len(y):
             return
-        weight = np.where(y == 1, share / self.toxic.sum(), (1 - share) / max(1, (1 - self.toxic).sum())) * len(y)
+        weight = np.where(y == 1, share / n1, (1 - share) / n0) * (n0 + n1)
         a, b = 1.0, math.log(share / (1 - share))
         for _ in range(50):  # Newton steps with a light pull to slope 1
             p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
@@ -214,7 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     examples = [(r["id"], r["toxic"], [x["i"] for x in r["bag"]], [x["n"] for x in r["bag"]])
                 for r in kept.orderBy("id").collect()]  # 2 * EXAMPLES rows of MAX_TERMS entries at most
     index = Index(terms, idf, examples)
-    index.calibrate(share)
+    index.calibrate(share, n0, n1)
     # Rate of toxic rows among examples that share no term with any other: those without a vector.
     bare = {0: n0, 1: n1}
     for _, c, _, _ in examples:
