@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe_count, mixing, pq_dedup, repair_binary, toxicity
+from . import ann, bpe_count, mixing, pq_dedup, repair_binary, sentencepiece_scan, toxicity
 from .common import table
 
 
@@ -39,6 +39,14 @@ def op8_balanced_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op9_sentencepiece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document as a count and a checksum, and whether decoding gives the text back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = sentencepiece_scan.decode(sentencepiece_scan.encode(docs))
+    return coded.select("doc_id", "n_tokens", F.xxhash64("ids").alias("ids_hash"),
+                        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pq_near_dedup": op1_pq_near_dedup,
     "op2_toxic_neighbours": op2_toxic_neighbours,
@@ -46,4 +54,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op6_weighted_fair_mix": op6_weighted_fair_mix,
     "op8_balanced_postings": op8_balanced_postings,
+    "op9_sentencepiece_scan": op9_sentencepiece_scan,
 }
