@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe_count, mixing, pq_dedup, repair_binary, sentencepiece_scan, toxicity
+from . import ann, bpe_count, mixing, ngram_join, pq_dedup, repair_binary, sentencepiece_scan, toxicity
 from .common import table
 
 
@@ -47,6 +47,10 @@ def op9_sentencepiece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pq_near_dedup": op1_pq_near_dedup,
     "op2_toxic_neighbours": op2_toxic_neighbours,
@@ -55,4 +59,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_weighted_fair_mix": op6_weighted_fair_mix,
     "op8_balanced_postings": op8_balanced_postings,
     "op9_sentencepiece_scan": op9_sentencepiece_scan,
+    "op10_ngram_join": op10_ngram_join,
 }
