@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe_count, mixing, ngram_join, pq_dedup, repair_binary, sentencepiece_scan, toxicity
+from . import ann, bpe_count, line_dedup, mixing, ngram_join, pq_dedup, repair_binary, sentencepiece_scan, toxicity
 from .common import table
 
 
@@ -30,6 +30,12 @@ def op3_repair_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_binary.encode_and_read(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document, as counts and a checksum of its text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
+
+
 def op6_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -56,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxic_neighbours": op2_toxic_neighbours,
     "op3_repair_binary": op3_repair_binary,
     "op4_token_counts": op4_token_counts,
+    "op5_line_dedup": op5_line_dedup,
     "op6_weighted_fair_mix": op6_weighted_fair_mix,
     "op8_balanced_postings": op8_balanced_postings,
     "op9_sentencepiece_scan": op9_sentencepiece_scan,

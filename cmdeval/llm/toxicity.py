@@ -2,15 +2,15 @@
 
 Examples: up to ``EXAMPLES`` labelled documents of each class, those with the
 smallest hash; equal texts count once. Terms: words that tell the classes apart
-among the examples (two-proportion z of at least ``MIN_Z``, ``MAX_TERMS`` at
-most, found by a Spark aggregation). Document frequencies of the terms come
+among the examples (two-proportion z of at least ``MIN_Z`` and rates that differ
+by ``MIN_RATIO``, ``MAX_TERMS`` at most, found by a Spark aggregation). Document frequencies of the terms come
 from all documents. A text is its vector of ``(1 + log tf) * idf`` over the terms.
 
 Search: exact cosine against the examples, by an inverted index with block
 maxima. The examples lie in blocks of ``BLOCK``; for each term and block the
-largest weight bounds what the block can score. Blocks are scored in the order
-of their bounds and skipped once the bound is below the ``NEIGHBOURS``-th best
-score so far, so no neighbour is lost.
+largest weight bounds what the block can score. The blocks with the best bounds
+are scored first; of the others, those whose bound is below the
+``NEIGHBOURS``-th best score so far are skipped, so no neighbour is lost.
 
 Score: neighbours vote with their cosine as weight; the vote becomes a
 probability by a logistic fit on the examples' own leave-one-out votes, weighted
@@ -42,7 +42,10 @@ from .common import materialise, ship
 EXAMPLES = 4_096
 NEIGHBOURS = 20
 BLOCK = 64
-MIN_Z = 4.0
+FIRST_BLOCKS = 4
+CACHE_ENTRIES = 500_000
+MIN_Z = 6.0
+MIN_RATIO = 3.0
 MIN_EXAMPLES = 4
 MAX_TERMS = 2_048
 THRESHOLD = 0.7
@@ -62,6 +65,33 @@ def terms_of(text: str | None) -> Counter:
     return Counter(w.strip(_EDGE) for w in text.lower().split()) if text else Counter()
 
 
+class RawTerms(dict):
+    """Word as it stands in a text -> number of its term, or -1; remembers what it has met."""
+
+    def __init__(self, number: dict[str, int]):
+        self.number = number
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= CACHE_ENTRIES:
+            self.clear()
+        i = self[word] = self.number.get(word.strip(_EDGE), -1)
+        return i
+
+    def found(self, text: str | None) -> tuple[list[str], list[str]]:
+        """All words of a text, and the distinct ones that stand for a term."""
+        words = text.lower().split() if text else []
+        return words, [w for w in set(words) if self[w] >= 0]
+
+    def counts(self, text: str | None) -> Counter:
+        """How often each term is in a text."""
+        words, hits = self.found(text)
+        often = Counter(words) if len(hits) > 8 else {w: words.count(w) for w in hits}
+        out = Counter()
+        for w in hits:
+            out[self[w]] += often[w]
+        return out
+
+
 class Index:
     """Block-max inverted index of the examples."""
 
@@ -73,11 +103,11 @@ class Index:
         vectors = sorted((v for v in vectors if len(v[2])), key=lambda v: (v[1], v[2][v[3].argmax()], v[0]))
         self.docs = np.array([v[0] for v in vectors], dtype=np.int64)
         self.toxic = np.array([v[1] for v in vectors], dtype=np.float64)
-        self.weights = np.zeros((len(terms), len(vectors)))
+        self.weights = np.zeros((len(terms), -(-len(vectors) // BLOCK), BLOCK))  # term, block, place in the block
         for j, (_, _, ids, w) in enumerate(vectors):
-            self.weights[ids, j] = w
-        self.starts = np.arange(0, len(vectors), BLOCK)
-        self.bounds = np.maximum.reduceat(self.weights, self.starts, axis=1) if len(vectors) else None
+            self.weights[ids, j // BLOCK, j % BLOCK] = w
+        self.bounds = self.weights.max(axis=2) if len(vectors) else None
+        self.raw = RawTerms(self.number)
         self.slope, self.offset, self.none = 1.0, 0.0, 0.0
 
     def weigh(self, ids: list[int], counts: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -90,19 +120,25 @@ class Index:
     def nearest(self, ids: np.ndarray, w: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the nearest examples, nearest first; only those above zero."""
         places, scores = np.zeros(0, dtype=np.int64), np.zeros(0)
-        if not len(ids) or self.bounds is None:
+        if not len(ids) or not len(self.docs):
             return places, scores
         bound = w @ self.bounds[ids]
-        for b in np.argsort(-bound, kind="stable"):
-            least = scores[-1] if len(scores) == NEIGHBOURS else 0.0
-            if bound[b] + 1e-12 < least or bound[b] <= 0:
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        # The most promising blocks first; then, at once, all whose bound reaches the worst score kept.
+        for blocks in (order[:FIRST_BLOCKS], order[FIRST_BLOCKS:]):
+            if len(scores) == NEIGHBOURS:
+                blocks = blocks[bound[blocks] + 1e-12 >= scores[-1]]
+            if not len(blocks):
                 break
-            lo = self.starts[b]
-            got = w @ self.weights[ids, lo:lo + BLOCK]
-            if lo <= skip < lo + BLOCK:
-                got[skip - lo] = 0
-            good = np.flatnonzero(got > 0)
-            places, scores = np.concatenate([places, good + lo]), np.concatenate([scores, got[good]])
+            got = np.tensordot(w, self.weights[ids[:, None], blocks[None]], 1).ravel()
+            at = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            good = np.flatnonzero((got > 0) & (at != skip))
+            places, scores = np.concatenate([places, at[good]]), np.concatenate([scores, got[good]])
+            if len(scores) > NEIGHBOURS:
+                worst = np.partition(scores, len(scores) - NEIGHBOURS)[len(scores) - NEIGHBOURS]
+                near = scores >= worst
+                places, scores = places[near], scores[near]
             best = np.lexsort((self.docs[places], -scores))[:NEIGHBOURS]
             places, scores = places[best], scores[best]
         return places, scores
@@ -117,8 +153,9 @@ class Index:
         ``n0``, ``n1``: examples of each class, those without a vector included."""
         votes, toxic = [], []
         for j in range(len(self.docs)):
-            ids = np.flatnonzero(self.weights[:, j])
-            places, scores = self.nearest(ids, self.weights[ids, j], skip=j)
+            own = self.weights[:, j // BLOCK, j % BLOCK]
+            ids = np.flatnonzero(own)
+            places, scores = self.nearest(ids, own[ids], skip=j)
             if len(places):
                 votes.append(self.vote(places, scores))
                 toxic.append(self.toxic[j])
@@ -138,8 +175,7 @@ class Index:
         self.slope, self.offset = float(a), float(b)
 
     def score(self, text: str | None) -> tuple[float, list[int], list[float]]:
-        counts = terms_of(text)
-        known = sorted((self.number[t], n) for t, n in counts.items() if t in self.number)
+        known = sorted(self.raw.counts(text).items())
         places, scores = self.nearest(*self.weigh([i for i, _ in known], [n for _, n in known]))
         if not len(places):
             return self.none, [], []
@@ -184,7 +220,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     rate = F.col("m") / F.lit(n0 + n1)
     z = (F.abs(F.col("a") / n1 - (F.col("m") - F.col("a")) / n0)
          / F.sqrt(rate * (1 - rate) * (1 / n1 + 1 / n0) + F.lit(1e-12)))
-    telling = has.where(F.col("m") >= MIN_EXAMPLES).withColumn("z", z).where(F.col("z") >= MIN_Z)
+    odds = (F.col("a") + 0.5) / (n1 + 1) / ((F.col("m") - F.col("a") + 0.5) / (n0 + 1))
+    telling = (has.where(F.col("m") >= MIN_EXAMPLES).withColumn("z", z).where(F.col("z") >= MIN_Z)
+               .where((odds >= MIN_RATIO) | (odds <= 1 / MIN_RATIO)))
     terms = [r["term"] for r in telling.orderBy(F.desc("z"), "term").limit(MAX_TERMS).select("term").collect()]
     if not terms:
         return nothing
@@ -192,15 +230,12 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     # Documents that hold each term, over the whole table: a count for each term and task.
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts, total = np.zeros(len(number) + 1, dtype=np.int64), 0
+        counts, total, raw = np.zeros(len(number) + 1, dtype=np.int64), 0, RawTerms(number)
         for b in batches:
             for t in b["t"]:
                 total += 1
-                if t:
-                    for w in {w.strip(_EDGE) for w in set(t.lower().split())}:
-                        i = number.get(w)
-                        if i is not None:
-                            counts[i] += 1
+                for i in {raw[w] for w in raw.found(t)[1]}:
+                    counts[i] += 1
         counts[-1] = total
         yield pd.DataFrame({"term": np.arange(len(counts)), "n": counts})
 
