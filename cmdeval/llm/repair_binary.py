@@ -35,9 +35,11 @@ An empty table gives an empty table. Other columns play no part.
 from __future__ import annotations
 
 import re
+import string
 import zlib
 from collections.abc import Iterator
 from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -50,19 +52,36 @@ from .common import ship
 
 SHARD_TOKENS = 1 << 20
 #: A pair is replaced while it occurs at least so often in a shard.
-MIN_COUNT = 32
-MAX_ROUNDS = 8
+MIN_COUNT = 48
+MAX_ROUNDS = 6
 SLOT_MASK = (1 << 19) - 1
 CACHE_ENTRIES = 1_000_000
 GROUP_CHARS = 1 << 20
 #: A digit is a token of its own: it parts the words of one call to the library.
 SEPARATOR = "0"
 
+#: Characters that are no punctuation, or full stop and comma.
+_COMMON = frozenset(string.ascii_letters + string.digits + " \t\r\n.," + "".join(
+    c for c in map(chr, range(0xC0, 0x250)) if c.isalpha()))
+
 SHARD_SCHEMA = ("part int, shard int, part_start bigint, n_tokens bigint, first_rule bigint, rules binary, "
                 "lengths binary, symbols binary, doc_ids array<bigint>, doc_tokens array<bigint>")
 
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _WORDS = re.compile("[^ \n\t\r]+")
+_RUNS = re.compile(r"[.,](?:[^\w\s]|_)|(?:[^\w\s]|_)[.,]")
+
+
+class Numbers(dict):
+    """Word -> its number, from 1 in the order of first meeting; ``new`` lists those just met."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        i = self[word] = len(self) + 1
+        return i
 
 
 class WordEncoder:
@@ -70,61 +89,60 @@ class WordEncoder:
 
     The tokenizer drops white space, so no token crosses it: each distinct word
     is encoded by the library once and remembered (``CACHE_ENTRIES`` at most).
+    ASCII capitals become small, as the tokenizer makes them, and full stops and
+    commas that touch no other punctuation stand alone, as its pattern has them.
     """
 
     def __init__(self, path: str, end_id: int):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # For words that the normaliser and the pattern leave as they are.
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.end_id = end_id
         self.separator = self.tokenizer.encode(SEPARATOR, add_special_tokens=False).ids[0]
         self.reset()
 
     def reset(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = Numbers()
         self.flat = np.full(1 << 16, self.end_id, dtype=np.uint32)  # word 0 is the end of a document
         self.starts, self.sizes = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
         self.sizes[0], self.n_words, self.n_flat = 1, 1, 1
 
-    def library(self, words: list[str]) -> list[list[int]]:
-        """Ids of words by the library, many in one call, parted by a word whose only id no other word has."""
-        plain = [w for w in words if SEPARATOR not in w]
-        found = {}
-        for lo in range(0, len(plain), 256):
-            group = plain[lo:lo + 256]
-            ids = np.array(self.tokenizer.encode(f" {SEPARATOR} ".join(group), add_special_tokens=False).ids, dtype=np.int64)
-            cuts = np.flatnonzero(ids == self.separator)
-            if len(cuts) == len(group) - 1:
-                found.update(zip(group, (x.tolist() for x in np.split(ids, cuts))))
-        return [found[w][1:] if w in found and found[w][:1] == [self.separator] else found[w] if w in found
-                else self.tokenizer.encode(w, add_special_tokens=False).ids for w in words]
-
-    def parts(self, word: str) -> tuple[str, str]:
-        """A word as its core, in lower case where that is plain, and the full stops and commas after it."""
-        core = word.rstrip(".,")
-        if core and core[-1].isalpha() and "<" not in core:
-            return core.lower() if core.isascii() else core, word[len(core):]
-        return word, ""
+    def split(self, text: str) -> list[str]:
+        odd = set(text) - _COMMON
+        # No special token may come to be, and no run of punctuation may be cut.
+        if "<" not in odd and not any(x in text for x in ("..", ".,", ",.", ",,")) and not (odd and _RUNS.search(text)):
+            text = text.encode("utf-8", "replace").lower().decode().replace(".", " . ").replace(",", " , ")
+        return _WORDS.findall(text) if odd and _ODD_SPACE.search(text) else text.split()
 
     def learn(self, words: list[str]) -> None:
-        split = {w: self.parts(w) for w in words}
-        pieces = sorted({p for w in split.values() for p in w if p and p not in self.known})
-        self.append(pieces, self.library(pieces))
-        flat, known, starts, sizes = self.flat, self.known, self.starts, self.sizes
-
-        def ids(piece: str) -> list[int]:
-            i = known[piece]
-            return flat[starts[i]:starts[i] + sizes[i]].tolist()
-
-        rest = [w for w in words if w not in known]
-        self.append(rest, [ids(split[w][0]) + (ids(split[w][1]) if split[w][1] else []) for w in rest])
-
-    def append(self, words: list[str], encoded: list[list[int]]) -> None:
-        sizes = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded))
-        ids = np.fromiter(chain.from_iterable(encoded), dtype=np.uint32, count=int(sizes.sum()))
+        """Give new words, numbered in this order, their ids."""
+        easy = [w.isalpha() and w == w.lower() and (w.isascii() or is_normalized("NFC", w)) for w in words]
+        plain = [w for w, x in zip(words, easy) if x]
+        # Plain words go many to a call, parted by a word whose only id no other of them has.
+        between = f" {SEPARATOR} "
+        groups = [plain[lo:lo + 256] for lo in range(0, len(plain), 256)]
+        found = self.plain.encode_batch_fast([between.join(g) for g in groups], add_special_tokens=False)
+        ids = [np.array(x, dtype=np.uint32) for e in found for x in (e.ids, [self.separator])]
+        ids = np.concatenate([np.array([self.separator], dtype=np.uint32), *ids])
+        cuts = np.flatnonzero(ids == self.separator)
+        if len(cuts) != len(plain) + 1:
+            raise ValueError("a plain word holds the separator")
+        rest = [w for w, x in zip(words, easy) if not x]
+        other = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+        easy = np.array(easy, dtype=bool)
+        sizes, places = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int64)
+        sizes[easy], places[easy] = np.diff(cuts) - 1, cuts[:-1] + 1
+        sizes[~easy] = [len(x) for x in other]
+        places[~easy] = len(ids) + np.cumsum(sizes[~easy]) - sizes[~easy]
+        ids = np.concatenate([ids, np.fromiter(chain.from_iterable(other), dtype=np.uint32)])
 
         def room(a: np.ndarray, n: int) -> np.ndarray:
             return a if n <= len(a) else np.concatenate([a, np.zeros(max(n, 2 * len(a)) - len(a), a.dtype)])
@@ -133,25 +151,24 @@ class WordEncoder:
         self.flat = room(self.flat, self.n_flat + len(ids))
         self.starts, self.sizes = room(self.starts, lo + n), room(self.sizes, lo + n)
         self.flat[self.n_flat:self.n_flat + len(ids)] = ids
-        self.sizes[lo:lo + n] = sizes
-        self.starts[lo:lo + n] = self.n_flat + np.cumsum(sizes) - sizes
-        self.known.update(zip(words, range(lo, lo + n)))
+        self.sizes[lo:lo + n], self.starts[lo:lo + n] = sizes, self.n_flat + places
         self.n_words, self.n_flat = lo + n, self.n_flat + len(ids)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, end ids included, and the number of ids of each text."""
-        split = [_WORDS.findall(t) if _ODD_SPACE.search(t) else t.split() for t in texts]
+        split = [self.split(t) for t in texts]
         if len(self.known) > CACHE_ENTRIES:
             self.reset()
-        known = self.known
-        if new := {w for words in split for w in words if w not in known}:
-            self.learn(sorted(new))
         counts = np.fromiter(map(len, split), dtype=np.int64, count=len(split)) + 1
         words = np.zeros(int(counts.sum()), dtype=np.int64)
         ends = np.cumsum(counts)
         inner = np.ones(len(words), dtype=bool)
         inner[ends - 1] = False
-        words[inner] = np.fromiter((known[w] for ws in split for w in ws), dtype=np.int64, count=len(words) - len(split))
+        words[inner] = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), dtype=np.int64,
+                                   count=len(words) - len(split))
+        if self.known.new:
+            self.learn(self.known.new)
+            self.known.new = []
         sizes = self.sizes[words]
         total = np.cumsum(sizes)
         ids = self.flat[np.repeat(self.starts[words] - (total - sizes), sizes) + np.arange(total[-1])]

@@ -22,8 +22,8 @@ Decoding joins the pieces' bytes, turns the blank marks into blanks and drops
 the first one. A text that holds the blank mark itself decodes to blanks there.
 
 Null text counts as empty; an empty text has no ids. Rows with equal id and
-text share one encoding. All columns of the documents pass; ids and n_tokens
-are replaced where they exist. An empty table gives an empty table.
+text share one encoding. All columns of the documents pass; ids, n_tokens
+and round_trip are replaced where they exist. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -41,8 +41,8 @@ from .bpe_count import tokenizer_path
 from .common import materialise, ship
 
 CHUNK_CHARS = 32_768
-CACHE_ENTRIES = 800_000
-PAIR_ENTRIES = 500_000
+CACHE_ENTRIES = 300_000
+PAIR_ENTRIES = 100_000
 GROUP_CHARS = 1 << 20
 MARK = "▁"
 
@@ -294,11 +294,14 @@ def _chunk(p: Pieces, row) -> Chunk:
 
 def encode(docs: DataFrame, model: str = "piece_bpe_32k.model", doc_id: str = "doc_id", text: str = "text",
            chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """``docs`` with ids (array of int) and n_tokens."""
+    """``docs`` with ids (array of int), n_tokens and round_trip: whether decoding the ids gives the text back.
+
+    The worker that encodes a document also decodes it, so ids aren't sent to a second one.
+    """
     ship(docs.sparkSession)
 
-    @F.pandas_udf("array<int>")
-    def whole(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("struct<ids: array<int>, same: boolean>")
+    def whole(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         p = pieces_at(tokenizer_path(model))
         for texts in batches:
             out, lo, values = [], 0, [t or "" for t in texts]
@@ -309,7 +312,8 @@ def encode(docs: DataFrame, model: str = "piece_bpe_32k.model", doc_id: str = "d
                     hi += 1
                 out += p.encode(values[lo:hi])
                 lo = hi
-            yield pd.Series(out, dtype=object)
+            yield pd.DataFrame({"ids": pd.Series(out, dtype=object),
+                                "same": [p.decode(x.tolist()) == t for x, t in zip(out, values)]})
 
     def matrices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         p = pieces_at(tokenizer_path(model))
@@ -332,7 +336,8 @@ def encode(docs: DataFrame, model: str = "piece_bpe_32k.model", doc_id: str = "d
 
     # Other documents are one chunk: they go to the library word by word, without a shuffle.
     giant = F.coalesce(F.length(text) > chunk_chars, F.lit(False))
-    small = docs.where(~giant).withColumn("ids", whole(F.col(text)))
+    small = (docs.where(~giant).withColumn("_whole", whole(F.col(text))).withColumn("ids", F.col("_whole.ids"))
+             .withColumn("round_trip", F.col("_whole.same")).drop("_whole"))
     margin = pieces_margin(model)
     parts = F.regexp_extract_all(F.col("t"), F.lit(f"((?s).{{1,{chunk_chars}}})"))
     giants = (docs.where(giant).select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("key"), F.col(text).alias("t")))
@@ -355,6 +360,7 @@ def encode(docs: DataFrame, model: str = "piece_bpe_32k.model", doc_id: str = "d
     large = (docs.where(giant).withColumn("_k", F.xxhash64(text))
              .join(joined, F.col(doc_id).eqNullSafe(F.col("_doc")) & (F.col("_k") == F.col("_key")))
              .withColumn("ids", F.col("_ids")).drop("_doc", "_key", "_ids", "_k"))
+    large = decode(large, model, text="_decoded").withColumn("round_trip", F.col("_decoded") == F.col(text)).drop("_decoded")
     return small.unionByName(large).withColumn("n_tokens", F.size("ids").cast("bigint"))
 
 
