@@ -48,10 +48,10 @@ from .components import connected_components
 N = 4
 SIMILARITY = 85  # per cent
 #: Share of a set's shingles that an unrelated document is taken to hold too, for the cost model.
-COMMON = 0.5
-FLUSH = 2_000_000
+COMMON = 0.1
+FLUSH = 500_000
 GROUPS_PER_PARTITION = 8
-GROUP_CHARS = 1 << 22
+GROUP_CHARS = 1 << 20
 
 _M = np.uint64(0xFF51AFD7ED558CCD)
 _K = np.uint64(0x9E3779B97F4A7C15)
@@ -119,9 +119,12 @@ class Plan:
             cost_near = n * (twos + ones + top) + n * n / 2 * (twos + ones) * top / (twos + ones) * chance(top / (twos + ones) - 1)
             self.bands.append(("exact", exact, spare) if cost_exact <= cost_near else ("near", twos + ones, twos))
 
+    def band(self, size: int) -> int:
+        return int(np.searchsorted(self.tops, size))
+
     def sign(self, s: np.ndarray) -> np.ndarray:
         """Signatures of a set in its own band and the next."""
-        own = int(np.searchsorted(self.tops, len(s)))
+        own = self.band(len(s))
         out = []
         with np.errstate(over="ignore"):
             for b in range(own, min(own + 2, len(self.tops))):
@@ -146,16 +149,25 @@ class Plan:
         return np.unique(np.concatenate(out))
 
 
-def _packets(groups: int, sigs: list, names: list, sizes: list) -> Iterator[dict]:
-    s = np.concatenate(sigs)
+def _packets(groups: int, sigs: list, names: list, bands: list) -> Iterator[dict]:
+    """Signatures with the name and band of their sets, packed by the group that sorts them."""
     owner = np.repeat(np.arange(len(sigs)), [len(x) for x in sigs])
-    data = np.stack([s.view(np.int64), np.array(names)[owner], np.array(sizes)[owner]], axis=1)
-    group = (s >> np.uint64(8)) % np.uint64(groups)
+    s = np.concatenate(sigs)
+    group = ((s >> np.uint64(8)) % np.uint64(groups)).astype(np.int32)
     order = np.argsort(group, kind="stable")
-    data, group = data[order], group[order]
+    s, owner, group = s[order], owner[order], group[order]
+    name, band = np.array(names, dtype=np.int64)[owner], np.array(bands, dtype=np.uint8)[owner]
     edges = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
     for lo, hi in zip(edges, [*edges[1:], len(group)]):
-        yield {"p": int(group[lo]), "kind": 1, "ids": None, "data": data[lo:hi].tobytes()}
+        yield {"p": int(group[lo]), "kind": 1, "ids": None,
+               "data": s[lo:hi].tobytes() + name[lo:hi].tobytes() + band[lo:hi].tobytes()}
+
+
+def _unpacked(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    parts = [(b, len(b) // 17) for b in blocks]
+    return (np.concatenate([np.frombuffer(b, np.uint64, n) for b, n in parts]),
+            np.concatenate([np.frombuffer(b, np.int64, n, 8 * n) for b, n in parts]),
+            np.concatenate([np.frombuffer(b, np.uint8, n, 16 * n) for b, n in parts]))
 
 
 def _rows(records: list[dict], columns: list[str]) -> pd.DataFrame:
@@ -190,12 +202,12 @@ def _buckets(docs: DataFrame, n: int, similarity: int) -> DataFrame:
                 held = 0
                 for s, name in zip(sets, names):
                     if len(s) and name not in met:
-                        if len(met) > 1_000_000:
+                        if len(met) > 200_000:
                             met.clear()
                         met.add(name)
                         sigs.append(plan.sign(s))
                         owners.append(name)
-                        sizes.append(len(s))
+                        sizes.append(plan.band(len(s)))
                         held += len(sigs[-1])
                     if held > FLUSH:
                         out += _packets(groups, sigs, owners, sizes)
@@ -216,22 +228,19 @@ def _buckets(docs: DataFrame, n: int, similarity: int) -> DataFrame:
                     for i, (a, k) in zip(r.ids, data.tolist())]
         blocks = group.loc[group["kind"] == 1, "data"]
         if len(blocks):
-            rows = np.frombuffer(b"".join(blocks), np.int64).reshape(-1, 3)
-            rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
-            fresh = np.concatenate([[True], (rows[1:, 0] != rows[:-1, 0]) | (rows[1:, 1] != rows[:-1, 1])])
-            rows = rows[fresh]
-            edges = np.flatnonzero(np.concatenate([[True], rows[1:, 0] != rows[:-1, 0]]))
-            ends = np.append(edges[1:], len(rows))
+            sig, name, band = _unpacked(list(blocks))
+            order = np.lexsort((name, sig))
+            sig, name, band = sig[order], name[order], band[order]
+            fresh = np.concatenate([[True], (sig[1:] != sig[:-1]) | (name[1:] != name[:-1])])
+            sig, name, band = sig[fresh], name[fresh], band[fresh].astype(np.int64)
+            edges = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+            ends = np.append(edges[1:], len(sig))
             seen: set[bytes] = set()
-            for lo, hi in zip(edges, ends):
-                if hi - lo > 1:
-                    members = rows[lo:hi, 1]
-                    # Without two sizes near enough for a link the classes met by chance.
-                    size = np.sort(rows[lo:hi, 2])
-                    if not (size[:-1] * 100 >= size[1:] * similarity).any() or (key := members.tobytes()) in seen:
-                        continue
+            for lo, hi in zip(*(x[ends - edges > 1].tolist() for x in (edges, ends))):
+                # Without two bands near enough for a link the classes met by chance.
+                if (np.diff(np.sort(band[lo:hi])) <= 1).any() and (key := name[lo:hi].tobytes()) not in seen:
                     seen.add(key)
-                    out.append({"kind": 1, "doc": None, "name": None, "n": None, "members": members.tolist()})
+                    out.append({"kind": 1, "doc": None, "name": None, "n": None, "members": name[lo:hi].tolist()})
         return _rows(out, ["kind", "doc", "name", "n", "members"])
 
     packets = docs.mapInPandas(signed, "p int, kind int, ids array<bigint>, data binary")
