@@ -171,7 +171,7 @@ def _unpacked(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _rows(records: list[dict], columns: list[str]) -> pd.DataFrame:
-    kinds = {"ids": object, "data": object, "members": object, "doc": "Int64", "name": "Int64", "n": "Int64"}
+    kinds = {"ids": object, "data": object, "members": object, "doc": "Int64", "name": "Int64", "n": "Int64", "key": "Int64"}
     return pd.DataFrame({c: pd.Series([r[c] for r in records], dtype=kinds.get(c, "int64")) for c in columns})
 
 
@@ -189,7 +189,7 @@ def _buckets(docs: DataFrame, n: int, similarity: int) -> DataFrame:
         met: set[int] = set()
         turn = 0
         for b in batches:
-            texts, ids = b["t"].tolist(), [None if pd.isna(i) else int(i) for i in b["id"]]
+            texts, keys, ids = b["t"].tolist(), b["key"].tolist(), [None if pd.isna(i) else int(i) for i in b["id"]]
             lo = 0
             while lo < len(texts):
                 hi, chars = lo, 0
@@ -216,16 +216,17 @@ def _buckets(docs: DataFrame, n: int, similarity: int) -> DataFrame:
                     out += _packets(groups, sigs, owners, sizes)
                 turn += 1
                 out.append({"p": turn * 7919 % groups, "kind": 0, "ids": ids[lo:hi],
-                            "data": np.array([[a, len(s)] for a, s in zip(names, sets)], dtype=np.int64).tobytes()})
+                            "data": np.array([[a, len(s), k] for a, s, k in zip(names, sets, keys[lo:hi])],
+                                             dtype=np.int64).tobytes()})
                 yield _rows(out, ["p", "kind", "ids", "data"])
                 lo = hi
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
         out = []
         for r in group[group["kind"] == 0].itertuples():
-            data = np.frombuffer(r.data, np.int64).reshape(-1, 2)
-            out += [{"kind": 0, "doc": None if i is None or i != i else int(i), "name": a, "n": k, "members": None}
-                    for i, (a, k) in zip(r.ids, data.tolist())]
+            data = np.frombuffer(r.data, np.int64).reshape(-1, 3)
+            out += [{"kind": 0, "doc": None if i is None or i != i else int(i), "name": a, "n": k, "key": t, "members": None}
+                    for i, (a, k, t) in zip(r.ids, data.tolist())]
         blocks = group.loc[group["kind"] == 1, "data"]
         if len(blocks):
             sig, name, band = _unpacked(list(blocks))
@@ -240,12 +241,12 @@ def _buckets(docs: DataFrame, n: int, similarity: int) -> DataFrame:
                 # Without two bands near enough for a link the classes met by chance.
                 if (np.diff(np.sort(band[lo:hi])) <= 1).any() and (key := name[lo:hi].tobytes()) not in seen:
                     seen.add(key)
-                    out.append({"kind": 1, "doc": None, "name": None, "n": None, "members": name[lo:hi].tolist()})
-        return _rows(out, ["kind", "doc", "name", "n", "members"])
+                    out.append({"kind": 1, "doc": None, "name": None, "n": None, "key": None, "members": name[lo:hi].tolist()})
+        return _rows(out, ["kind", "doc", "name", "n", "key", "members"])
 
     packets = docs.mapInPandas(signed, "p int, kind int, ids array<bigint>, data binary")
     return materialise(packets.groupBy("p").applyInPandas(
-        meet, "kind int, doc bigint, name bigint, n bigint, members array<bigint>"), "ngram-buckets")
+        meet, "kind int, doc bigint, name bigint, n bigint, key bigint, members array<bigint>"), "ngram-buckets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: int, name: str) -> DataFrame:
@@ -284,11 +285,16 @@ def _sets(docs: DataFrame, wanted: DataFrame, named: DataFrame, n: int) -> DataF
 
 def join_components(docs: DataFrame, n: int = N, similarity: int = SIMILARITY, doc_id: str = "doc_id",
                     text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id), a row for each document."""
+    """(doc_id, n_shingles, component_id, text_key, group), a row for each document.
+
+    ``text_key`` is a hash of the text, ``group`` names the component (null without words): for joins back
+    to documents whose ids repeat.
+    """
     ship(docs.sparkSession)
-    docs = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("t"))
+    docs = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("t"),
+                       F.xxhash64(text).alias("key"))
     found = _buckets(docs, n, similarity)
-    named = found.where("kind = 0").select("doc", "name", "n")
+    named = found.where("kind = 0").select("doc", "name", "n", "key")
     buckets = found.where("kind = 1").select("members").distinct()
     # First: each class with the smallest class that it meets.
     first = (buckets.select(F.explode("members").alias("a"), F.col("members")[0].alias("b"))
@@ -326,7 +332,8 @@ def join_components(docs: DataFrame, n: int = N, similarity: int = SIMILARITY, d
                .join(parts.withColumnRenamed("node", "name"), "name", "left")
                .withColumn("component", F.coalesce("component", "name")))
     lowest = classes.groupBy("component").agg(F.min("low").alias("component_id"))
-    of_class = classes.join(lowest, "component").select("name", "component_id")
+    of_class = classes.join(lowest, "component").select("name", "component", "component_id")
     linked = named.where("n > 0").join(of_class, "name")
-    bare = named.where("n = 0").withColumn("component_id", F.col("doc"))
-    return linked.unionByName(bare).select(F.col("doc").alias(doc_id), F.col("n").alias("n_shingles"), "component_id")
+    bare = named.where("n = 0").withColumn("component", F.lit(None).cast("bigint")).withColumn("component_id", F.col("doc"))
+    return linked.unionByName(bare).select(F.col("doc").alias(doc_id), F.col("n").alias("n_shingles"), "component_id",
+                                           F.col("key").alias("text_key"), F.col("component").alias("group"))

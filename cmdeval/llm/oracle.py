@@ -68,8 +68,51 @@ SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, least(vec_id, coalesce(c
 FROM embeddings LEFT JOIN c ON vec_id = c.a LEFT JOIN k ON vec_id = k.a
 """
 
+CHATS = """
+WITH t AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS place FROM t),
+w AS (SELECT conv_id, list([role, text] ORDER BY place) AS turns FROM p GROUP BY conv_id),
+s AS (SELECT min(conv_id) AS conv_id, turns FROM w GROUP BY turns),
+x AS (SELECT DISTINCT turns[1:k] AS turns FROM (SELECT turns, unnest(range(1, len(turns))) AS k FROM w)),
+m AS (SELECT conv_id FROM s WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.turns = s.turns))
+SELECT conv_id, (place // 256)::BIGINT AS segment, count(*) AS n_turns,
+       string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY place) AS text
+FROM p SEMI JOIN m USING (conv_id) GROUP BY conv_id, place // 256
+"""
+
+LINES = r"""
+WITH d AS (SELECT DISTINCT doc_id, text FROM documents),
+o AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM d),
+l AS (SELECT doc_id, ls[i] AS line, i - 1 AS pos FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM o)),
+k AS (SELECT doc_id, pos, list_sort(list_distinct(regexp_extract_all(lower(line), '[^\x20\x09-\x0D]+'))) AS ts FROM l),
+f AS (SELECT doc_id, pos, ts, row_number() OVER (PARTITION BY ts ORDER BY doc_id, pos) AS nth FROM k WHERE len(ts) > 0),
+c AS (SELECT row_number() OVER (ORDER BY doc_id, pos) AS cid, doc_id, pos, ts FROM f WHERE nth = 1),
+u AS (SELECT cid, len(ts) AS n, unnest(ts) AS t FROM c),
+df AS (SELECT t, count(*) AS m FROM u GROUP BY t),
+r AS (SELECT cid, n, u.t, row_number() OVER (PARTITION BY cid ORDER BY m, u.t) AS i FROM u JOIN df ON u.t = df.t),
+px AS (SELECT * FROM r WHERE i <= n - (n * 80 + 99) // 100 + 1),
+cand AS (SELECT DISTINCT a.cid AS a, b.cid AS b FROM px a JOIN px b ON a.t = b.t AND a.cid < b.cid
+         AND a.n * 100 >= b.n * 80 AND b.n * 100 >= a.n * 80),
+near AS (
+  SELECT DISTINCT y.doc_id, y.pos FROM cand JOIN c x ON x.cid = cand.a JOIN c y ON y.cid = cand.b
+  WHERE len(list_intersect(x.ts, y.ts)) * 180 >= 80 * (len(x.ts) + len(y.ts))),
+gone AS (SELECT doc_id, pos FROM f WHERE nth > 1 UNION SELECT doc_id, pos FROM near),
+kept AS (
+  SELECT l.doc_id, string_agg(line, chr(10) ORDER BY l.pos) AS text FROM l ANTI JOIN gone
+  ON l.doc_id = gone.doc_id AND l.pos = gone.pos GROUP BY l.doc_id),
+g AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, coalesce(len(string_split(documents.text, chr(10))), 0)::BIGINT AS n_lines,
+       coalesce(g.n, 0)::BIGINT AS n_removed,
+       CASE WHEN documents.text IS NOT NULL THEN md5(coalesce(kept.text, '')) END AS text_md5
+FROM documents LEFT JOIN g USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_pq_near_dedup": LINKED,
+    "op5_line_dedup": LINES,
     "op6_weighted_fair_mix": MIX,
+    "op7_snapshot_collapse": CHATS,
     "op8_balanced_postings": NEAREST,
 }

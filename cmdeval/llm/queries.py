@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe_count, line_dedup, mixing, ngram_join, pq_dedup, repair_binary, sentencepiece_scan, toxicity
+from . import ann, bpe_count, chat, line_dedup, mixing, ngram_join, pq_dedup, repair_binary, sentencepiece_scan, toxicity
 from .common import table
 
 
@@ -41,6 +41,10 @@ def op6_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op8_balanced_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -53,7 +57,8 @@ def op9_sentencepiece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.join_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    joined = ngram_join.join_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return joined.select("doc_id", "n_shingles", "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op5_line_dedup": op5_line_dedup,
     "op6_weighted_fair_mix": op6_weighted_fair_mix,
+    "op7_snapshot_collapse": op7_snapshot_collapse,
     "op8_balanced_postings": op8_balanced_postings,
     "op9_sentencepiece_scan": op9_sentencepiece_scan,
     "op10_ngram_join": op10_ngram_join,
