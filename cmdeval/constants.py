@@ -57,12 +57,6 @@ TRAIN_MAX_STEPS = 300
 
 LOG_TAIL_LINES = 30
 
-GPU_LABELS = (
-    "Initial State",
-    "After Loading 4-bit Base Model",
-    "After LoRA Attached",
-)
-
 # Report rows: (summary column, display name, unit suffix, kind).
 REPORT_METRICS = (
     ("exact_match_pct", "**Exact Match (EM %)**", "%", "delta"),
@@ -73,6 +67,13 @@ REPORT_METRICS = (
     ("avg_latency_sec", "**Mean Latency (sec)**", "s", "faster"),
 )
 
+# Report table head: the header with the two models' labels, and the rule below it.
+REPORT_HEADER = "| Metric | Base Model ({base}) | Fine-Tuned Model ({tuned}) | Improvement |"
+REPORT_RULE = "| :--- | :--- | :--- | :--- |"
+
+# Metrics that a short report shows; the full one shows all.
+SHORT_REPORT = ("exact_match_pct", "mean_token_f1", "syntax_validity_pct", "avg_latency_sec")
+
 # ---- end of fixed values -------------------------------------------------
 
 PY_WHITESPACE = "".join(chr(c) for c in PY_WHITESPACE_CODEPOINTS)

@@ -26,10 +26,6 @@ def lines(c: Column | str) -> Column:
     return F.split(_col(c), "\n", -1)
 
 
-def first_line(c: Column | str) -> Column:
-    return F.split_part(_col(c), F.lit("\n"), F.lit(1))
-
-
 def clean_command(c: Column | str) -> Column:
     """Reduce a raw model answer to one command.
 
@@ -75,20 +71,3 @@ def next_order(prev: Column | str, tok: Column | str, n: int) -> Column:
     width = F.greatest(F.size(tok) - F.lit(n - 1), F.lit(0))
     return F.zip_with(F.slice(prev, 1, width), F.slice(tok, n, width),
                       lambda a, b: F.concat(a, F.lit(" "), b))
-
-
-def ngrams(tok: Column | str, n: int) -> Column:
-    """Sliding n-grams of a token array as space-joined strings.
-
-    Built with ``zip_with`` over shifted slices so that no lambda refers to
-    the outer array: linear in the number of tokens.
-    """
-    tok = _col(tok)
-    if n == 1:
-        return tok
-    width = F.greatest(F.size(tok) - F.lit(n - 1), F.lit(0))
-    acc = F.slice(tok, 1, width)
-    for shift in range(1, n):
-        acc = F.zip_with(acc, F.slice(tok, shift + 1, width),
-                         lambda a, b: F.concat(a, F.lit(" "), b))
-    return acc

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.metrics import output_chars, round_half_even, single_line
@@ -37,12 +37,20 @@ def suite_union(*suites: tuple[str, DataFrame]) -> DataFrame:
     return out
 
 
+def failed_call(responses: DataFrame) -> Column:
+    """Whether a call failed: its ``is_error`` flag, where there is one, or a null text."""
+    null = F.col("raw_prediction").isNull()
+    return F.coalesce(F.col("is_error"), F.lit(False)) | null if "is_error" in responses.columns else null
+
+
 def pair_with_responses(suite: DataFrame, responses: DataFrame, models: Sequence[str]) -> DataFrame:
     """Every (model, suite row) with its answer; a missing answer becomes ``("", 0.0)``.
 
     Answers are folded per (suite, id) into one struct column per requested
-    model (a single aggregation that combines map-side; a replayed answer
-    counts once: smallest latency, then text). The suite joins that once on
+    model (a single aggregation that combines map-side). Of several calls for
+    one key the first that did not fail counts (by arrival time ``ts``, then
+    latency and text); the running evaluation keeps the same one. A failed call
+    (``is_error``, or a null text) has latency 0. The suite joins that once on
     (suite, id) and the models are exploded after the join, so each suite row
     crosses the network once however many models there are. The answer is
     stripped as it is read; ``is_error`` marks the defaults.
@@ -50,7 +58,11 @@ def pair_with_responses(suite: DataFrame, responses: DataFrame, models: Sequence
     if not models:
         raise ValueError("models must name at least one model")
     models = list(dict.fromkeys(models))
-    answer = F.struct(F.col("latency").cast("double").alias("latency"), F.col("raw_prediction"))
+    failed = failed_call(responses)
+    arrival = F.col("ts") if "ts" in responses.columns else F.lit(0)
+    answer = F.struct(failed.alias("is_error"), arrival.alias("ts"),
+                      F.when(failed, F.lit(0.0)).otherwise(F.col("latency").cast("double")).alias("latency"),
+                      F.col("raw_prediction"))
     folded = (responses.where(F.col("model").isin(models)).groupBy("suite", "id")
               .agg(*[F.min(F.when(F.col("model") == m, answer)).alias(f"_a{i}") for i, m in enumerate(models)]))
     per_model = F.array(*[F.struct(F.lit(m).alias("model"), F.col(f"_a{i}").alias("a"))
@@ -61,7 +73,7 @@ def pair_with_responses(suite: DataFrame, responses: DataFrame, models: Sequence
         *KEYS, "nl", "gold",
         F.coalesce(strip(F.col("a.raw_prediction")), F.lit("")).alias("raw_prediction"),
         F.coalesce(F.col("a.latency"), F.lit(0.0)).alias("latency"),
-        F.col("a.raw_prediction").isNull().alias("is_error"))
+        F.coalesce(F.col("a.is_error"), F.lit(True)).alias("is_error"))
 
 
 def score(suite: DataFrame, responses: DataFrame, models: Sequence[str],

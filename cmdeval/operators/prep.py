@@ -31,7 +31,8 @@ def resolve_pairs(df: DataFrame, null_as_text: bool = False, id_col: str = "pair
     inst, cmd = F.col(src_i).cast("string"), F.col(src_c).cast("string")
     if null_as_text:
         inst, cmd = F.coalesce(inst, F.lit("None")), F.coalesce(cmd, F.lit("None"))
-    pid = F.col(id_col).cast("bigint") if id_col in df.columns else F.monotonically_increasing_id()
+    # Without an id, the pair's own content names it: the order of a run doesn't hang on file layout.
+    pid = F.col(id_col).cast("bigint") if id_col in df.columns else F.xxhash64(inst, cmd)
     out = df.select(pid.alias("pair_id"), strip(inst).alias("instruction"), strip(cmd).alias("command"))
     if not null_as_text:
         out = out.where(F.col("instruction").isNotNull() & F.col("command").isNotNull())
@@ -66,9 +67,9 @@ def render_conversations(turns: DataFrame, conv: str = "conv_id", turn: str = "t
     """Whole conversations rendered in turn order: (conv_id, n_turns, text).
 
     Two-level ordered concatenation: turns are first joined inside chunks of
-    ``chunk_turns`` consecutive turns, then chunks inside the conversation, so
-    no single group collects more than ``chunk_turns`` turn records even when
-    one conversation holds a large share of all rows.
+    ``chunk_turns`` consecutive turns, then chunks inside the conversation. The
+    second level gathers one conversation's text in one row, as the result has
+    it; only the sort of its turns is spread.
     """
     blocks = turns.select(
         F.col(conv).alias("conv_id"), F.col(turn).alias("turn"),
@@ -95,7 +96,7 @@ def truncate_tokens(df: DataFrame, col: str = "text", budget: int = SEQ_BUDGET_T
 
 
 def training_plan(pairs: DataFrame, seed: int = TRAIN_SEED, rows_per_step: int = ROWS_PER_STEP,
-                  max_steps: int = TRAIN_MAX_STEPS, id_col: str = "pair_id",
+                  max_steps: int | None = TRAIN_MAX_STEPS, id_col: str = "pair_id",
                   config: "TrainConfig | None" = None) -> DataFrame:
     """Seeded order and step assignment of the rows a capped run consumes.
 
@@ -104,10 +105,14 @@ def training_plan(pairs: DataFrame, seed: int = TRAIN_SEED, rows_per_step: int =
     The order key is ``md5(seed ':' pair_id)``. Only ``max_steps *
     rows_per_step`` rows are used, so the sort is a bounded top-k
     (TakeOrderedAndProject); the global rank runs on that bounded set only.
+    ``max_steps=None`` gives the full order: sorted by range partitions, with
+    order_key but without rank and step, which would need all rows in one task.
     """
     if config is not None:
         seed, rows_per_step, max_steps = config.seed, config.rows_per_step, config.max_steps
     keyed = pairs.withColumn("order_key", F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string"))))
+    if max_steps is None:
+        return keyed.orderBy("order_key", id_col)
     head = keyed.orderBy("order_key", id_col).limit(max_steps * rows_per_step)
     rank = F.row_number().over(Window.orderBy("order_key", id_col))
     return (head.withColumn("rank", rank.cast("bigint"))

@@ -2,20 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import REPORT_METRICS
+from ..constants import REPORT_HEADER, REPORT_METRICS, REPORT_RULE
 from ..functions.metrics import round_half_even
 from .evaluate import sample_results, summarise, with_format_flags
 
 
+#: Records of the JSON report, as ``write_json`` writes them.
+DETAIL_SCHEMA = ("id bigint, nl string, gold string, raw_prediction string, clean_prediction string, em double, f1 double, "
+                 "bleu4 double, latency double, is_error boolean, model string, suite string")
+SUMMARY_SCHEMA = ("model string, suite string, num_samples bigint, exact_match_pct double, mean_token_f1 double, "
+                  "mean_bleu4 double, single_line_clean_pct double, avg_latency_sec double, avg_output_chars double, "
+                  "n_errors bigint, avg_latency_ok double")
+
+
 def compare(summary: DataFrame, base: str, tuned: str,
-            metrics: Sequence[tuple[str, str, str, str]] = REPORT_METRICS) -> DataFrame:
+            metrics: Sequence[tuple[str, str, str, str]] = REPORT_METRICS,
+            tracks: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """(suite, metric, metric_ord, base, tuned, delta) for every metric present.
 
+    ``tracks`` names the metrics of a suite; a suite that it doesn't name has all.
+
     ``delta`` is tuned - base; for latency it is the percent by which tuned is
     faster, rounded to 0.1, NULL when the base latency is 0.
     """
@@ -29,9 +40,11 @@ def compare(summary: DataFrame, base: str, tuned: str,
     long = (summary.where(F.col("model").isin(base, tuned))
             .select("model", "suite", stacked.alias("r"))
             .select("model", "suite", "r.*"))
+    for suite, names in (tracks or {}).items():
+        long = long.where((F.col("suite") != suite) | F.col("metric").isin(list(names)))
+    of = {m: F.max(F.when(F.col("model") == m, F.col("value"))) for m in (base, tuned)}
     wide = (long.groupBy("suite", "metric", "metric_ord", "kind")
-            .pivot("model", [base, tuned]).agg(F.max("value"))
-            .withColumnRenamed(base, "base").withColumnRenamed(tuned, "tuned"))
+            .agg(of[base].alias("base"), of[tuned].alias("tuned")))
     faster = F.when(F.col("base") == 0, F.lit(None).cast("double")).otherwise(
         round_half_even((F.lit(1.0) - F.col("tuned") / F.col("base")) * F.lit(100.0), 1))
     delta = F.when(F.col("kind") == "faster", faster).otherwise(F.col("tuned") - F.col("base"))
@@ -62,9 +75,8 @@ def markdown(cmp: DataFrame, base_label: str = "base", tuned_label: str = "tuned
     head = F.array(
         F.struct(F.lit(0).cast("bigint").alias("line_no"), F.concat(F.lit("### "), F.col("suite")).alias("line")),
         F.struct(F.lit(1).cast("bigint").alias("line_no"),
-                 F.lit(f"| Metric | Base Model ({base_label}) | Fine-Tuned Model ({tuned_label}) | Improvement |")
-                 .alias("line")),
-        F.struct(F.lit(2).cast("bigint").alias("line_no"), F.lit("| :--- | :--- | :--- | :--- |").alias("line")))
+                 F.lit(REPORT_HEADER.format(base=base_label, tuned=tuned_label)).alias("line")),
+        F.struct(F.lit(2).cast("bigint").alias("line_no"), F.lit(REPORT_RULE).alias("line")))
     headers = cmp.select("suite").distinct().select("suite", F.inline(head))
     return headers.unionByName(rows)
 
@@ -95,4 +107,5 @@ def write_json(results: DataFrame, path: str) -> dict[str, str]:
 
 
 def read_json_report(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    return spark.read.json(f"{path}/summary"), spark.read.json(f"{path}/results")
+    return (spark.read.schema(SUMMARY_SCHEMA).json(f"{path}/summary"),
+            spark.read.schema(DETAIL_SCHEMA).json(f"{path}/results"))

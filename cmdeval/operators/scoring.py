@@ -69,19 +69,17 @@ def token_counts(df: DataFrame, keys: list[str], pred: str = "clean_prediction",
                  gold: str = "gold") -> DataFrame:
     """Multiset view of both bags: (keys, side, n, gram, cnt).
 
-    Pair rows are hash-partitioned on the pair key before the grams are
-    exploded; the count groups by (pair key, side, n, gram), which that
-    partitioning already satisfies, so only pair rows cross the network,
-    never the exploded grams. The pair key is unique, so it cannot be hot.
+    After a shuffled join on the pair key the rows already lie by that key, which
+    serves the grouping too; after a broadcast join, grams combine map-side.
+    The pair key is unique, so it cannot be hot.
     """
     def tag(side: str, n: int):
         return lambda g: F.struct(F.lit(side).alias("side"), F.lit(n).cast("bigint").alias("n"),
                                   g.alias("gram"))
 
-    staged = df.select(*keys, tokens(pred).alias("_pt"), tokens(gold).alias("_gt")).repartition(*keys)
+    staged = df.select(*keys, tokens(pred).alias("_pt"), tokens(gold).alias("_gt"))
     staged = with_gram_orders(with_gram_orders(staged, "_pt", "_p"), "_gt", "_g")
     items = F.concat(*[F.transform(F.col(f"{prefix}{n}"), tag(side, n))
                        for prefix, side in (("_p", "pred"), ("_g", "gold")) for n in ORDERS])
-    return (staged.select(*keys, F.explode(items).alias("it"))
-            .select(*keys, "it.side", "it.n", "it.gram")
+    return (staged.select(*keys, F.explode(items).alias("it")).select(*keys, "it.side", "it.n", "it.gram")
             .groupBy(*keys, "side", "n", "gram").agg(F.count(F.lit(1)).alias("cnt")))

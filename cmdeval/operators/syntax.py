@@ -22,17 +22,29 @@ def _child_env() -> dict[str, str]:
             if k not in ("BASH_ENV", "ENV") and not k.startswith("BASH_FUNC_")}
 
 
-def is_valid_bash(cmd: str, timeout: float = SYNTAX_TIMEOUT_SEC, env: dict | None = None) -> bool:
-    """``bash -n -c cmd`` exits 0 within ``timeout``; any failure counts as invalid.
+#: What the parser says of a command.
+ARGUMENT_BYTES = 100_000
+ACCEPTED, REJECTED, TIMED_OUT, NOT_RUN = "accepted", "rejected", "timed out", "not run"
 
-    ``-n`` only parses: nothing in ``cmd`` runs.
-    """
+
+def parse_outcome(command: str, timeout: float = SYNTAX_TIMEOUT_SEC, env: dict | None = None) -> str:
+    """What a parse-only shell makes of ``command``; one too long for an argument goes to its standard input."""
+    data = command.encode("utf-8", "replace")
+    if b"\0" in data:
+        return NOT_RUN
+    given = ["-c", command] if len(data) < ARGUMENT_BYTES else []
     try:
-        res = subprocess.run(["bash", "-n", "-c", cmd], capture_output=True, timeout=timeout,
-                             stdin=subprocess.DEVNULL, env=env if env is not None else _child_env())
-        return res.returncode == 0
-    except Exception:
-        return False
+        parser = subprocess.Popen(["bash", "-n", *given], stdin=subprocess.PIPE, stdout=subprocess.DEVNULL,
+                                  stderr=subprocess.DEVNULL, env=_child_env() if env is None else env)
+    except OSError:
+        return NOT_RUN
+    with parser:
+        try:
+            parser.communicate(None if given else data, timeout)
+        except subprocess.TimeoutExpired:
+            parser.kill()
+            return TIMED_OUT
+    return ACCEPTED if parser.returncode == 0 else REJECTED
 
 
 def _check_batches(batches: Iterator[pd.DataFrame], col: str, timeout: float,
@@ -41,7 +53,7 @@ def _check_batches(batches: Iterator[pd.DataFrame], col: str, timeout: float,
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         for pdf in batches:
             cmds = pdf[col].tolist()
-            ok = list(pool.map(lambda c: is_valid_bash(c, timeout, env), cmds))
+            ok = [o == ACCEPTED for o in pool.map(lambda c: parse_outcome(c, timeout, env), cmds)]
             yield pd.DataFrame({col: cmds, "_ok": ok})
 
 
@@ -71,14 +83,3 @@ def attach(df: DataFrame, checked: DataFrame, col: str = "clean_prediction",
     command key); a command without a verdict, or NULL, counts as invalid."""
     return (df.join(checked.withColumnRenamed(out, "_ok"), on=col, how="left")
             .withColumn(out, F.coalesce(F.col("_ok"), F.lit(False))).drop("_ok"))
-
-
-def check(df: DataFrame, col: str = "clean_prediction", out: str = "syntax_valid",
-          timeout: float = SYNTAX_TIMEOUT_SEC, parallelism: int = 4) -> DataFrame:
-    """Adds a boolean ``out`` column: ``bash -n`` once per distinct command.
-
-    ``df`` is read twice (distinct commands, then the join back); when it is
-    expensive, compute the verdicts from a cheaper source of the same
-    commands with ``verdicts`` and ``attach`` (as ``evaluate.score`` does).
-    """
-    return attach(df, verdicts(df, col, out, timeout, parallelism), col, out)

@@ -56,7 +56,3 @@ def tail(log: DataFrame, n: int = LOG_TAIL_LINES, by: Sequence[str] = ("run_id",
     w = Window.partitionBy(*by).orderBy(F.col(order).desc())
     return (log.withColumn("rn", F.row_number().over(w))
             .where(F.col("rn") <= n).withColumn("rn", F.col("rn").cast("bigint")))
-
-
-def corpus_size(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("n_rows"))

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from ..functions import timefn
 from ..functions.text import clean_command, cut_at_stop, last_line
 from ..operators import evaluate, predict, prep, report, scoring, telemetry
-from ..session import scratch_path, spread
+from ..constants import SHORT_REPORT
+from ..session import scratch_path
 from ..sources import fixtures
 from .. import streaming
 
@@ -26,16 +27,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _documents(spark, d):
-    return spread(table(spark, d, "documents"))
+def _suite(spark, d):
+    return fixtures.suite_from_documents(table(spark, d, "documents"))
 
 
-def _suite(spark, d):
-    # Spread after the projection so the exchange carries only what the query reads.
-    return spread(fixtures.suite_from_documents(table(spark, d, "documents")))
+def _answers(spark, d):
+    """Both models' answers to every document."""
+    return fixtures.simulated_answers(_suite(spark, d))
 
 
 def _sim(spark, d):
+    """The predictor's log: answers with missing, failed and retried calls."""
     return fixtures.simulated_responses(_suite(spark, d))
 
 
@@ -83,7 +85,7 @@ def q_alias_resolve(spark, d):
 
 
 def q_seq_budget(spark, d):
-    docs = _documents(spark, d).select("doc_id", "text")
+    docs = table(spark, d, "documents").select("doc_id", "text")
     out = prep.truncate_tokens(docs, "text")
     return out.select("doc_id", "n_tokens", "over_budget",
                       F.size("kept_tokens").cast("bigint").alias("kept_n"),
@@ -104,16 +106,16 @@ def q_corpus_size(spark, d):
 # ---- answer cleaning -----------------------------------------------------
 
 def q_stop_truncate(spark, d):
-    gen = fixtures.generations(_sim(spark, d))
+    gen = fixtures.generations(_answers(spark, d))
     return gen.select(*KEYS, cut_at_stop("generation").alias("cut"))
 
 
 def q_ask_last_line(spark, d):
-    return _sim(spark, d).select(*KEYS, last_line("raw_prediction").alias("last_line"))
+    return _answers(spark, d).select(*KEYS, last_line("raw_prediction").alias("last_line"))
 
 
 def q_clean_command(spark, d):
-    return _sim(spark, d).select(*KEYS, clean_command("raw_prediction").alias("clean_prediction"))
+    return _answers(spark, d).select(*KEYS, clean_command("raw_prediction").alias("clean_prediction"))
 
 
 # ---- metrics -------------------------------------------------------------
@@ -189,14 +191,30 @@ def q_model_compare(spark, d):
     return report.compare(_summary(spark, d), "base", "tuned")
 
 
+#: What each suite's report shows, and the models' names in it.
+TRACKS = {"suite_b": SHORT_REPORT}
+LABELS = {"base": "simulated base", "tuned": "simulated tuned"}
+
+
 def q_markdown_report(spark, d):
-    return report.markdown(report.compare(_summary(spark, d), "base", "tuned"))
+    shown = report.compare(_summary(spark, d), "base", "tuned", tracks=TRACKS)
+    return report.markdown(shown, LABELS["base"], LABELS["tuned"])
 
 
-def q_json_report(spark, d):
+def _written_report(spark, d):
     path = scratch_path(spark, "json-report")
-    paths = report.write_json(_results(spark, d), path)
-    return spark.read.json(paths["results"])
+    report.write_json(_results(spark, d), path)
+    return report.read_json_report(spark, path)
+
+
+def q_json_report(spark, d):
+    """The detail records, as read back from the report's files."""
+    return _written_report(spark, d)[1].select(*evaluate.RESULT_COLUMNS)
+
+
+def q_json_summary(spark, d):
+    """The summary, as read back from the report's files."""
+    return _written_report(spark, d)[0]
 
 
 def q_syntax_valid(spark, d):
@@ -221,60 +239,69 @@ def q_peak_memory(spark, d):
     return telemetry.peak_memory(_gpu(spark, d))
 
 
+def q_peak_memory_by_label(spark, d):
+    return telemetry.peak_memory(_gpu(spark, d), by=("run_id", "label"))
+
+
 def q_log_tail(spark, d):
     return telemetry.tail(_run_log(spark, d))
 
 
 # ---- streams -------------------------------------------------------------
 
+def _stream(spark, d, name):
+    """A table of the given folder as a stream, read where it lies."""
+    schema = table(spark, d, name).schema
+    return (spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
+            .option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(f"{d.rstrip('/')}/{name}.parquet*"))
+
+
+FILES_PER_BATCH = 64
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _drain(spark, stream, name, mode="append"):
+    """Run a stream to the end of its input, state in RocksDB; where its output lies."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    out = scratch_path(spark, name)
+    streaming.run_availablenow(stream, out, out + "-ckpt", mode=mode)
+    return out
+
+
 def q_stream_log_tail(spark, d):
-    src = scratch_path(spark, "log-src")
-    log = _run_log(spark, d).withColumn("ts", timefn.utc_instant("ts"))
-    log.write.option("timestampFormat", streaming.LOG_TS_FORMAT).json(src)
-    out = scratch_path(spark, "log-tail")
-    stream = streaming.tail_log(spark, src)
-    streaming.run_availablenow(stream, out, out + "-ckpt")
-    return spark.read.parquet(out).select("run_id", "step", timefn.utc_wall("ts").alias("ts"), "loss")
+    log = fixtures.run_log_from_events(_stream(spark, d, "events"))
+    return spark.read.parquet(_drain(spark, log, "log-tail")).select("run_id", "step", "ts", "loss")
 
 
 def q_stream_eval(spark, d):
-    src = scratch_path(spark, "answers-src")
-    fixtures.with_arrival_time(_sim(spark, d)).write.parquet(src)
-    schema = spark.read.parquet(src).schema
-    answers = spark.readStream.schema(schema).parquet(src)
-    out = scratch_path(spark, "running-eval")
-    # The static side is re-read every micro-batch: no spread there.
-    static_suite = fixtures.suite_from_documents(table(spark, d, "documents"))
-    totals = streaming.running_evaluation(answers, static_suite)
-    streaming.run_availablenow(totals, out, out + "-ckpt", mode="complete")
+    """Answers stream in with the documents; the references are written once, by the join's key."""
+    calls = fixtures.simulated_responses(fixtures.suite_from_documents(_stream(spark, d, "documents")))
+    gold = scratch_path(spark, "gold")
+    _suite(spark, d).select("suite", "id", "gold").repartition("suite", "id").write.parquet(gold)
+    gold = spark.read.schema("suite string, id bigint, gold string").parquet(gold)
+    out = _drain(spark, streaming.running_evaluation(calls, gold), "running-eval", mode="complete")
     return streaming.finish_running(spark.read.parquet(out))
 
 
 STREAM_WINDOW = "1 day"
-STREAM_WATERMARK = "1 hour"
+#: Files of a table come in any order: no sample of it is late.
+STREAM_WATERMARK = "36500 days"
 
 
 def q_stream_telemetry(spark, d):
-    src = scratch_path(spark, "gpu-src")
-    _gpu(spark, d).withColumn("ts", timefn.utc_instant("ts")).write.parquet(src)
-    schema = spark.read.parquet(src).schema
-    samples = spark.readStream.schema(schema).parquet(src)
-    out = scratch_path(spark, "gpu-windows")
+    samples = fixtures.gpu_samples_from_events(_stream(spark, d, "events")).withColumn("ts", timefn.utc_instant("ts"))
     windows = streaming.telemetry_windows(samples, STREAM_WINDOW, STREAM_WATERMARK, by=("label",))
-    streaming.run_availablenow(windows, out, out + "-ckpt")
-    return spark.read.parquet(out).select(
+    out = _drain(spark, windows, "gpu-windows", mode="update")
+    return streaming.latest(spark, out, ["window_start", "window_end", "label"]).select(
         timefn.utc_wall("window_start").alias("window_start"),
         timefn.utc_wall("window_end").alias("window_end"),
         "label", "n_samples", "peak_reserved_bytes")
 
 
 def q_stream_loss_windows(spark, d):
-    src = scratch_path(spark, "loss-src")
-    _run_log(spark, d).withColumn("ts", timefn.utc_instant("ts")).write.parquet(src)
-    log = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
-    out = scratch_path(spark, "loss-windows")
-    streaming.run_availablenow(streaming.loss_windows(log, STREAM_WINDOW, STREAM_WATERMARK), out, out + "-ckpt")
-    return spark.read.parquet(out).select(
+    log = fixtures.run_log_from_events(_stream(spark, d, "events")).withColumn("ts", timefn.utc_instant("ts"))
+    out = _drain(spark, streaming.loss_windows(log, STREAM_WINDOW, STREAM_WATERMARK), "loss-windows", mode="update")
+    return streaming.latest(spark, out, ["window_start", "window_end", "run_id"]).select(
         timefn.utc_wall("window_start").alias("window_start"),
         timefn.utc_wall("window_end").alias("window_end"),
         "run_id", "n_logged", "mean_loss", "last_loss")
@@ -305,10 +332,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_compare": q_model_compare,
     "markdown_report": q_markdown_report,
     "json_report": q_json_report,
+    "json_summary": q_json_summary,
     "train_plan": q_train_plan,
     "corpus_size": q_corpus_size,
     "loss_convergence": q_loss_convergence,
     "peak_memory": q_peak_memory,
+    "peak_memory_by_label": q_peak_memory_by_label,
     "log_tail": q_log_tail,
     "syntax_valid": q_syntax_valid,
     "batch_predict": q_batch_predict,

@@ -7,8 +7,8 @@ line filters. Fixture parameters come from the same constants.
 
 from __future__ import annotations
 
-from ..constants import (BLEU_DIGITS, IM_END, IM_START, PY_WHITESPACE_CODEPOINTS, REPORT_METRICS,
-                         ROWS_PER_STEP, SEQ_BUDGET_TOKENS, SYSTEM_PROMPT, TOKEN_PATTERN,
+from ..constants import (BLEU_DIGITS, IM_END, IM_START, PY_WHITESPACE_CODEPOINTS, REPORT_HEADER,
+                         REPORT_METRICS, REPORT_RULE, ROWS_PER_STEP, SEQ_BUDGET_TOKENS, SHORT_REPORT, SYSTEM_PROMPT, TOKEN_PATTERN,
                          TRAIN_MAX_STEPS, TRAIN_SEED, LOG_TAIL_LINES)
 from ..sources import fixtures as fx
 
@@ -36,7 +36,7 @@ MODELS = "models AS (SELECT unnest([" + ", ".join(q(m) for m in fx.SIM_MODELS) +
 
 SUITE = f"""suite AS (
   SELECT CASE WHEN doc_id % 2 = 0 THEN 'suite_a' ELSE 'suite_b' END AS suite,
-         doc_id AS id, text AS nl, trim(split_part(text, {NL}, 1), {WS}) AS gold
+         doc_id AS id, text AS nl, trim(replace(text, {NL}, ' '), {WS}) AS gold
   FROM documents)"""
 
 SIM = f"""sim0 AS (
@@ -44,9 +44,8 @@ SIM = f"""sim0 AS (
          CASE WHEN m.model = 'base' THEN s.id % {fx.SIM_FLAVOURS}
               WHEN s.id % {fx.SIM_TUNED_KEEP_MOD} = 0 THEN s.id % {fx.SIM_FLAVOURS}
               ELSE 0 END AS f
-  FROM suite s CROSS JOIN models m
-  WHERE s.id % {fx.SIM_MISSING_MOD} <> 0),
-sim AS (
+  FROM suite s CROSS JOIN models m),
+answers AS (
   SELECT model, suite, id,
          CASE f WHEN 0 THEN gold
                 WHEN 1 THEN '```bash' || {NL} || gold || {NL} || '```'
@@ -56,13 +55,16 @@ sim AS (
          {fx.SIM_LATENCY_STEP}{D} * (id % {fx.SIM_LATENCY_MOD})
            + CASE WHEN model = 'base' THEN {fx.SIM_LATENCY_BASE['base']}{D}
                   ELSE {fx.SIM_LATENCY_BASE['tuned']}{D} END AS latency
-  FROM sim0)"""
+  FROM sim0),
+sim AS (
+  SELECT model, suite, id, raw_prediction, latency, FALSE AS is_error FROM answers
+  WHERE id % {fx.SIM_MISSING_MOD} <> 0 AND id % {fx.SIM_FAILED_MOD} <> 0)"""
 
 PAIRED = f"""paired AS (
   SELECT m.model, s.suite, s.id, s.nl, s.gold,
          coalesce(trim(r.raw_prediction, {WS}), '') AS raw_prediction,
          coalesce(r.latency, 0.0{D}) AS latency,
-         r.raw_prediction IS NULL AS is_error
+         r.model IS NULL AS is_error
   FROM suite s CROSS JOIN models m
   LEFT JOIN sim r ON r.model = m.model AND r.suite = s.suite AND r.id = s.id)"""
 
@@ -81,11 +83,13 @@ def scoring(src: str) -> str:
     """CTEs cleaned/tok/grams/cnt/ov/scored over a CTE with (model, suite, id, gold, raw_prediction, ...)."""
     grams_side = []
     for side, col in (("pred", "pt"), ("gold", "gt")):
-        grams_side.append(
-            f"SELECT model, suite, id, o.n, '{side}' AS side, "
-            f"unnest(list_transform(range(1, len({col}) - o.n + 2), "
-            f"lambda i: array_to_string(list_slice({col}, i, i + o.n - 1), ' '))) AS gram "
-            f"FROM tok CROSS JOIN (SELECT unnest([1, 2, 3, 4]) AS n) o")
+        for n in range(1, 5):
+            # Shifted slices side by side: linear in the tokens. Short bags give null grams.
+            slices = ", ".join(f"{col}[{k}:len({col}) - {n - k}]" for k in range(1, n + 1))
+            joined = " || ' ' || ".join(f"x[{k}]" for k in range(1, n + 1))
+            gram = col if n == 1 else f"list_transform(list_zip({slices}), lambda x: {joined})"
+            grams_side.append(f"SELECT model, suite, id, {n} AS n, '{side}' AS side, unnest({gram}) AS gram FROM tok")
+    grams_sql = "\n  UNION ALL ".join(grams_side)
     ov_joins = "\n".join(
         f"  LEFT JOIN ov o{n} ON o{n}.model = c.model AND o{n}.suite = c.suite AND o{n}.id = c.id AND o{n}.n = {n}"
         for n in range(1, 5))
@@ -94,8 +98,7 @@ def scoring(src: str) -> str:
         f"ELSE 0.0{D} END" for n in range(1, 5))
     return f"""cleaned AS (SELECT *, {clean_sql('raw_prediction')} AS clean_prediction FROM {src}),
 tok AS (SELECT model, suite, id, {tokens_sql('clean_prediction')} AS pt, {tokens_sql('gold')} AS gt FROM cleaned),
-grams AS ({grams_side[0]}
-  UNION ALL {grams_side[1]}),
+grams AS (SELECT * FROM ({grams_sql}) WHERE gram IS NOT NULL),
 cnt AS (SELECT model, suite, id, n, side, gram, count(*) AS c FROM grams GROUP BY ALL),
 ov AS (
   SELECT p.model, p.suite, p.id, p.n, sum(least(p.c, g.c)) AS m
@@ -138,6 +141,8 @@ SUMMARY_SELECT = f"""SELECT {SUMMARY_COLS},
   {rnd('avg(CASE WHEN NOT is_error THEN latency END)', 2)} AS avg_latency_ok
 FROM scored GROUP BY model, suite"""
 
+SHORT = ", ".join(f"'{m}'" for m in SHORT_REPORT)
+
 _present = [(i, m) for i, m in enumerate(REPORT_METRICS, 1) if m[0] != "syntax_validity_pct"]
 LONG = "long AS (" + "\n  UNION ALL ".join(
     f"SELECT model, suite, '{m[0]}' AS metric, {i} AS metric_ord, '{m[3]}' AS kind, {m[0]}{D} AS value FROM summary"
@@ -168,18 +173,19 @@ def _num(expr: str) -> str:
 
 
 MARKDOWN = f"""{EVAL}, {COMPARE},
+shown AS (SELECT * FROM cmp WHERE suite <> 'suite_b' OR metric IN ({SHORT})),
 heads AS (SELECT DISTINCT suite FROM cmp)
 SELECT suite, CAST(0 AS BIGINT) AS line_no, '### ' || suite AS line FROM heads
-UNION ALL SELECT suite, CAST(1 AS BIGINT), {q('| Metric | Base Model (base) | Fine-Tuned Model (tuned) | Improvement |')} FROM heads
-UNION ALL SELECT suite, CAST(2 AS BIGINT), '| :--- | :--- | :--- | :--- |' FROM heads
+UNION ALL SELECT suite, CAST(1 AS BIGINT), {q(REPORT_HEADER.format(base='simulated base', tuned='simulated tuned'))} FROM heads
+UNION ALL SELECT suite, CAST(2 AS BIGINT), {q(REPORT_RULE)} FROM heads
 UNION ALL SELECT suite, metric_ord + 2,
   '| ' || {_case(1)} || ' | ' || {_num('base')} || {_case(2)} || ' | **' || {_num('tuned')} || {_case(2)} || '** | '
   || CASE WHEN kind = 'faster' THEN '⚡ ' || {_num('delta')} || '% faster'
           ELSE '+' || {_num(rnd('delta', 1))} || {_case(2)} END || ' |'
-FROM cmp"""
+FROM shown"""
 
 PAIRS = f"""pairs AS (
-  SELECT u.conv_id * {fx.PAIR_ID_STRIDE} + u.turn AS pair_id,
+  SELECT CAST('0x' || left(md5(CAST(u.conv_id AS VARCHAR) || ':' || CAST(u.turn AS VARCHAR)), 15) AS BIGINT) AS pair_id,
          trim(u.text, {WS}) AS instruction, trim(a.text, {WS}) AS command
   FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
   WHERE u.role = 'user' AND a.role = 'assistant'),
@@ -208,11 +214,11 @@ FROM conversations GROUP BY conv_id""",
                                WHEN 2 THEN {q(IM_START + 'assistant')} || {NL} || raw_prediction
                                ELSE '' END,
     {q(IM_END)}, 1), {q(IM_START)}, 1) AS cut
-FROM sim""",
+FROM answers""",
     "ask_last_line": with_(MODELS, SUITE, SIM) + f"""SELECT model, suite, id,
   list_filter(string_split(replace(raw_prediction, chr(13), ''), {NL}), lambda l: trim(l, {BLANK}) <> '')[-1] AS last_line
-FROM sim""",
-    "clean_command": with_(MODELS, SUITE, SIM) + f"SELECT model, suite, id, {clean_sql('raw_prediction')} AS clean_prediction FROM sim",
+FROM answers""",
+    "clean_command": with_(MODELS, SUITE, SIM) + f"SELECT model, suite, id, {clean_sql('raw_prediction')} AS clean_prediction FROM answers",
     "seq_budget": f"""WITH t AS (SELECT doc_id, {tokens_sql('text')} AS tok FROM documents)
 SELECT doc_id, CAST(len(tok) AS BIGINT) AS n_tokens, len(tok) > {SEQ_BUDGET_TOKENS} AS over_budget,
   CAST(len(list_slice(tok, 1, {SEQ_BUDGET_TOKENS})) AS BIGINT) AS kept_n,
@@ -233,10 +239,13 @@ LEFT JOIN ov v ON v.model = c.model AND v.suite = c.suite AND v.id = c.id AND v.
     "output_chars": EVAL + "SELECT model, suite, id, output_chars FROM scored",
     "eval_grid": with_(MODELS, SUITE) + "SELECT m.model, s.suite, s.id FROM suite s CROSS JOIN models m",
     "missing_default": with_(MODELS, SUITE, SIM, PAIRED) + "SELECT model, suite, id, raw_prediction, latency, is_error FROM paired",
-    "suite_union": f"""SELECT 'documents' AS suite, doc_id AS id, trim(split_part(text, {NL}, 1), {WS}) AS gold FROM documents
-UNION ALL SELECT 'benchmark', item_id, trim(split_part(text, {NL}, 1), {WS}) FROM benchmark""",
+    "suite_union": f"""SELECT 'documents' AS suite, doc_id AS id, trim(replace(text, {NL}, ' '), {WS}) AS gold FROM documents
+UNION ALL SELECT 'benchmark', item_id, trim(replace(text, {NL}, ' '), {WS}) FROM benchmark""",
     "sample_results": EVAL + """SELECT model, suite, id, nl, gold, raw_prediction, clean_prediction,
   em, f1, bleu4, latency, is_error FROM scored""",
+    "json_report": EVAL + """SELECT model, suite, id, nl, gold, raw_prediction, clean_prediction,
+  em, f1, bleu4, latency, is_error FROM scored""",
+    "json_summary": EVAL + SUMMARY_SELECT,
     "suite_summary": EVAL + SUMMARY_SELECT,
     "model_compare": EVAL + ", " + COMPARE + "\nSELECT suite, metric, metric_ord, base, tuned, delta FROM cmp",
     "markdown_report": MARKDOWN,
@@ -263,6 +272,15 @@ u AS (SELECT *, {rnd('peak_reserved_bytes / 1073741824.0::DOUBLE', 3)} AS used_g
              {rnd('total_bytes / 1073741824.0::DOUBLE', 3)} AS total_gib FROM g)
 SELECT CAST(user_id AS VARCHAR) AS run_id, n_samples, peak_reserved_bytes, total_bytes, used_gib, total_gib,
   CASE WHEN total_gib = 0 THEN NULL ELSE {rnd('used_gib / total_gib * 100.0::DOUBLE', 2)} END AS used_pct
+FROM u""",
+    "peak_memory_by_label": f"""WITH g AS (
+  SELECT user_id, event_type AS label, count(*) AS n_samples, max({RESERVED}) AS peak_reserved_bytes,
+         CAST({fx.GPU_TOTAL_GIB * (1 << 30)} AS BIGINT) AS total_bytes
+  FROM events GROUP BY user_id, event_type),
+u AS (SELECT *, {rnd('peak_reserved_bytes / 1073741824.0::DOUBLE', 3)} AS used_gib,
+             {rnd('total_bytes / 1073741824.0::DOUBLE', 3)} AS total_gib FROM g)
+SELECT CAST(user_id AS VARCHAR) AS run_id, label, n_samples, peak_reserved_bytes, total_bytes, used_gib, total_gib,
+  CASE WHEN total_gib = 0 THEN NULL ELSE {rnd('used_gib / total_gib * 100.0::DOUBLE', 2)} END AS used_pct
 FROM u""",
     "log_tail": f"""SELECT run_id, step, ts, loss, CAST(rn AS BIGINT) AS rn FROM (
   SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY step DESC) AS rn FROM ({RUN_LOG}))
@@ -277,11 +295,11 @@ WHERE rn <= {LOG_TAIL_LINES}""",
          max({RESERVED}) AS peak_reserved_bytes
   FROM events GROUP BY ALL)
 SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, label, n_samples, peak_reserved_bytes
-FROM w WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+FROM w""",
     "stream_loss_windows": f"""WITH w AS (
   SELECT date_trunc('day', ts) AS window_start, CAST(user_id AS VARCHAR) AS run_id, count(*) AS n_logged,
          {rnd('avg(value)', 6)} AS mean_loss, arg_max(value, event_id) AS last_loss
   FROM events GROUP BY ALL)
 SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, run_id, n_logged, mean_loss, last_loss
-FROM w WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+FROM w""",
 }

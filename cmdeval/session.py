@@ -35,9 +35,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors, taken from ``spark.checkpoint.dir``.
 
-    The cluster names it; only when it is unset (local tests) do we make one
-    and register it as the checkpoint dir, so lineage cuts and written tables
-    land in the same place.
+    The cluster names it. Only a local session, all of whose tasks share this
+    machine, may do without: it gets a folder of its own, registered as the
+    checkpoint dir. On a cluster a missing folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -47,6 +47,8 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="cmdeval-shared-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
@@ -73,10 +75,11 @@ def ensure_package_on_workers(spark: SparkSession) -> None:
     if app in _SHIPPED:
         return
     base = shared_dir(spark)
-    local = base[len("file:"):] if base.startswith("file:") else base
-    if "://" in local:
+    scheme, colon, rest = base.partition(":")
+    if colon and scheme != "file":  # hdfs:/x as well as hdfs://host/x
         _SHIPPED.add(app)
         return
+    local = os.path.normpath("/" + rest.lstrip("/")) if colon else base
     import shutil
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     target = os.path.join(local, f"pyfiles-{uuid.uuid4().hex}")
@@ -85,18 +88,3 @@ def ensure_package_on_workers(spark: SparkSession) -> None:
                                   root_dir=os.path.dirname(pkg_dir), base_dir="cmdeval")
     sc.addPyFile(archive)
     _SHIPPED.add(app)
-
-
-def spread(df, min_partitions: int | None = None):
-    """Round-robin a scan of few files over the cores before CPU-bound row work.
-
-    A single small Parquet file with one row group is read by one task; with
-    as many files as cores (the cluster case) the scan already splits and
-    nothing is added. The partition count is explicit, so adaptive execution
-    keeps it.
-    """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= want:
-        return df
-    return df.repartition(want)

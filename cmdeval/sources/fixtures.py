@@ -5,10 +5,12 @@ scale with the tables they read:
 
 * pairs      - each ``user`` turn whose next turn is ``assistant``
 * suite      - one row per document: even ids in ``suite_a``, odd in
-               ``suite_b``; gold = first line of the text, stripped
-* responses  - deterministic answers of two models, ``base`` and ``tuned``,
-               in five shapes (plain, fenced, chatty, commented, half);
-               no answer when ``doc_id % 11 = 0``
+               ``suite_b``; gold = the whole text on one line, stripped
+* answers    - of two models, ``base`` and ``tuned``, to every row, in five
+               shapes (plain, fenced, chatty, commented, half)
+* responses  - the answers as a predictor logs them: none when ``doc_id % 11
+               = 0``, only a failed call when ``doc_id % 17 = 0``, a failed
+               call before the answer when ``doc_id % 13 = 0``
 * run log / GPU samples - ``events`` read as telemetry
 """
 
@@ -18,12 +20,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import IM_END, IM_START
-from ..functions.text import first_line, strip
+from ..functions.text import strip
 
 
 # Fixture parameters (shared with the SQL in plans/oracle.py).
 SIM_MODELS = ("base", "tuned")
 SIM_MISSING_MOD = 11
+SIM_RETRY_MOD = 13
+SIM_FAILED_MOD = 17
 SIM_FLAVOURS = 5
 SIM_TUNED_KEEP_MOD = 3
 SIM_LATENCY_STEP = 0.25
@@ -32,7 +36,12 @@ SIM_LATENCY_BASE = {"base": 2.0, "tuned": 0.5}
 CHATTER = "Hope this helps."
 COMMENT_LINE = "# note"
 GPU_TOTAL_GIB = 512
-PAIR_ID_STRIDE = 1_000_000
+
+
+def pair_id(conv: str, turn: str) -> Column:
+    """Id of a turn pair: the first 15 hexadecimal digits of an MD5, so long conversations don't collide."""
+    digest = F.md5(F.concat_ws(":", F.col(conv).cast("string"), F.col(turn).cast("string")))
+    return F.conv(F.left(digest, F.lit(15)), 16, 10).cast("bigint")
 
 
 def conversation_pairs(conversations: DataFrame) -> DataFrame:
@@ -47,13 +56,13 @@ def conversation_pairs(conversations: DataFrame) -> DataFrame:
     asst = (conversations.where(F.col("role") == "assistant")
             .select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("command")))
     return (user.join(asst, ["conv_id", "turn"], "inner")
-            .select((F.col("conv_id") * PAIR_ID_STRIDE + F.col("turn")).alias("pair_id"),
+            .select(pair_id("conv_id", "turn").alias("pair_id"),
                     "conv_id", "turn", "instruction", "command"))
 
 
 def gold_of(text: Column | str) -> Column:
-    """Reference command of a text: its first line, stripped."""
-    return strip(first_line(text))
+    """Reference command of a text: the whole text on one line, stripped."""
+    return strip(F.translate(text, "\n", " "))
 
 
 def suite_from_documents(documents: DataFrame) -> DataFrame:
@@ -73,13 +82,13 @@ def _flavour_text(flavour: Column, gold: Column) -> Column:
             .otherwise(F.left(gold, F.floor(F.length(gold) / 2).cast("int"))))
 
 
-def simulated_responses(suite: DataFrame) -> DataFrame:
-    """(model, suite, id, raw_prediction, latency) for both simulated models.
+def simulated_answers(suite: DataFrame) -> DataFrame:
+    """(model, suite, id, raw_prediction, latency) of both simulated models for every suite row.
 
     The two model rows come from exploding a literal array: no join.
     """
     models = F.array(*[F.lit(m) for m in SIM_MODELS])
-    rows = suite.where(F.col("id") % SIM_MISSING_MOD != 0).withColumn("model", F.explode(models))
+    rows = suite.withColumn("model", F.explode(models))
     flavour = (F.when(F.col("model") == "base", F.col("id") % SIM_FLAVOURS)
                .when(F.col("id") % SIM_TUNED_KEEP_MOD == 0, F.col("id") % SIM_FLAVOURS)
                .otherwise(F.lit(0)))
@@ -92,6 +101,21 @@ def simulated_responses(suite: DataFrame) -> DataFrame:
     )
 
 
+def simulated_responses(suite: DataFrame) -> DataFrame:
+    """(model, suite, id, raw_prediction, latency, is_error, ts): the answers with missing, failed and retried calls."""
+    calls = with_arrival_time(simulated_answers(suite)).where(F.col("id") % SIM_MISSING_MOD != 0)
+    kinds = (F.when(F.col("id") % SIM_FAILED_MOD == 0, F.array(F.lit(True)))
+             .when(F.col("id") % SIM_RETRY_MOD == 0, F.array(F.lit(True), F.lit(False)))
+             .otherwise(F.array(F.lit(False))))
+    calls = calls.withColumn("is_error", F.explode(kinds))
+    failed = F.col("is_error")
+    return calls.select(
+        "model", "suite", "id",
+        F.when(failed, F.lit("")).otherwise(F.col("raw_prediction")).alias("raw_prediction"),
+        F.when(failed, F.lit(0.0)).otherwise(F.col("latency")).alias("latency"), "is_error",
+        F.when(failed, F.col("ts") - F.expr("INTERVAL 1 HOUR")).otherwise(F.col("ts")).alias("ts"))
+
+
 def generations(responses: DataFrame) -> DataFrame:
     """Raw generations that run past the answer: by ``id % 3`` nothing, an
     end-of-turn marker and chatter, or a new turn header and the gold."""

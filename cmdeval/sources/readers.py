@@ -26,13 +26,14 @@ def _format_of(path: str, fmt: str | None) -> str:
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str | None = None,
-               project: bool = True) -> DataFrame:
+               project: bool = True, multi_line: bool = False) -> DataFrame:
+    """``multi_line``: CSV values may hold line breaks; each file is then read by one task."""
     fmt = _format_of(path, fmt)
     reader = spark.read
     if fmt == "parquet":
         df = reader.parquet(path)
     elif fmt == "csv":
-        df = reader.schema(schema).option("header", True).option("multiLine", True).csv(path)
+        df = reader.schema(schema).option("header", True).option("multiLine", multi_line).csv(path)
     else:
         df = reader.schema(schema).json(path)
     if not project:
@@ -40,14 +41,16 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str |
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def read_pairs(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    """Raw training pairs; columns may use any alias, resolve with ``prep.resolve_pairs``."""
+def read_pairs(spark: SparkSession, path: str, fmt: str | None = None,
+               columns: tuple[str, str] = ("instruction", "command"), multi_line: bool = False) -> DataFrame:
+    """Raw training pairs; ``columns`` names the two aliases that JSON lines use, resolve with ``prep.resolve_pairs``."""
     fmt = _format_of(path, fmt)
     if fmt == "parquet":
         return spark.read.parquet(path)
     if fmt == "csv":
-        return spark.read.option("header", True).option("multiLine", True).csv(path)
-    return spark.read.json(path)
+        return spark.read.option("header", True).option("multiLine", multi_line).csv(path)
+    fields = [T.StructField("pair_id", T.LongType()), *[T.StructField(c, T.StringType()) for c in columns]]
+    return spark.read.schema(T.StructType(fields)).json(path)
 
 
 def read_suite(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:

@@ -23,9 +23,6 @@ RESPONSE_SCHEMA = T.StructType([
     T.StructField("latency", T.DoubleType()),
 ])
 
-# Responses arriving as a stream carry their arrival time.
-RESPONSE_STREAM_SCHEMA = T.StructType(RESPONSE_SCHEMA.fields + [T.StructField("ts", T.TimestampType())])
-
 RUN_LOG_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("step", T.LongType()),

@@ -1,5 +1,5 @@
-from .streams import (LOG_TS_FORMAT, loss_windows, finish_running, run_availablenow, running_evaluation, tail_log,
+from .streams import (LOG_TS_FORMAT, loss_windows, finish_running, run_availablenow, latest, running_evaluation, tail_log,
                       telemetry_windows)
 
-__all__ = ["loss_windows", "finish_running", "run_availablenow", "running_evaluation", "tail_log",
+__all__ = ["loss_windows", "finish_running", "latest", "run_availablenow", "running_evaluation", "tail_log",
            "telemetry_windows"]

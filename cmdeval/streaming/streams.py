@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions.metrics import output_chars, round_half_even, single_line
 from ..functions.text import clean_command, strip
+from ..operators.evaluate import failed_call
 from ..operators.scoring import score_pairs
 from ..sources.schemas import RUN_LOG_SCHEMA
 
@@ -42,11 +43,11 @@ def tail_log(spark: SparkSession, source_dir: str, schema: T.StructType = RUN_LO
 def running_evaluation(responses: DataFrame, suite: DataFrame, watermark: str = "1 hour") -> DataFrame:
     """Running per-(model, suite) sums over a stream of answers.
 
-    A replayed answer (same model, suite, id inside the watermark) counts
-    once. The stream joins the static suite; every metric is a projection of
+    Failed calls are left out; of the others the first to arrive counts (same
+    model, suite, id inside the watermark), as in the batch evaluation. The stream joins the static suite; every metric is a projection of
     the joined row, so the aggregate is one stateful ``groupBy``.
     """
-    answers = (responses.withWatermark("ts", watermark)
+    answers = (responses.where(~failed_call(responses)).withWatermark("ts", watermark)
                .dropDuplicatesWithinWatermark(["model", "suite", "id"]))
     joined = answers.join(suite.select("suite", "id", "gold"), ["suite", "id"], "inner")
     raw = joined.withColumn("raw_prediction", F.coalesce(strip("raw_prediction"), F.lit("")))
@@ -102,13 +103,23 @@ def loss_windows(log: DataFrame, window: str = "1 hour", watermark: str = "1 hou
                     *by, "n_logged", "mean_loss", "last_loss"))
 
 
+def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """The last state of every group that an ``update`` run has written."""
+    states = spark.read.parquet(path)
+    values = [c for c in states.columns if c not in (*keys, "batch")]
+    last = states.groupBy(*keys).agg(F.max(F.struct("batch", *values)).alias("s"))
+    return last.select(*keys, *[F.col("s")[c].alias(c) for c in values])
+
+
 def run_availablenow(stream: DataFrame, path: str, checkpoint: str, mode: str = "append",
                      timeout_sec: float | None = None) -> str:
     """Drain everything available into ``path`` and stop.
 
     ``append`` uses the Parquet file sink (exactly-once via its log).
     ``complete`` rewrites the whole result table per micro-batch, which is
-    idempotent when a batch is retried.
+    idempotent when a batch is retried. ``update`` writes the groups that a
+    micro-batch changed to a folder of its own, open windows included; read the
+    last state of each with ``latest``.
     """
     writer = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if mode == "append":
@@ -117,6 +128,10 @@ def run_availablenow(stream: DataFrame, path: str, checkpoint: str, mode: str =
         def overwrite(batch: DataFrame, _batch_id: int) -> None:
             batch.write.mode("overwrite").parquet(path)
         query = writer.outputMode("complete").foreachBatch(overwrite).start()
+    elif mode == "update":
+        def changed(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        query = writer.outputMode("update").foreachBatch(changed).start()
     else:
         raise ValueError(f"unsupported mode {mode!r}")
     query.awaitTermination(timeout_sec)

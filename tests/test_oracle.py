@@ -6,7 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-import __spark_entry__ as entry
+from cmdeval.plans import ORACLE_SQL, QUERIES
 from conftest import SF001
 
 TABLES = ["events", "documents", "conversations", "benchmark"]
@@ -34,18 +34,18 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, con, name):
-    got = entry.queries()[name](spark, SF001).toPandas()
-    want = con.execute(entry.oracle_sql()[name]).df()
+    got = QUERIES[name](spark, SF001).toPandas()
+    want = con.execute(ORACLE_SQL[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
     assert norm(got) == norm(want)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL)))
 def test_rows_only_queries_run(spark, name):
-    assert entry.queries()[name](spark, SF001).count() > 0
+    assert QUERIES[name](spark, SF001).count() > 0
 
 
 def test_every_oracle_has_a_query():
@@ -63,7 +63,7 @@ def test_entry_smoke(spark):
 def test_time_queries_independent_of_session_zone(spark, con, name):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        got = entry.queries()[name](spark, SF001).toPandas()
+        got = QUERIES[name](spark, SF001).toPandas()
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    assert norm(got) == norm(con.execute(entry.oracle_sql()[name]).df())
+    assert norm(got) == norm(con.execute(ORACLE_SQL[name]).df())

@@ -63,15 +63,5 @@ def test_hot_command_key_survives(spark):
     from cmdeval.operators import syntax
     rows = [(i, "" if i % 3 == 0 else f"echo {i}") for i in range(300)]
     df = spark.createDataFrame(rows, "id int, cmd string")
-    out = syntax.check(df, "cmd", "ok")
+    out = syntax.attach(df, syntax.verdicts(df, "cmd", "ok"), "cmd", "ok")
     assert out.count() == 300 and out.where("ok").count() == 300
-
-
-def test_spread_is_noop_with_many_files(spark):
-    from cmdeval.session import scratch_path, spread
-    path = scratch_path(spark, "many")
-    spark.range(1000).repartition(16).write.parquet(path)
-    df = spark.read.parquet(path)
-    assert spread(df, 8) is df
-    one = spark.read.parquet(f"{SF001}/events.parquet")
-    assert spread(one, 8) is not one

@@ -4,18 +4,19 @@ VALID = ["", "docker ps", "docker system health", "kill -9 $(lsof -t -i:3000)",
 INVALID = ["echo 'x", "a && ", "a || ", "if true", "((", "echo $(", "for i in 1 2; do echo $i", "-foo", "+n"]
 
 
-def test_is_valid_bash_vectors():
+def test_parse_outcomes():
     for c in VALID:
-        assert syntax.is_valid_bash(c), c
+        assert syntax.parse_outcome(c) == syntax.ACCEPTED, c
     for c in INVALID:
-        assert not syntax.is_valid_bash(c), c
-    assert not syntax.is_valid_bash("echo a\x00b")
+        assert syntax.parse_outcome(c) == syntax.REJECTED, c
+    assert syntax.parse_outcome("echo a\x00b") == syntax.NOT_RUN
+    assert syntax.parse_outcome("echo " + "x" * 300_000) == syntax.ACCEPTED
 
 
 def test_check_joins_back_every_row(spark):
     cmds = VALID + INVALID + ["docker ps"] * 5 + [None]
     df = spark.createDataFrame([(i, c) for i, c in enumerate(cmds)], "id int, cmd string")
-    got = {r.id: r.ok for r in syntax.check(df, "cmd", "ok").collect()}
+    got = {r.id: r.ok for r in syntax.attach(df, syntax.verdicts(df, "cmd", "ok"), "cmd", "ok").collect()}
     assert len(got) == len(cmds)
     for i, c in enumerate(cmds):
         assert got[i] == (c is not None and c in VALID), c

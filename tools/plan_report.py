@@ -48,8 +48,7 @@ def main() -> None:
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     lines = ["# Physical plan shapes", "",
              "Generated by `tools/plan_report.py` with broadcast joins and AQE off (the shape a",
-             "cluster gets when no side is small). `RoundRobinPartitioning` exchanges come from",
-             "`session.spread` on the single-file test tables and disappear with many input files.",
+             "cluster gets when no side is small).",
              "", "| query | exchanges | joins / aggregates / other | Python |", "|---|---|---|---|"]
     details = []
     for name, fn in QUERIES.items():

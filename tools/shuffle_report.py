@@ -65,10 +65,9 @@ def main() -> None:
     mb = 1024 * 1024
     lines = ["# Shuffle volume per query", "",
              f"`tools/shuffle_report.py` on `{sf_dir}`, local[8], 16 shuffle partitions, AQE on.",
-             "Shuffle = bytes and records written to shuffle files, including the round-robin",
-             "spread of the single-file test tables (a local-only step). Streaming micro-batches",
+             "Shuffle = bytes and records written to shuffle files. Streaming micro-batches",
              "run on their own thread without the job description, so only the batch part of",
-             "the stream queries (writing their source files) is counted.", "",
+             "the stream queries is counted.", "",
              "| query | shuffle MB | shuffle records | tasks |", "|---|---|---|---|"]
     for name in QUERIES:
         t = totals.get(name, {})
