@@ -311,14 +311,14 @@ def join_components(docs: DataFrame, n: int = N, similarity: int = SIMILARITY, d
     placed = (buckets.select(F.xxhash64("members").alias("bucket"), F.explode("members").alias("name")).join(sized, "name"))
     several = placed.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi")
     open_ = (placed.join(several.select("bucket"), "bucket", "left_semi").groupBy("bucket")
-             .agg(F.sort_array(F.collect_list(F.struct("n", "name", "part"))).alias("m")))
+             .agg(F.sort_array(F.collect_list(F.struct("n", "name", "part"))).alias("m"))
+             .select(*[F.transform("m", lambda x, c=c: x[c]).alias(c) for c in ("n", "name", "part")]))
 
     def across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for m in b["m"]:
-                n_, name, part = (np.array([r[c] for r in m], dtype=np.int64) for c in ("n", "name", "part"))
+            for n_, name, part in zip(b["n"], b["name"], b["part"]):
                 top = np.searchsorted(n_, n_ * 100 // similarity, side="right")  # sizes near enough
-                for i in range(len(m) - 1):
+                for i in range(len(name) - 1):
                     j = np.arange(i + 1, top[i])
                     j = j[part[j] != part[i]]
                     if len(j):
