@@ -119,7 +119,7 @@ class Pieces:
         return ids, np.diff(total[np.concatenate([[0], np.cumsum(counts)])])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        ids, sizes = self.encode_words([_WORDS.findall(" " + t) if t else [] for t in texts])
+        ids, sizes = self.encode_words([_WORDS.findall(" " + t.replace(MARK, " ")) if t else [] for t in texts])
         return np.split(ids, np.cumsum(sizes)[:-1]) if len(texts) else []
 
     def decode(self, ids: list[int]) -> str:
