@@ -55,7 +55,7 @@ SHARD_TOKENS = 1 << 20
 MIN_COUNT = 48
 MAX_ROUNDS = 6
 SLOT_MASK = (1 << 19) - 1
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 1_300_000
 GROUP_CHARS = 1 << 20
 #: A digit is a token of its own: it parts the words of one call to the library.
 SEPARATOR = "0"
@@ -229,14 +229,29 @@ def compress(ids: np.ndarray, min_count: int = MIN_COUNT) -> tuple[int, np.ndarr
 
 def expand(symbols: np.ndarray, first: int, rules: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The ids that a sequence of symbols stands for."""
-    out = symbols.astype(np.int64)
-    while (big := out >= first).any():
-        at = np.cumsum(1 + big) - (1 + big)
-        wide = np.empty(len(out) + int(big.sum()), dtype=np.int64)
-        wide[at] = out
-        pairs = rules[out[big] - first]
-        wide[at[big]], wide[at[big] + 1] = pairs[:, 0], pairs[:, 1]
-        out = wide
+    lengths = lengths.astype(np.int64)
+    starts = np.cumsum(lengths) - lengths
+    flat = np.zeros(int(lengths.sum()), dtype=np.int64)  # the expansions of all rules, one after another
+    for (a, b), at, end in zip(rules.tolist(), starts.tolist(), (starts + lengths).tolist()):
+        for s in (a, b):  # a rule names earlier symbols only
+            if s < first:
+                flat[at] = s
+                at += 1
+            else:
+                n = int(lengths[s - first])
+                flat[at:at + n] = flat[starts[s - first]:starts[s - first] + n]
+                at += n
+        assert at == end
+    symbols = symbols.astype(np.int64)
+    big = symbols >= first
+    rule = np.where(big, symbols - first, 0)
+    sizes = np.where(big, lengths[rule], 1) if len(lengths) else np.ones(len(symbols), dtype=np.int64)
+    out = np.repeat(symbols, sizes)
+    ends = np.cumsum(sizes)
+    if big.any():
+        n = sizes[big]
+        inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        out[np.repeat((ends - sizes)[big], n) + inside] = flat[np.repeat(starts[rule[big]], n) + inside]
     return out.astype("<u4")
 
 
