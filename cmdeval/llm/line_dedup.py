@@ -9,8 +9,8 @@ words always stay. All other lines stay as they are, in order.
 * Lines with the same tokens form a class; all but its first line go. The first
   goes if the first line of another, similar class comes earlier.
 * Tokens are ordered by rarity: counts over all lines, kept for ``BUCKETS``
-  hash buckets (a fixed size that one array holds), ties by the token's hash.
-  Token and rank share one 64-bit number, without loss.
+  hash buckets (a fixed size that one array holds), on a logarithmic scale, ties
+  by the token's hash.
 * Prefix filter: similar classes share one of their ``size - ceil(t * size) + 1``
   rarest tokens. Length filter: sizes within the similarity. Positional filter:
   at the first common token, enough tokens must be left on both sides.
@@ -29,6 +29,7 @@ empty table.
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 SIMILARITY = 80  # per cent
-BUCKET_BITS = 14
+BUCKET_BITS = 17
 BUCKETS = 1 << BUCKET_BITS
 FREQUENT = 20_000
 #: Classes in candidate pairs up to this many are sent to every task; more are joined by a shuffle.
@@ -57,22 +58,19 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _rarity(lines: DataFrame) -> Column:
-    """Ranks of the hash buckets, from rare to frequent, as a constant array."""
+    """How frequent the tokens of each hash bucket are, on a logarithmic scale, as a constant array."""
     seen = lines.select(F.explode("tokens").alias("t")).select(F.pmod("t", F.lit(BUCKETS)).cast("int").alias("b"))
-    counts = [0] * BUCKETS
+    levels = [0] * BUCKETS
     for r in seen.groupBy("b").count().collect():  # BUCKETS rows at most, whatever the corpus
-        counts[r["b"]] = r["count"]
-    ranks = [0] * BUCKETS
-    for rank, b in enumerate(sorted(range(BUCKETS), key=lambda b: (counts[b], b))):
-        ranks[b] = rank
-    return F.from_json(F.lit(json.dumps(ranks)), "array<int>")
+        levels[r["b"]] = min(127, int(4 * math.log2(r["count"] + 1)))
+    return F.from_json(F.lit(json.dumps(levels, separators=(",", ":"))), "array<int>")
 
 
-def _by_rarity(tokens: Column, ranks: Column) -> Column:
-    """Tokens as numbers that sort by rarity: the rank of the bucket above the rest of the hash."""
+def _by_rarity(tokens: Column, levels: Column) -> Column:
+    """Tokens as numbers that sort by rarity: the level of the bucket above 56 bits of the hash."""
     def packed(t: Column) -> Column:
-        rank = F.element_at(ranks, (F.pmod(t, F.lit(BUCKETS)) + 1).cast("int")).cast("bigint") - BUCKETS // 2
-        return F.shiftleft(rank, 64 - BUCKET_BITS).bitwiseOR(F.shiftrightunsigned(t, BUCKET_BITS))
+        level = F.element_at(levels, (F.pmod(t, F.lit(BUCKETS)) + 1).cast("int")).cast("bigint")
+        return F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(t, 8))
     return F.array_sort(F.transform(tokens, packed))
 
 
