@@ -11,9 +11,9 @@ words always stay. All other lines stay as they are, in order.
 * Tokens are ordered by rarity: counts over all lines, kept for ``BUCKETS``
   hash buckets (a fixed size that one array holds), on a logarithmic scale, ties
   by the token's hash.
-* Prefix filter: similar classes share one of their ``size - ceil(t * size) + 1``
+* Prefix filter: similar classes share two of their ``size - ceil(t * size) + 2``
   rarest tokens. Length filter: sizes within the similarity. Positional filter:
-  at the first common token, enough tokens must be left on both sides.
+  at the first two common tokens, enough tokens must be left on both sides.
 * Candidates are verified on the full token sets.
 
 A line that fills the corpus is one class: only its first occurrence is indexed
@@ -77,16 +77,16 @@ def _by_rarity(tokens: Column, levels: Column) -> Column:
 def _candidates(firsts: DataFrame, similarity: int) -> DataFrame:
     """Pairs (a, b) of classes that pass the prefix, length and positional filters."""
     size = F.size("ranked")
-    prefix = size - F.ceil(size * similarity / 100).cast("int") + 1
+    prefix = F.least(size, size - F.ceil(size * similarity / 100).cast("int") + 2)
     tokens = (firsts.select("k", size.alias("n"), F.posexplode(F.slice("ranked", F.lit(1), prefix)).alias("i", "t"))
               .repartition("t").dropDuplicates(["t", "k", "n", "i"]))
     a, b = tokens.alias("a"), tokens.alias("b")
     an, bn, ai, bi = (F.col(c) for c in ("a.n", "b.n", "a.i", "b.i"))
     near = (an * 100 >= bn * similarity) & (bn * 100 >= an * similarity)
-    left = F.least(an - ai, bn - bi)
+    left = F.least(an - ai, bn - bi) + 1  # this token and what follows it, and one before it
     room = left * (100 + similarity) >= similarity * (an + bn)
     return a.join(b, (F.col("a.t") == F.col("b.t")) & (F.col("a.k") < F.col("b.k")) & near & room).select(
-        F.col("a.k").alias("a"), F.col("b.k").alias("b")).distinct()
+        F.col("a.k").alias("a"), F.col("b.k").alias("b")).groupBy("a", "b").count().where("count > 1").select("a", "b")
 
 
 def dedup_lines(docs: DataFrame, similarity: int = SIMILARITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
