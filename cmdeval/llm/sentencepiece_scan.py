@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 from .bpe_count import tokenizer_path
 from .common import materialise, ship
 
-CHUNK_CHARS = 32_768
-CACHE_ENTRIES = 300_000
+CHUNK_CHARS = 65_536
+CACHE_ENTRIES = 200_000
 PAIR_ENTRIES = 100_000
 GROUP_CHARS = 1 << 20
 MARK = "▁"
