@@ -312,7 +312,7 @@ def join_components(docs: DataFrame, n: int = N, similarity: int = SIMILARITY, d
     several = placed.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi")
     open_ = (placed.join(several.select("bucket"), "bucket", "left_semi").groupBy("bucket")
              .agg(F.sort_array(F.collect_list(F.struct("n", "name", "part"))).alias("m"))
-             .select(*[F.transform("m", lambda x, c=c: x[c]).alias(c) for c in ("n", "name", "part")]))
+             .select(*[F.transform("m", lambda x: x[c]).alias(c) for c in ("n", "name", "part")]))
 
     def across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
