@@ -257,6 +257,8 @@ def _stream(spark, d, name):
 
 
 FILES_PER_BATCH = 64
+#: Files of a table come in any order: no row of it is late.
+STREAM_WATERMARK = "36500 days"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -279,13 +281,11 @@ def q_stream_eval(spark, d):
     gold = scratch_path(spark, "gold")
     _suite(spark, d).select("suite", "id", "gold").repartition("suite", "id").write.parquet(gold)
     gold = spark.read.schema("suite string, id bigint, gold string").parquet(gold)
-    out = _drain(spark, streaming.running_evaluation(calls, gold), "running-eval", mode="complete")
+    out = _drain(spark, streaming.running_evaluation(calls, gold, STREAM_WATERMARK), "running-eval", mode="complete")
     return streaming.finish_running(spark.read.parquet(out))
 
 
 STREAM_WINDOW = "1 day"
-#: Files of a table come in any order: no sample of it is late.
-STREAM_WATERMARK = "36500 days"
 
 
 def q_stream_telemetry(spark, d):

@@ -1,4 +1,6 @@
 import datetime as dt
+import os
+import shutil
 
 from pyspark.sql import functions as F
 
@@ -69,6 +71,28 @@ def test_stream_eval_equals_batch_and_dedupes(spark):
             assert getattr(got[k], c) == getattr(want[k], c), (k, c)
 
 
+def test_stream_eval_counts_all_files_in_any_order(spark, tmp_path, monkeypatch):
+    """Micro-batches of descending ids, hours apart: nothing counts as late."""
+    docs = catalog.table(spark, SF001, "documents").where("doc_id < 200")
+    d = tmp_path / "in"
+    (d / "documents.parquet").mkdir(parents=True)
+    for k, lo in enumerate((40_000, 20_000, 0)):
+        spark_out = str(tmp_path / f"part{k}")
+        docs.withColumn("doc_id", F.col("doc_id") + lo).coalesce(1).write.parquet(spark_out)
+        made = next(x for x in os.listdir(spark_out) if x.endswith(".parquet"))
+        file = d / "documents.parquet" / f"{k}.parquet"
+        shutil.copy(f"{spark_out}/{made}", file)
+        os.utime(file, (1_700_000_000 + 60 * k,) * 2)  # the source reads the oldest file first
+    monkeypatch.setattr(catalog, "FILES_PER_BATCH", 1)
+    got = {(r.model, r.suite): r.asDict() for r in catalog.q_stream_eval(spark, str(d)).collect()}
+    from cmdeval.operators import evaluate
+    res = evaluate.score(catalog._suite(spark, str(d)), catalog._sim(spark, str(d)), ["base", "tuned"])
+    want = {(r.model, r.suite): r for r in evaluate.summarise(res.where(~F.col("is_error"))).collect()}
+    assert got.keys() == want.keys() and len(want) == 4
+    for k, r in got.items():
+        assert r == {c: want[k][c] for c in r}, k
+
+
 def test_telemetry_windows_drop_late_rows(spark):
     t0 = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
     first = [("r", t0 + dt.timedelta(minutes=m), "x", m, 10) for m in (1, 2, 70, 130, 200)]
