@@ -4,9 +4,10 @@ Every text is encoded, an end id follows each document, and the ids of all
 documents in ascending ``doc_id`` order are cut into shards of about
 ``SHARD_TOKENS`` ids at document ends. Each shard is compressed by Re-Pair:
 frequent adjacent pairs are replaced by new symbols (nonterminals), again and
-again, until no pair is frequent. A round replaces all pairs that stand out, a
-more frequent pair before a rarer one where two overlap, so a shard needs a few
-vectorised rounds instead of one pass for each rule.
+again, until no pair occurs ``MIN_COUNT`` times. A round counts pairs exactly
+and replaces all that are frequent, a more frequent one before a rarer one where
+two overlap, so a shard needs some vectorised rounds instead of one pass for
+each rule.
 
 File format: a Parquet table with a row for each shard, written by Spark to a
 folder that it can read anywhere:
@@ -52,8 +53,7 @@ from .common import ship
 
 SHARD_TOKENS = 1 << 20
 #: A pair is replaced while it occurs at least so often in a shard.
-MIN_COUNT = 48
-MAX_ROUNDS = 6
+MIN_COUNT = 24
 SLOT_MASK = (1 << 19) - 1
 CACHE_ENTRIES = 1_300_000
 GROUP_CHARS = 1 << 20
@@ -181,43 +181,70 @@ def compress(ids: np.ndarray, min_count: int = MIN_COUNT) -> tuple[int, np.ndarr
     symbols = ids.astype(np.int64)
     rules: list[np.ndarray] = []
     n_rules = 0
-    for turn in range(MAX_ROUNDS):
-        if len(symbols) < 2 * min_count:
-            break
-        keys = symbols[:-1] << 32 | symbols[1:]
-        # One pair speaks for each slot of a hash table; a pair that is crowded out has another slot next round.
-        odd = np.int64(0x9E3779B97F4A7C1 * (2 * turn + 1) & (1 << 62) - 1 | 1)
-        slots = (keys * odd >> 40) & SLOT_MASK
-        speaker = np.full(SLOT_MASK + 1, -1, dtype=np.int64)
-        speaker[slots] = keys
-        spoken = speaker[slots] == keys
-        counts = np.bincount(slots[spoken], minlength=len(speaker))
+    known = np.zeros(0, dtype=np.int64)  # pairs that have a rule, sorted, and its symbol
+    known_symbols = np.zeros(0, dtype=np.int64)
+    # A pair that is rare stays rare until one of its symbols is put in anew: only the other places are counted again.
+    places = np.arange(max(0, len(symbols) - 1))
+    while len(places):
+        keys = symbols[places] << 32 | symbols[places + 1]
+        # Slots of a hash table hold at least as many as each pair in them: pairs of thin slots are rare.
+        slots = (keys * np.int64(0x9E3779B97F4A7C1) >> 40) & SLOT_MASK
+        thick = np.bincount(slots, minlength=SLOT_MASK + 1)[slots] >= min_count if len(keys) > SLOT_MASK >> 3 else slice(None)
+        places, keys = places[thick], keys[thick]
+        pairs, which, counts = np.unique(keys, return_inverse=True, return_counts=True)
         often = np.flatnonzero(counts >= min_count)
         if not len(often):
             break
-        often = often[np.lexsort((speaker[often], -counts[often]))]  # the most frequent first, ties by the pair
-        pairs, none = speaker[often], len(often)
-        rank = np.full(len(speaker), none, dtype=np.int64)
+        often = often[np.lexsort((pairs[often], -counts[often]))]  # the most frequent first, ties by the pair
+        none = len(often)
+        rank = np.full(len(pairs), none, dtype=np.int64)
         rank[often] = np.arange(none)
-        order = rank[slots]
-        order[~spoken] = none
-        # An occurrence is replaced if no neighbour that overlaps it comes before it.
-        take = order < none
-        take[1:] &= order[1:] < order[:-1]
-        take[:-1] &= order[:-1] <= order[1:]
-        where = np.flatnonzero(take)
-        used = np.bincount(order[where], minlength=none)
-        keep = used >= 2
-        where = where[keep[order[where]]]
-        if not len(where):
+        order = rank[which]
+        places, order, pairs = places[order < none], order[order < none], pairs[often]
+        # An occurrence is replaced if no neighbour that overlaps it comes before it; of a run of equals every other one.
+        near = np.diff(places) == 1
+        take = np.ones(len(places), dtype=bool)
+        take[1:] &= ~near | (order[1:] <= order[:-1])
+        take[:-1] &= ~near | (order[:-1] <= order[1:])
+        at, order_at = places[take], order[take]
+        begins = np.flatnonzero(np.diff(at, prepend=-2) != 1)
+        run = np.repeat(begins, np.diff(np.append(begins, len(at))))
+        alternate = (np.arange(len(at)) - run) % 2 == 0
+        at, order_at = at[alternate], order_at[alternate]
+        keep = np.bincount(order_at, minlength=none) >= 2
+        at, order_at = at[keep[order_at]], order_at[keep[order_at]]
+        if not len(at):
             break
-        made = pairs[keep]
+        # A pair that was overlapped in an earlier round has its rule already.
+        spot = np.searchsorted(known, pairs)
+        had = spot < len(known)
+        had[had] = known[spot[had]] == pairs[had]
+        fresh = keep & ~had
+        symbol = first + n_rules + np.cumsum(fresh) - 1
+        symbol[had] = known_symbols[spot[had]]
+        made = pairs[fresh]
         rules.append(np.stack([made >> 32, made & 0xFFFFFFFF], axis=1))
-        symbols[where] = first + n_rules + (np.cumsum(keep) - 1)[order[where]]
+        n_rules += len(made)
+        known, known_symbols = np.append(known, made), np.append(known_symbols, symbol[fresh])
+        sort = np.argsort(known)
+        known, known_symbols = known[sort], known_symbols[sort]
+        symbols[at] = symbol[order_at]
         stay = np.ones(len(symbols), dtype=bool)
-        stay[where + 1] = False
+        stay[at + 1] = False
+        again = np.zeros(len(symbols) + 1, dtype=bool)
+        again[places] = True
+        again[at] = True
+        again = again[:-1][stay]
         symbols = symbols[stay]
-        n_rules += len(made)
+        new_at = at - np.arange(len(at))  # one place goes with each replacement before
+        again[np.maximum(new_at - 1, 0)] = True
+        if (keep & had).any():  # old symbols stand in new places: their pairs may have become frequent
+            back = np.zeros(first + n_rules, dtype=bool)
+            back[symbol[keep & had]] = True
+            hit = back[symbols]
+            again |= hit
+            again[:-1] |= hit[1:]
+        places = np.flatnonzero(again[:-1])
     table = np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.int64)
     lengths, done = np.ones(len(table), dtype=np.int64), 0
     for made in rules:  # a rule names symbols of earlier rounds only

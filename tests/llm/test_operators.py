@@ -62,6 +62,17 @@ def test_repair_grammar_round_trip_and_slices():
         assert np.array_equal(repair_binary.decode_slice(shard, lo, hi), ids[lo:hi])
 
 
+def test_repair_leaves_no_frequent_pair():
+    rng = np.random.default_rng(1)
+    skewed = np.minimum(rng.zipf(1.3, 60_000), 3000)
+    for ids in (np.full(100_000, 7), np.tile(rng.integers(0, 40_000, 3000), 60), skewed):
+        first, rules, lengths, symbols = repair_binary.compress(ids.astype(np.uint32))
+        pairs, counts = np.unique(np.stack([symbols[:-1], symbols[1:]]), axis=1, return_counts=True)
+        assert counts.max(initial=0) < repair_binary.MIN_COUNT <= 24
+        assert len(np.unique(rules, axis=0)) == len(rules)
+        assert np.array_equal(repair_binary.expand(symbols, first, rules, lengths), ids)
+
+
 def test_sentencepiece_chunks_are_the_librarys(spark):
     got = sentencepiece_scan.decode(sentencepiece_scan.encode(docs(spark), chunk_chars=100)).collect()
     lib = sentencepiece_scan.pieces_at(bpe_count.tokenizer_path("piece_bpe_32k.model")).library
