@@ -1,21 +1,23 @@
 """Operator 2: toxicity from the nearest labelled examples.
 
 Examples: up to ``EXAMPLES`` labelled documents of each class, those with the
-smallest hash; equal texts count once. Terms: words that tell the classes apart
-among the examples (two-proportion z of at least ``MIN_Z`` and rates that differ
-by ``MIN_RATIO``, ``MAX_TERMS`` at most, found by a Spark aggregation). Document frequencies of the terms come
-from all documents. A text is its vector of ``(1 + log tf) * idf`` over the terms.
+smallest hash; equal texts count once. Terms: all words of the examples.
+Document frequencies of the terms come from all documents. A text is its vector
+of ``(1 + log tf) * idf * t`` over the terms, where ``t`` is 1 plus the square of
+the term's two-proportion z times its log odds between the classes of examples:
+no term is left out, and those that tell the classes apart weigh more. Words that no example holds have no
+part in a cosine's numerator and none in the length of a vector.
 
 Search: exact cosine against the examples, by an inverted index with block
-maxima. The examples lie in blocks of ``BLOCK``; for each term and block the
-largest weight bounds what the block can score. The blocks with the best bounds
+maxima. The examples lie in blocks of ``BLOCK``; postings are sparse, and for each
+term and block that has any the largest weight bounds what the block can score. The blocks with the best bounds
 are scored first; of the others, those whose bound is below the
 ``NEIGHBOURS``-th best score so far are skipped, so no neighbour is lost.
 
 Score: neighbours vote with their cosine as weight; the vote becomes a
 probability by a logistic fit on the examples' own leave-one-out votes, weighted
 to the share of toxic labels among all labelled rows. A text without a
-neighbour (empty, null or without any of the terms) gets the rate of such
+neighbour (empty, null or without a word of any example) gets the rate of such
 texts. ``evidence`` names up to three nearest examples with their cosines.
 
 Labels of rows whose ``crc32(doc_id) mod 3`` is 1 are never read, nor are lang,
@@ -34,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,10 +47,6 @@ NEIGHBOURS = 20
 BLOCK = 64
 FIRST_BLOCKS = 4
 CACHE_ENTRIES = 500_000
-MIN_Z = 6.0
-MIN_RATIO = 3.0
-MIN_EXAMPLES = 4
-MAX_TERMS = 2_048
 THRESHOLD = 0.7
 SHOWN = 3
 #: How strongly the calibration is drawn to slope 1.
@@ -77,42 +76,59 @@ class RawTerms(dict):
         i = self[word] = self.number.get(word.strip(_EDGE), -1)
         return i
 
-    def found(self, text: str | None) -> tuple[list[str], list[str]]:
-        """All words of a text, and the distinct ones that stand for a term."""
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the terms in a text, and how often each is there."""
         words = text.lower().split() if text else []
-        return words, [w for w in set(words) if self[w] >= 0]
+        ids, n = np.unique(np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words)), return_counts=True)
+        known = ids >= 0
+        return ids[known], n[known]
 
-    def counts(self, text: str | None) -> Counter:
-        """How often each term is in a text."""
-        words, hits = self.found(text)
-        often = Counter(words) if len(hits) > 8 else {w: words.count(w) for w in hits}
-        out = Counter()
-        for w in hits:
-            out[self[w]] += often[w]
-        return out
+
+def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of all stretches, one after another."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
 class Index:
-    """Block-max inverted index of the examples."""
+    """Block-max inverted index of the examples: sparse postings by term, block and example."""
 
-    def __init__(self, terms: list[str], idf: np.ndarray, examples: list[tuple[int, int, list[int], list[int]]]):
+    def __init__(self, terms: list[str], weight_of: np.ndarray, docs: np.ndarray, toxic: np.ndarray,
+                 rows: np.ndarray, ids: np.ndarray, counts: np.ndarray):
+        """``weight_of``: a factor for each term; ``rows``, ``ids``, ``counts``: example, term and frequency of each posting."""
         self.number = {t: i for i, t in enumerate(terms)}
-        self.idf = idf
-        vectors = [(doc, toxic, *self.weigh(ids, counts)) for doc, toxic, ids, counts in examples]
+        self.weight_of = weight_of
+        w = (1 + np.log(counts)) * weight_of[ids]
+        rows, ids, w = rows[w > 0], ids[w > 0], w[w > 0]
+        w = w / np.sqrt(np.bincount(rows, w * w, minlength=len(docs)))[rows]
         # Examples that lean on the same term lie together: their blocks have telling bounds.
-        vectors = sorted((v for v in vectors if len(v[2])), key=lambda v: (v[1], v[2][v[3].argmax()], v[0]))
-        self.docs = np.array([v[0] for v in vectors], dtype=np.int64)
-        self.toxic = np.array([v[1] for v in vectors], dtype=np.float64)
-        self.weights = np.zeros((len(terms), -(-len(vectors) // BLOCK), BLOCK))  # term, block, place in the block
-        for j, (_, _, ids, w) in enumerate(vectors):
-            self.weights[ids, j // BLOCK, j % BLOCK] = w
-        self.bounds = self.weights.max(axis=2) if len(vectors) else None
+        shared = np.where(np.bincount(ids, minlength=len(terms))[ids] >= BLOCK // 4, w, 0)
+        lead = np.full(len(docs), -1, dtype=np.int64)
+        by = np.argsort(shared, kind="stable")
+        lead[rows[by]] = ids[by]
+        order = np.lexsort((docs, lead, toxic))
+        order = order[lead[order] >= 0]  # the others have no vector
+        place = np.full(len(docs), -1, dtype=np.int64)
+        place[order] = np.arange(len(order))
+        self.docs, self.toxic = docs[order], toxic[order].astype(np.float64)
+        rows = place[rows]
+        by = np.lexsort((rows, ids))
+        self.place, self.weight, ids = rows[by].astype(np.int32), w[by], ids[by]
+        # An entry for each term and block: its postings from ``start``, its largest weight ``top``.
+        block = self.place // BLOCK
+        self.n_blocks = -(-len(order) // BLOCK)
+        begins = np.flatnonzero((np.diff(ids, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0))
+        self.start, self.block = np.append(begins, len(ids)), block[begins]
+        self.top = np.maximum.reduceat(self.weight, begins) if len(begins) else np.zeros(0)
+        self.first = np.searchsorted(ids[begins], np.arange(len(terms) + 1))
+        by = np.argsort(self.place, kind="stable")  # the postings of each example
+        self.own = np.split(by, np.searchsorted(self.place[by], np.arange(1, len(order))))
+        self.own = [(ids[x], self.weight[x]) for x in self.own] if len(order) else []
         self.raw = RawTerms(self.number)
         self.slope, self.offset, self.none = 1.0, 0.0, 0.0
 
-    def weigh(self, ids: list[int], counts: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        ids = np.asarray(ids, dtype=np.int64)
-        w = (1 + np.log(np.asarray(counts, dtype=np.float64))) * self.idf[ids]
+    def weigh(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = (1 + np.log(counts)) * self.weight_of[ids]
         keep = w > 0
         ids, w = ids[keep], w[keep]
         return ids, w / math.sqrt((w * w).sum()) if len(w) else w
@@ -122,7 +138,10 @@ class Index:
         places, scores = np.zeros(0, dtype=np.int64), np.zeros(0)
         if not len(ids) or not len(self.docs):
             return places, scores
-        bound = w @ self.bounds[ids]
+        entries = self.first[ids + 1] - self.first[ids]
+        at, by = spans(self.first[ids], entries), np.repeat(w, entries)
+        block = self.block[at]
+        bound = np.bincount(block, by * self.top[at], minlength=self.n_blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         # The most promising blocks first; then, at once, all whose bound reaches the worst score kept.
@@ -131,10 +150,16 @@ class Index:
                 blocks = blocks[bound[blocks] + 1e-12 >= scores[-1]]
             if not len(blocks):
                 break
-            got = np.tensordot(w, self.weights[ids[:, None], blocks[None]], 1).ravel()
-            at = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-            good = np.flatnonzero((got > 0) & (at != skip))
-            places, scores = np.concatenate([places, at[good]]), np.concatenate([scores, got[good]])
+            chosen = np.zeros(self.n_blocks, dtype=bool)
+            chosen[blocks] = True
+            hit = np.flatnonzero(chosen[block])
+            sizes = self.start[at[hit] + 1] - self.start[at[hit]]
+            post = spans(self.start[at[hit]], sizes)
+            got = np.bincount(self.place[post], np.repeat(by[hit], sizes) * self.weight[post], minlength=len(self.docs))
+            if skip >= 0:
+                got[skip] = 0.0
+            good = np.flatnonzero(got > 0)
+            places, scores = np.concatenate([places, good]), np.concatenate([scores, got[good]])
             if len(scores) > NEIGHBOURS:
                 worst = np.partition(scores, len(scores) - NEIGHBOURS)[len(scores) - NEIGHBOURS]
                 near = scores >= worst
@@ -153,9 +178,7 @@ class Index:
         ``n0``, ``n1``: examples of each class, those without a vector included."""
         votes, toxic = [], []
         for j in range(len(self.docs)):
-            own = self.weights[:, j // BLOCK, j % BLOCK]
-            ids = np.flatnonzero(own)
-            places, scores = self.nearest(ids, own[ids], skip=j)
+            places, scores = self.nearest(*self.own[j], skip=j)
             if len(places):
                 votes.append(self.vote(places, scores))
                 toxic.append(self.toxic[j])
@@ -175,8 +198,7 @@ class Index:
         self.slope, self.offset = float(a), float(b)
 
     def score(self, text: str | None) -> tuple[float, list[int], list[float]]:
-        known = sorted(self.raw.counts(text).items())
-        places, scores = self.nearest(*self.weigh([i for i, _ in known], [n for _, n in known]))
+        places, scores = self.nearest(*self.weigh(*self.raw.counts(text)))
         if not len(places):
             return self.none, [], []
         z = self.slope * self.vote(places, scores) + self.offset
@@ -191,6 +213,13 @@ def _words_udf():
     return words
 
 
+def telling(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """How much more a term weighs that ``a`` of ``n1`` toxic and ``b`` of ``n0`` other examples hold; 1 at least."""
+    rate = (a + b) / (n0 + n1)
+    z = np.abs(a / n1 - b / n0) / np.sqrt(rate * (1 - rate) * (1 / n1 + 1 / n0) + 1e-12)
+    return 1 + (z * np.log((a + 0.5) / (n1 + 1) / ((b + 0.5) / (n0 + 1)))) ** 2
+
+
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Index:
     """The index and its calibration, from the labels that may be learned from."""
     ship(docs.sparkSession)
@@ -200,7 +229,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     known = materialise(known, "tox-labels")
     n, toxic = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     share = toxic / n if n else 0.0
-    nothing = Index([], np.zeros(0), [])
+    none = np.zeros(0, dtype=np.int64)
+    nothing = Index([], np.zeros(0), none, none, none, none, none)
     nothing.none = share
     if not 0 < toxic < n:
         return nothing
@@ -210,23 +240,23 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     picked = (docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t"))
               .join(F.broadcast(chosen[0].union(chosen[1])), "id"))
     bags = materialise(picked.groupBy(F.xxhash64("t").alias("k")).agg(F.min(F.struct("id", "toxic", "t")).alias("x"))
-                       .select("x.id", "x.toxic", _words_udf()("x.t").alias("bag")), "tox-examples")
-    sizes = {r["toxic"]: r["count"] for r in bags.groupBy("toxic").count().collect()}
-    n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
+                       .select("k", "x.id", "x.toxic", _words_udf()("x.t").alias("bag")), "tox-examples")
+    examples = bags.select("k", "id", "toxic").orderBy("id", "k").toArrow()  # 2 * EXAMPLES rows at most
+    ids, toxics = (examples[c].to_numpy().astype(np.int64) for c in ("id", "toxic"))
+    n0, n1 = int((toxics == 0).sum()), int((toxics == 1).sum())
     if not n0 or not n1:
         return nothing
-    words = bags.select("id", "toxic", F.explode("bag").alias("b")).select("id", "toxic", "b.term", "b.n")
-    has = words.groupBy("term").agg(F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("m"))
-    rate = F.col("m") / F.lit(n0 + n1)
-    z = (F.abs(F.col("a") / n1 - (F.col("m") - F.col("a")) / n0)
-         / F.sqrt(rate * (1 - rate) * (1 / n1 + 1 / n0) + F.lit(1e-12)))
-    odds = (F.col("a") + 0.5) / (n1 + 1) / ((F.col("m") - F.col("a") + 0.5) / (n0 + 1))
-    telling = (has.where(F.col("m") >= MIN_EXAMPLES).withColumn("z", z).where(F.col("z") >= MIN_Z)
-               .where((odds >= MIN_RATIO) | (odds <= 1 / MIN_RATIO)))
-    terms = [r["term"] for r in telling.orderBy(F.desc("z"), "term").limit(MAX_TERMS).select("term").collect()]
+    # The words of the examples, and nothing that grows with the table.
+    words = bags.select("k", F.explode("bag").alias("b")).select("k", "b.term", "b.n").toArrow()
+    coded = pa.concat_arrays(words["term"].chunks or [pa.array([], pa.string())]).dictionary_encode()
+    met = coded.dictionary.to_pylist()
+    terms = sorted(met)
     if not terms:
         return nothing
     number = {t: i for i, t in enumerate(terms)}
+    by_key = np.argsort(examples["k"].to_numpy())
+    rows = by_key[np.searchsorted(examples["k"].to_numpy()[by_key], words["k"].to_numpy())]
+    places = np.array([number[t] for t in met])[coded.indices.to_numpy()]
     # Documents that hold each term, over the whole table: a count for each term and task.
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -234,28 +264,24 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         for b in batches:
             for t in b["t"]:
                 total += 1
-                for i in {raw[w] for w in raw.found(t)[1]}:
-                    counts[i] += 1
+                counts[raw.counts(t)[0]] += 1
         counts[-1] = total
-        yield pd.DataFrame({"term": np.arange(len(counts)), "n": counts})
+        some = np.flatnonzero(counts)
+        yield pd.DataFrame({"term": some, "n": counts[some]})
 
     found = (docs.select(F.col(text).alias("t")).mapInPandas(frequencies, "term int, n bigint")
-             .groupBy("term").agg(F.sum("n").alias("n")).collect())  # MAX_TERMS + 1 rows
+             .groupBy("term").agg(F.sum("n").alias("n")).toArrow())  # a row for each word of the examples
     df = np.zeros(len(terms) + 1)
-    for r in found:
-        df[r["term"]] = r["n"]
+    df[found["term"].to_numpy()] = found["n"].to_numpy()
     idf = np.log((1 + df[-1]) / (1 + df[:-1]))
-    kept = (words.join(F.broadcast(docs.sparkSession.createDataFrame(list(number.items()), "term string, i int")), "term")
-            .groupBy("id", "toxic").agg(F.sort_array(F.collect_list(F.struct("i", "n"))).alias("bag")))
-    examples = [(r["id"], r["toxic"], [x["i"] for x in r["bag"]], [x["n"] for x in r["bag"]])
-                for r in kept.orderBy("id").collect()]  # 2 * EXAMPLES rows of MAX_TERMS entries at most
-    index = Index(terms, idf, examples)
+    a, m = np.bincount(places, toxics[rows], minlength=len(terms)), np.bincount(places, minlength=len(terms))
+    index = Index(terms, idf * telling(a, m - a, n1, n0), ids, toxics, rows, places,
+                  words["n"].to_numpy().astype(np.float64))
     index.calibrate(share, n0, n1)
-    # Rate of toxic rows among examples that share no term with any other: those without a vector.
-    bare = {0: n0, 1: n1}
-    for _, c, _, _ in examples:
-        bare[c] -= 1
-    yes, no = bare[1] / n1 * share, bare[0] / n0 * (1 - share)
+    # Rate of toxic rows among examples without a vector.
+    bare1 = n1 - int(index.toxic.sum())
+    bare0 = n0 - (len(index.docs) - int(index.toxic.sum()))
+    yes, no = bare1 / n1 * share, bare0 / n0 * (1 - share)
     index.none = yes / (yes + no) if yes + no else share
     return index
 
@@ -264,7 +290,7 @@ def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
           threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with score, predicted and evidence."""
     spark = docs.sparkSession
-    index = spark.sparkContext.broadcast(fit(docs, labels, doc_id, text, label))  # bounded by EXAMPLES * MAX_TERMS
+    index = spark.sparkContext.broadcast(fit(docs, labels, doc_id, text, label))  # bounded by the examples' words
 
     @F.pandas_udf("struct<score: double, ids: array<bigint>, cosines: array<double>>")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

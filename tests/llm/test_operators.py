@@ -212,3 +212,23 @@ def test_toxicity_learns_from_allowed_labels_only(spark):
         assert 0 <= r.score <= 1 and r.predicted == int(r.doc_id < 600 and r.doc_id % 5 == 0)
     assert toxicity.score(df.limit(0), labels).count() == 0
     assert {r.score for r in toxicity.score(df.limit(3), labels.limit(0)).collect()} == {0.0}
+
+
+def test_toxicity_indexes_every_word(spark, monkeypatch):
+    """No word tells the classes apart, yet a copy of an example finds it, and pruning loses no neighbour."""
+    texts = [" ".join(f"w{i}_{k}" for k in range(8)) + f" shared{i % 9} common" for i in range(300)]
+    df = spark.createDataFrame([(i + lo, t) for lo in (0, 1000) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(300)], "doc_id bigint, toxic int")
+    read = {i for i in range(300) if zlib.crc32(str(i).encode()) % 3 != 1}
+    got = {r.doc_id: r for r in toxicity.score(df, labels).collect()}
+    assert all(got[1000 + i].evidence[0].doc_id == i and got[1000 + i].evidence[0].cosine == pytest.approx(1) for i in read)
+    monkeypatch.setattr(toxicity, "BLOCK", 8)
+    monkeypatch.setattr(toxicity, "FIRST_BLOCKS", 1)
+    index = toxicity.fit(df, labels)
+    dense = np.zeros((len(read), len(index.number)))
+    for j, (ids, w) in enumerate(index.own):
+        dense[j, ids] = w
+    for j, own in enumerate(index.own):
+        places, scores = index.nearest(*own)
+        want = np.sort(dense @ dense[j])[::-1][:toxicity.NEIGHBOURS]
+        assert np.allclose(scores, want[want > 0]) and np.allclose(scores, dense[places] @ dense[j])
