@@ -43,12 +43,17 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, rounded to whole copies."""
+    """Each document as often as the mix takes it, rounded to whole copies; of a source that would have none
+    by that, one copy of the document of which the mix takes most."""
     same = ["doc_id", "source", "text_key"]
     plan = materialise(mixing.mix(docs).where("taken > 0"), "mix-plan")
     plan = (plan.withColumn("_n", F.row_number().over(Window.partitionBy(*same).orderBy(F.desc("taken"))))
-            .select(*[F.col(c).alias(f"_{c}") for c in same], "_n",
-                    F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("_copies")).where("_copies > 0"))
+            .select(*[F.col(c).alias(f"_{c}") for c in same], "_n", "taken",
+                    F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("_copies")))
+    most = F.max(F.struct("taken", "_doc_id", "_text_key", "_n")).alias("x")
+    bare = plan.groupBy("_source").agg(F.sum("_copies").alias("_all"), most).where("_all = 0")
+    plan = plan.where("_copies > 0").drop("taken").unionByName(
+        bare.select("x._doc_id", "_source", "x._text_key", "x._n", F.lit(1).alias("_copies")))
     keyed = docs.withColumn("_t", F.xxhash64("text"))
     keyed = keyed.withColumn("_m", F.row_number().over(Window.partitionBy("doc_id", "source", "_t").orderBy(F.lit(1))))
     on = (keyed["doc_id"].eqNullSafe(plan["_doc_id"]) & keyed["source"].eqNullSafe(plan["_source"])

@@ -232,3 +232,11 @@ def test_toxicity_indexes_every_word(spark, monkeypatch):
         places, scores = index.nearest(*own)
         want = np.sort(dense @ dense[j])[::-1][:toxicity.NEIGHBOURS]
         assert np.allclose(scores, want[want > 0]) and np.allclose(scores, dense[places] @ dense[j])
+
+
+def test_pipeline_mix_keeps_a_source_of_one_long_document(spark):
+    import corpus_pipeline
+    rows = [(100 * k + i, "w " * 10, None, s, 0) for k, (s, n) in enumerate((("a", 31), ("b", 13), ("d", 31))) for i in range(n)]
+    got = corpus_pipeline.mix_sources(spark, spark.createDataFrame([*rows, (999, "w " * 250, None, "c", 0)], DOCS), "")
+    counts = {r["source"]: r["count"] for r in got.groupBy("source").count().collect()}
+    assert counts.keys() == {"a", "b", "c", "d"} and counts["c"] == 1  # its target is 115 of 250 words
