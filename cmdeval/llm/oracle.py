@@ -109,7 +109,29 @@ SELECT doc_id, coalesce(len(string_split(documents.text, chr(10))), 0)::BIGINT A
 FROM documents LEFT JOIN g USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+def _item_words(table: str, key: str) -> str:
+    return (f"SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+            f"'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM {table}")
+
+
+PASSAGES = f"""
+WITH d AS ({_item_words('documents', 'doc_id')}),
+b AS ({_item_words('benchmark', 'item_id')}),
+k AS (SELECT DISTINCT item_id, least(10, len(w)) AS k, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS x
+      FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+o AS (SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS x
+      FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM k) WHERE len(w) >= k)),
+h AS (SELECT o.doc_id, o.i, o.k, k.item_id FROM o JOIN k ON o.k = k.k AND o.x = k.x),
+n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM h) GROUP BY doc_id),
+m AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) WHERE item IS NOT NULL GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_wu_manber_leaks": PASSAGES,
     "op1_pq_near_dedup": LINKED,
     "op5_line_dedup": LINES,
     "op6_weighted_fair_mix": MIX,

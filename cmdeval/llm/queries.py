@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe_count, chat, line_dedup, mixing, ngram_join, pq_dedup, repair_binary, sentencepiece_scan, toxicity
+from . import (ann, bpe_count, chat, decontaminate, line_dedup, mixing, ngram_join, pq_dedup, repair_binary,
+               sentencepiece_scan, toxicity)
 from .common import table
 
 
@@ -61,6 +62,14 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_wu_manber_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_passages(docs, table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda acc, s: acc + s["end"] - s["start"])
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pq_near_dedup": op1_pq_near_dedup,
     "op2_toxic_neighbours": op2_toxic_neighbours,
@@ -72,4 +81,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_balanced_postings": op8_balanced_postings,
     "op9_sentencepiece_scan": op9_sentencepiece_scan,
     "op10_ngram_join": op10_ngram_join,
+    "op11_wu_manber_leaks": op11_wu_manber_leaks,
 }
