@@ -130,7 +130,42 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
 """
 
+TRIE = """
+WITH crc AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda x, n: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)
+              ORDER BY i) AS tab FROM range(256) AS t(i)),
+o AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+                       ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (
+  SELECT conv_id, turns, xor(list_reduce(
+           list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+           lambda x, b: xor(x >> 8, tab[(xor(x, b) & 255) + 1])), 4294967295) % 9 AS h
+  FROM o, crc),
+r AS (
+  SELECT h.conv_id, coalesce(o.turns[1:h.h], []) || coalesce(h.turns[h.h + 1:], []) AS turns
+  FROM h LEFT JOIN o ON o.conv_id = h.conv_id - h.conv_id % 5),
+v AS (SELECT conv_id, d AS depth, turns[1:d] AS prefix, d = len(turns) AS is_end FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM r)),
+n AS (
+  SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (is_end), '')) AS ends_sha256,
+         CASE WHEN depth > 0 THEN (count(*) - 1) * strlen(prefix[depth].text) ELSE 0 END AS saved
+  FROM v GROUP BY depth, prefix),
+w AS (SELECT v.conv_id, v.depth, n.conv_id AS node FROM v JOIN n ON n.depth = v.depth AND n.prefix = v.prefix),
+k AS (SELECT w.node, w.depth, count(*) AS n_children FROM n JOIN w ON w.conv_id = n.conv_id AND w.depth = n.depth - 1 GROUP BY ALL),
+m AS (SELECT n.conv_id, n.depth, n.saved, coalesce(k.n_children, 0) AS n_children FROM n LEFT JOIN k ON k.node = n.conv_id AND k.depth = n.depth),
+s AS (
+  SELECT w.node, w.depth, sum(m.saved) AS saved, count(*) FILTER (m.n_children = 0) AS n_leaves
+  FROM m JOIN w ON w.conv_id = m.conv_id AND w.depth <= m.depth GROUP BY w.node, w.depth)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.node AS parent_conv_id, n.n_convs, m.n_children, s.n_leaves,
+       s.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM n JOIN m ON m.conv_id = n.conv_id AND m.depth = n.depth JOIN s ON s.node = n.conv_id AND s.depth = n.depth
+LEFT JOIN w p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op12_fingerprint_trie": TRIE,
     "op11_wu_manber_leaks": PASSAGES,
     "op1_pq_near_dedup": LINKED,
     "op5_line_dedup": LINES,

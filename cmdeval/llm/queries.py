@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ann, bpe_count, chat, decontaminate, line_dedup, mixing, ngram_join, pq_dedup, repair_binary,
-               sentencepiece_scan, toxicity)
+from . import (ann, bpe_count, chat, decontaminate, line_dedup, mixing, ngram_join, pq_dedup, prefix_trie,
+               repair_binary, sentencepiece_scan, toxicity)
 from .common import table
 
 
@@ -70,6 +70,10 @@ def op11_wu_manber_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
+def op12_fingerprint_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.build(table(spark, sf_dir, "conversations")).drop("ref_conv_id", "ref_place")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pq_near_dedup": op1_pq_near_dedup,
     "op2_toxic_neighbours": op2_toxic_neighbours,
@@ -82,4 +86,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sentencepiece_scan": op9_sentencepiece_scan,
     "op10_ngram_join": op10_ngram_join,
     "op11_wu_manber_leaks": op11_wu_manber_leaks,
+    "op12_fingerprint_trie": op12_fingerprint_trie,
 }
