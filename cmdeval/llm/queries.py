@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (ann, bpe_count, chat, decontaminate, line_dedup, mixing, ngram_join, pq_dedup, prefix_trie,
-               repair_binary, sentencepiece_scan, toxicity)
+               repair_binary, sentencepiece_scan, token_alignment, toxicity)
 from .common import table
 
 
@@ -74,6 +74,11 @@ def op12_fingerprint_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.build(table(spark, sf_dir, "conversations")).drop("ref_conv_id", "ref_place")
 
 
+def op13_csr_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = token_alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pq_near_dedup": op1_pq_near_dedup,
     "op2_toxic_neighbours": op2_toxic_neighbours,
@@ -87,4 +92,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_ngram_join": op10_ngram_join,
     "op11_wu_manber_leaks": op11_wu_manber_leaks,
     "op12_fingerprint_trie": op12_fingerprint_trie,
+    "op13_csr_alignment": op13_csr_alignment,
 }
