@@ -44,7 +44,7 @@ from .common import materialise, ship
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 GROUP_CHARS = 4 << 20
-CACHE_IDS = 3 << 20
+CACHE_IDS = 1 << 20
 #: Characters of new stretches that go to the tokenizers in one call.
 CALL_CHARS = 1 << 14
 MARK = "▁"
@@ -141,7 +141,8 @@ class Ragged:
 class Aligner:
     """Both tokenizers, and the blocks of the stretches met."""
 
-    def __init__(self, a_path: str, b_path: str):
+    def __init__(self, a_path: str, b_path: str, with_places: bool = False):
+        self.with_places = with_places
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         from tokenizers import Tokenizer
@@ -165,10 +166,10 @@ class Aligner:
 
     def reset(self) -> None:
         self.known = Numbers()
-        self.ids = [Ragged(), Ragged()]
+        self.ids = [Ragged(np.int32), Ragged(np.int32)]
         self.links = Ragged()  # a pair of ids for each link
-        self.places = Ragged()  # the same links as places of tokens and bytes shared
-        self.groups = Ragged()  # for each group of a stretch the places at which its A and B tokens end
+        self.places = Ragged(np.int32)  # the same links as places of tokens and bytes shared, where asked for
+        self.groups = Ragged(np.int32)  # for each group of a stretch the places at which its A and B tokens end
         self.shared = Ragged()  # the number of links by shared group, a row a stretch
         self.texts: list[str] = []
         self.faithful: list[bool] = []
@@ -225,8 +226,9 @@ class Aligner:
         c_row = np.repeat(np.arange(len(ids[0])), np.diff(c_ptr))
         per_part = np.diff(c_ptr[ptr[0]])
         self.links.add(ids[0][c_row] * self.b_size + ids[1][c_idx], per_part)
-        owner = np.repeat(np.arange(len(parts)), per_part)
-        self.places.add(np.stack([c_row - ptr[0][owner], c_idx - ptr[1][owner], c_val], axis=1).ravel(), 3 * per_part)
+        if self.with_places:
+            owner = np.repeat(np.arange(len(parts)), per_part)
+            self.places.add(np.stack([c_row - ptr[0][owner], c_idx - ptr[1][owner], c_val], axis=1).ravel(), 3 * per_part)
         # Groups, and the sizes of the rows of the product of their incidences.
         cuts = np.intersect1d(ends[0], ends[1], assume_unique=True)
         group = [np.searchsorted(cuts, e) for e in ends]
@@ -252,11 +254,11 @@ class Aligner:
         return True
 
 
-_ALIGNERS: dict[tuple[str, str], Aligner] = {}
+_ALIGNERS: dict[tuple[str, str, bool], Aligner] = {}
 
 
-def aligner_at(a_file: str, b_file: str) -> Aligner:
-    key = (tokenizer_path(a_file), tokenizer_path(b_file))
+def aligner_at(a_file: str, b_file: str, with_places: bool = False) -> Aligner:
+    key = (tokenizer_path(a_file), tokenizer_path(b_file), with_places)
     if key not in _ALIGNERS:
         _ALIGNERS[key] = Aligner(*key)
     return _ALIGNERS[key]
@@ -412,7 +414,7 @@ def token_links(docs: DataFrame, a_file: str = A_FILE, b_file: str = B_FILE, doc
     cut = pa.struct([("a_end", pa.int64()), ("b_end", pa.int64())])
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        al = aligner_at(a_file, b_file)
+        al = aligner_at(a_file, b_file, with_places=True)
         for batch in batches:
             for lo, texts in _groups(batch, 1):
                 rows = []
