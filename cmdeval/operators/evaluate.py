@@ -43,6 +43,14 @@ def failed_call(responses: DataFrame) -> Column:
     return F.coalesce(F.col("is_error"), F.lit(False)) | null if "is_error" in responses.columns else null
 
 
+def failures(responses: DataFrame) -> DataFrame:
+    """(model, suite, reason, n_calls): failed calls of a dump by reason; calls whose key can't be read have null
+    model and suite. Combined map-side."""
+    reason = F.col("error") if "error" in responses.columns else F.lit("failed")
+    return (responses.where(failed_call(responses)).groupBy("model", "suite", reason.alias("reason"))
+            .agg(F.count(F.lit(1)).alias("n_calls")))
+
+
 def pair_with_responses(suite: DataFrame, responses: DataFrame, models: Sequence[str]) -> DataFrame:
     """Every (model, suite row) with its answer; a missing answer becomes ``("", 0.0)``.
 
@@ -50,7 +58,7 @@ def pair_with_responses(suite: DataFrame, responses: DataFrame, models: Sequence
     model (a single aggregation that combines map-side). Of several calls for
     one key the first that did not fail counts (by arrival time ``ts``, then
     latency and text); the running evaluation keeps the same one. A failed call
-    (``is_error``, or a null text) has latency 0. The suite joins that once on
+    (``is_error``, or a null text) has a blank text and latency 0. The suite joins that once on
     (suite, id) and the models are exploded after the join, so each suite row
     crosses the network once however many models there are. The answer is
     stripped as it is read; ``is_error`` marks the defaults.
@@ -62,7 +70,7 @@ def pair_with_responses(suite: DataFrame, responses: DataFrame, models: Sequence
     arrival = F.col("ts") if "ts" in responses.columns else F.lit(0)
     answer = F.struct(failed.alias("is_error"), arrival.alias("ts"),
                       F.when(failed, F.lit(0.0)).otherwise(F.col("latency").cast("double")).alias("latency"),
-                      F.col("raw_prediction"))
+                      F.when(failed, F.lit("")).otherwise(F.col("raw_prediction")).alias("raw_prediction"))
     folded = (responses.where(F.col("model").isin(models)).groupBy("suite", "id")
               .agg(*[F.min(F.when(F.col("model") == m, answer)).alias(f"_a{i}") for i, m in enumerate(models)]))
     per_model = F.array(*[F.struct(F.lit(m).alias("model"), F.col(f"_a{i}").alias("a"))

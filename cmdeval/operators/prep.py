@@ -32,7 +32,8 @@ def resolve_pairs(df: DataFrame, null_as_text: bool = False, id_col: str = "pair
     if null_as_text:
         inst, cmd = F.coalesce(inst, F.lit("None")), F.coalesce(cmd, F.lit("None"))
     # Without an id, the pair's own content names it: the order of a run doesn't hang on file layout.
-    pid = F.col(id_col).cast("bigint") if id_col in df.columns else F.xxhash64(inst, cmd)
+    own = F.xxhash64(inst, cmd)
+    pid = F.coalesce(F.col(id_col).cast("bigint"), own) if id_col in df.columns else own
     out = df.select(pid.alias("pair_id"), strip(inst).alias("instruction"), strip(cmd).alias("command"))
     if not null_as_text:
         out = out.where(F.col("instruction").isNotNull() & F.col("command").isNotNull())

@@ -16,7 +16,7 @@ from ..functions.text import clean_command, cut_at_stop, last_line
 from ..operators import evaluate, predict, prep, report, scoring, telemetry
 from ..constants import SHORT_REPORT
 from ..session import scratch_path
-from ..sources import fixtures
+from ..sources import fixtures, read_pairs, read_responses
 from .. import streaming
 
 MODELS = fixtures.SIM_MODELS
@@ -84,6 +84,13 @@ def q_alias_resolve(spark, d):
     return prep.resolve_pairs(renamed)
 
 
+def q_pairs_from_json(spark, d):
+    """Pairs written as JSON lines under all accepted names, and read back."""
+    path = scratch_path(spark, "pairs-json")
+    fixtures.pair_lines(_pairs(spark, d)).write.text(path)
+    return prep.resolve_pairs(read_pairs(spark, path, "json"))
+
+
 def q_seq_budget(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
     out = prep.truncate_tokens(docs, "text")
@@ -164,6 +171,23 @@ def q_missing_default(spark, d):
     return paired.select(*KEYS, "raw_prediction", "latency", "is_error")
 
 
+def _dump(spark, d):
+    """The predictor's log, written as JSON lines with failed, cut and retried calls, and read back."""
+    path = scratch_path(spark, "response-dump")
+    fixtures.response_dump(_suite(spark, d)).write.text(path)
+    return read_responses(spark, path, "json")
+
+
+def q_response_dump(spark, d):
+    """Every (model, suite row) with the answer that the dump holds."""
+    paired = evaluate.pair_with_responses(_suite(spark, d), _dump(spark, d), MODELS)
+    return paired.select(*KEYS, "raw_prediction", "latency", "is_error")
+
+
+def q_failed_calls(spark, d):
+    return evaluate.failures(_dump(spark, d))
+
+
 def q_suite_union(spark, d):
     docs = table(spark, d, "documents").select(
         F.col("doc_id").alias("id"), F.col("text").alias("nl"))
@@ -312,6 +336,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chatml_prompt": q_chatml_prompt,
     "chatml_multiturn": q_chatml_multiturn,
     "alias_resolve": q_alias_resolve,
+    "pairs_from_json": q_pairs_from_json,
     "stop_truncate": q_stop_truncate,
     "ask_last_line": q_ask_last_line,
     "clean_command": q_clean_command,
@@ -325,6 +350,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "output_chars": q_output_chars,
     "eval_grid": q_eval_grid,
     "missing_default": q_missing_default,
+    "response_dump": q_response_dump,
+    "failed_calls": q_failed_calls,
     "suite_union": q_suite_union,
     "sample_results": q_sample_results,
     "suite_summary": q_suite_summary,

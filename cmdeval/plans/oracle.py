@@ -69,6 +69,11 @@ PAIRED = f"""paired AS (
   LEFT JOIN sim r ON r.model = m.model AND r.suite = s.suite AND r.id = s.id)"""
 
 
+# The dump of the calls: answers that were cut off count as failed.
+DUMPED = f"dump AS (SELECT * FROM sim WHERE id % {fx.SIM_CUT_MOD} <> {fx.SIM_CUT_REST})"
+PAIRED_DUMP = PAIRED.replace("LEFT JOIN sim r", "LEFT JOIN dump r")
+
+
 def clean_sql(col: str) -> str:
     kept = (f"list_filter(list_transform(string_split(trim({col}, {WS}), {NL}), lambda l: trim(l, {WS})), "
             f"lambda l: l <> '' AND NOT starts_with(l, '```') AND NOT starts_with(l, '#'))")
@@ -208,6 +213,7 @@ ORACLE_SQL: dict[str, str] = {
   string_agg({block('role', f'trim(text, {WS})')}, '' ORDER BY turn) AS text
 FROM conversations GROUP BY conv_id""",
     "alias_resolve": f"{with_(PAIRS)}SELECT pair_id, instruction, command FROM resolved",
+    "pairs_from_json": f"{with_(PAIRS)}SELECT pair_id, instruction, command FROM resolved",
     "stop_truncate": with_(MODELS, SUITE, SIM) + f"""SELECT model, suite, id,
   split_part(split_part(
     raw_prediction || CASE id % 3 WHEN 1 THEN {q(IM_END)} || {NL} || {q(fx.CHATTER)}
@@ -239,6 +245,16 @@ LEFT JOIN ov v ON v.model = c.model AND v.suite = c.suite AND v.id = c.id AND v.
     "output_chars": EVAL + "SELECT model, suite, id, output_chars FROM scored",
     "eval_grid": with_(MODELS, SUITE) + "SELECT m.model, s.suite, s.id FROM suite s CROSS JOIN models m",
     "missing_default": with_(MODELS, SUITE, SIM, PAIRED) + "SELECT model, suite, id, raw_prediction, latency, is_error FROM paired",
+    "response_dump": with_(MODELS, SUITE, SIM, DUMPED, PAIRED_DUMP) + """SELECT model, suite, id, raw_prediction, latency, is_error
+FROM paired""",
+    "failed_calls": with_(MODELS, SUITE) + f"""SELECT model, suite, reason, count(*) AS n_calls FROM (
+  SELECT m.model, s.suite, CASE WHEN id % 2 = 0 THEN 'timeout' ELSE 'flagged' END AS reason
+  FROM suite s CROSS JOIN models m
+  WHERE id % {fx.SIM_MISSING_MOD} <> 0 AND (id % {fx.SIM_FAILED_MOD} = 0 OR id % {fx.SIM_RETRY_MOD} = 0)
+  UNION ALL
+  SELECT m.model, s.suite, 'malformed' FROM suite s CROSS JOIN models m
+  WHERE id % {fx.SIM_MISSING_MOD} <> 0 AND id % {fx.SIM_FAILED_MOD} <> 0 AND id % {fx.SIM_CUT_MOD} = {fx.SIM_CUT_REST})
+GROUP BY ALL""",
     "suite_union": f"""SELECT 'documents' AS suite, doc_id AS id, trim(replace(text, {NL}, ' '), {WS}) AS gold FROM documents
 UNION ALL SELECT 'benchmark', item_id, trim(replace(text, {NL}, ' '), {WS}) FROM benchmark""",
     "sample_results": EVAL + """SELECT model, suite, id, nl, gold, raw_prediction, clean_prediction,

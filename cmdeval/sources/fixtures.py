@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import IM_END, IM_START
+from ..constants import COMMAND_ALIASES, IM_END, IM_START, INSTRUCTION_ALIASES
 from ..functions.text import strip
 
 
@@ -28,6 +28,7 @@ SIM_MODELS = ("base", "tuned")
 SIM_MISSING_MOD = 11
 SIM_RETRY_MOD = 13
 SIM_FAILED_MOD = 17
+SIM_CUT_MOD, SIM_CUT_REST = 23, 5
 SIM_FLAVOURS = 5
 SIM_TUNED_KEEP_MOD = 3
 SIM_LATENCY_STEP = 0.25
@@ -116,6 +117,28 @@ def simulated_responses(suite: DataFrame) -> DataFrame:
         F.when(failed, F.col("ts") - F.expr("INTERVAL 1 HOUR")).otherwise(F.col("ts")).alias("ts"))
 
 
+def response_dump(suite: DataFrame) -> DataFrame:
+    """The predictor's log as lines of JSON: failed calls flagged (odd ids) or as an error's body (even ids), and of
+    the answers with ``id % 23 = 5`` only a line that was cut off."""
+    calls = simulated_responses(suite)
+    key = ["model", "suite", "id"]
+    answer = F.to_json(F.struct(*key, "raw_prediction", "latency", "ts"))
+    flagged = F.to_json(F.struct(*key, "raw_prediction", "latency", "is_error", "ts"))
+    body = F.to_json(F.struct(*key, F.lit("timeout").alias("error"), "ts"))
+    cut = F.left(answer, F.length(answer) - 1)
+    return calls.select(F.when(F.col("is_error") & (F.col("id") % 2 == 0), body).when(F.col("is_error"), flagged)
+                        .when(F.col("id") % SIM_CUT_MOD == SIM_CUT_REST, cut).otherwise(answer).alias("value"))
+
+
+def pair_lines(pairs: DataFrame) -> DataFrame:
+    """Training pairs as lines of JSON, under each of the accepted names in turn."""
+    k = F.col("pair_id") % len(INSTRUCTION_ALIASES)
+    line = F.lit(None).cast("string")
+    for i, (a, b) in enumerate(zip(INSTRUCTION_ALIASES, reversed(COMMAND_ALIASES))):
+        line = F.when(k == i, F.to_json(F.struct("pair_id", F.col("instruction").alias(a), F.col("command").alias(b)))).otherwise(line)
+    return pairs.select(line.alias("value"))
+
+
 def generations(responses: DataFrame) -> DataFrame:
     """Raw generations that run past the answer: by ``id % 3`` nothing, an
     end-of-turn marker and chatter, or a new turn header and the gold."""

@@ -21,6 +21,10 @@ RESPONSE_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("raw_prediction", T.StringType()),
     T.StructField("latency", T.DoubleType()),
+    # Optional in a dump: null where it has none.
+    T.StructField("is_error", T.BooleanType()),
+    T.StructField("ts", T.TimestampType()),
+    T.StructField("error", T.StringType()),
 ])
 
 RUN_LOG_SCHEMA = T.StructType([

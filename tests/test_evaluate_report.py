@@ -3,7 +3,7 @@ import os
 
 import pytest
 
-from conftest import SF001
+from sf_paths import SF001
 
 from cmdeval.operators import evaluate, report
 from cmdeval.session import scratch_path

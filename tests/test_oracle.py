@@ -6,8 +6,9 @@ import duckdb
 import pandas as pd
 import pytest
 
+import __spark_entry__ as entry
 from cmdeval.plans import ORACLE_SQL, QUERIES
-from conftest import SF001
+from sf_paths import SF001
 
 TABLES = ["events", "documents", "conversations", "benchmark"]
 

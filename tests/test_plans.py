@@ -2,7 +2,7 @@
 
 from cmdeval.operators import evaluate, scoring, telemetry
 from cmdeval.plans import catalog
-from conftest import SF001
+from sf_paths import SF001
 
 
 def plan(df):

@@ -9,7 +9,7 @@ from cmdeval.plans import catalog
 from cmdeval.session import scratch_path
 from cmdeval.sources import fixtures
 from cmdeval import streaming
-from conftest import SF001
+from sf_paths import SF001
 
 
 def _log(spark):
