@@ -1,30 +1,31 @@
 """Pair scoring: token bags, n-gram overlaps, token F1 and BLEU-4.
 
 Every metric of a pair depends only on that pair's row, so scoring is a
-chain of projections: no exchange. The table-level bag view
-(``token_counts``) is the only operator here that groups.
+chain of projections: no exchange. The bag view (``token_counts``) too counts
+inside the row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import BLEU_MAX_ORDER
-from ..functions.metrics import bleu4_from_counts, exact_match, f1_from_counts, multiset_overlap
+from ..functions.metrics import (bleu4_from_counts, exact_match, f1_from_counts, multiset_overlap, next_codes,
+                                 token_codes)
 from ..functions.text import next_order, tokens
 
 ORDERS = tuple(range(1, BLEU_MAX_ORDER + 1))
 
 
 def with_overlaps(df: DataFrame, pred: str = "clean_prediction", gold: str = "gold") -> DataFrame:
-    """Adds ``_pt``/``_gt`` token arrays, their sizes and ``_m1.._m4`` overlaps.
+    """Adds the bags' sizes ``_np``/``_ng`` and the ``_m1.._m4`` overlaps.
 
-    Tokens are produced once and shared by F1 and every BLEU order.
+    Tokens are coded once and shared by F1 and every BLEU order.
     """
-    out = (df.withColumn("_pt", tokens(pred)).withColumn("_gt", tokens(gold))
+    out = (df.withColumn("_pt", token_codes(tokens(pred))).withColumn("_gt", token_codes(tokens(gold)))
            .withColumn("_np", F.size("_pt")).withColumn("_ng", F.size("_gt")))
-    out = with_gram_orders(with_gram_orders(out, "_pt", "_p"), "_gt", "_g")
+    out = with_code_orders(with_code_orders(out, "_pt", "_p"), "_gt", "_g")
     for n in ORDERS:
         # An order missing on either side has no grams to match.
         both = (F.col("_np") >= n) & (F.col("_ng") >= n)
@@ -32,8 +33,16 @@ def with_overlaps(df: DataFrame, pred: str = "clean_prediction", gold: str = "go
     return out.drop(*[f"{side}{n}" for side in ("_p", "_g") for n in ORDERS if n > 1])
 
 
+def with_code_orders(df: DataFrame, tok: str, prefix: str) -> DataFrame:
+    """Columns ``prefix1..prefix4``: the codes of each order built from the previous one."""
+    out = df.withColumn(f"{prefix}1", F.col(tok))
+    for n in ORDERS[1:]:
+        out = out.withColumn(f"{prefix}{n}", next_codes(f"{prefix}{n - 1}", tok, n))
+    return out
+
+
 def with_gram_orders(df: DataFrame, tok: str, prefix: str) -> DataFrame:
-    """Columns ``prefix1..prefix4``: each order built from the previous one."""
+    """Columns ``prefix1..prefix4``: the grams of each order as text, built from the previous one."""
     out = df.withColumn(f"{prefix}1", F.col(tok))
     for n in ORDERS[1:]:
         out = out.withColumn(f"{prefix}{n}", next_order(f"{prefix}{n - 1}", tok, n))
@@ -65,21 +74,29 @@ def ngram_overlap(df: DataFrame, keys: list[str], pred: str = "clean_prediction"
     return out.select(*keys, F.inline(rows))
 
 
+def _counted(grams: Column, side: str, n: int) -> Column:
+    """(side, n, gram, cnt) of the distinct grams of a sorted array."""
+    before = F.concat(F.array(F.lit(None).cast("string")), F.slice(grams, 1, F.greatest(F.size(grams) - 1, F.lit(0))))
+    runs = F.filter(F.zip_with(grams, before, lambda g, b: F.when(~g.eqNullSafe(b), g)), lambda g: g.isNotNull())
+    starts = F.filter(F.transform(F.zip_with(grams, before, lambda g, b: ~g.eqNullSafe(b)), lambda new, i: F.when(new, i)),
+                      lambda i: i.isNotNull())
+    ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts) - 1, F.lit(0))), F.array(F.size(grams)))
+    cnt = F.zip_with(starts, ends, lambda a, b: (b - a).cast("bigint"))
+    return F.transform(F.arrays_zip(runs.alias("gram"), cnt.alias("cnt")), lambda x: F.struct(
+        F.lit(side).alias("side"), F.lit(n).cast("bigint").alias("n"), x["gram"].alias("gram"), x["cnt"].alias("cnt")))
+
+
 def token_counts(df: DataFrame, keys: list[str], pred: str = "clean_prediction",
                  gold: str = "gold") -> DataFrame:
     """Multiset view of both bags: (keys, side, n, gram, cnt).
 
-    After a shuffled join on the pair key the rows already lie by that key, which
-    serves the grouping too; after a broadcast join, grams combine map-side.
-    The pair key is unique, so it cannot be hot.
+    Counted inside the row: each bag is sorted and its runs are measured. No exchange
+    is added, whatever the plan below, and a very long answer costs O(n log n) in its
+    own row. The keys are those of one row, as in all scoring.
     """
-    def tag(side: str, n: int):
-        return lambda g: F.struct(F.lit(side).alias("side"), F.lit(n).cast("bigint").alias("n"),
-                                  g.alias("gram"))
-
     staged = df.select(*keys, tokens(pred).alias("_pt"), tokens(gold).alias("_gt"))
     staged = with_gram_orders(with_gram_orders(staged, "_pt", "_p"), "_gt", "_g")
-    items = F.concat(*[F.transform(F.col(f"{prefix}{n}"), tag(side, n))
-                       for prefix, side in (("_p", "pred"), ("_g", "gold")) for n in ORDERS])
-    return (staged.select(*keys, F.explode(items).alias("it")).select(*keys, "it.side", "it.n", "it.gram")
-            .groupBy(*keys, "side", "n", "gram").agg(F.count(F.lit(1)).alias("cnt")))
+    sides = [(f"{prefix}{n}", side, n) for prefix, side in (("_p", "pred"), ("_g", "gold")) for n in ORDERS]
+    staged = staged.select(*keys, *[F.sort_array(c).alias(c) for c, _, _ in sides])
+    counted = F.concat(*[F.when(F.size(c) > 0, _counted(F.col(c), side, n)).otherwise(F.array()) for c, side, n in sides])
+    return staged.select(*keys, F.inline(counted))

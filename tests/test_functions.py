@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from cmdeval.constants import PY_WHITESPACE_CODEPOINTS
 from cmdeval.functions import (bleu4_from_counts, clean_command, cut_at_stop, exact_match,
-                               f1_from_counts, last_line, multiset_overlap, next_order,
-                               single_line, strip, tokens)
+                               f1_from_counts, last_line, multiset_overlap, next_codes,
+                               next_order, single_line, strip, token_codes, tokens)
 
 
 GOLDEN = [  # prediction, gold, em, f1, bleu4
@@ -40,12 +40,12 @@ CLEANING = [  # raw, clean, single_line, ask last line
 
 def score_rows(spark, rows):
     df = spark.createDataFrame(rows, "p string, g string")
-    df = df.withColumn("pt", tokens("p")).withColumn("gt", tokens("g"))
+    df = df.withColumn("pt", token_codes(tokens("p"))).withColumn("gt", token_codes(tokens("g")))
     ms = []
     df = df.withColumn("p_n", F.col("pt")).withColumn("g_n", F.col("gt"))
     for n in range(1, 5):
         if n > 1:
-            df = df.withColumn("p_n", next_order("p_n", "pt", n)).withColumn("g_n", next_order("g_n", "gt", n))
+            df = df.withColumn("p_n", next_codes("p_n", "pt", n)).withColumn("g_n", next_codes("g_n", "gt", n))
         df = df.withColumn(f"m{n}", multiset_overlap("p_n", "g_n"))
         ms.append(F.col(f"m{n}"))
     np_, ng = F.size("pt"), F.size("gt")
@@ -131,3 +131,15 @@ def test_invariants_em_implies_perfect_and_clean_is_one_line(spark, texts):
                      if ln.strip() and not ln.strip().startswith(("```", "#"))]
         if survivors:
             assert "\n" not in row.c
+
+
+def test_multiset_overlap_equals_counters(spark):
+    import random
+    from collections import Counter
+    rng = random.Random(4)
+    bag = lambda: [rng.choice([-(1 << 63), 7, 7, 1 << 40, 8, (1 << 63) - 2, rng.randrange(4, 40) * 2])
+                   for _ in range(rng.choice([0, 1, 5, 60]))]
+    rows = [(i, bag(), bag()) for i in range(300)]
+    got = spark.createDataFrame(rows, "i int, p array<bigint>, g array<bigint>").select("i", multiset_overlap("p", "g").alias("m"))
+    want = {i: sum((Counter(p) & Counter(g)).values()) for i, p, g in rows}
+    assert {r.i: r.m for r in got.collect()} == want

@@ -50,12 +50,21 @@ def test_suite_text_shuffles_once_per_row(spark):
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
-def test_token_counts_shuffles_pairs_not_grams(spark):
+def test_token_counts_adds_no_exchange(spark):
     df = spark.createDataFrame([("m", "s", 1, "ls -la", "ls -l")],
                                "model string, suite string, id long, clean_prediction string, gold string")
     p = plan(scoring.token_counts(df, ["model", "suite", "id"]))
-    exchanges = [l for l in p.split("\n") if "Exchange" in l]
-    assert len(exchanges) == 1 and "REPARTITION_BY_COL" in exchanges[0]
+    assert "Exchange" not in p and "Aggregate" not in p
+
+
+def test_token_counts_of_long_and_empty_texts(spark):
+    from collections import Counter
+    words = (["a", "b", "a", "c"] * 900) + ["z"]
+    df = spark.createDataFrame([(1, " ".join(words), ""), (2, "", None)], "id long, clean_prediction string, gold string")
+    got = {(r.id, r.side, r.n, r.gram): r.cnt for r in scoring.token_counts(df, ["id"]).collect()}
+    want = {(1, "pred", n, " ".join(g)): c for n in range(1, 5)
+            for g, c in Counter(tuple(words[i:i + n]) for i in range(len(words) - n + 1)).items()}
+    assert got == want
 
 
 def test_hot_command_key_survives(spark):
