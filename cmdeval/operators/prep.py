@@ -10,6 +10,7 @@ from ..constants import (COMMAND_ALIASES, IM_END, IM_START, INSTRUCTION_ALIASES,
                          TRAIN_SEED)
 from ..config import TrainConfig  # noqa: F401  (type of the config argument)
 from ..functions.text import _col, strip, tokens
+from .ordering import ranked
 
 
 def _pick(columns: list[str], aliases: tuple[str, ...], what: str) -> str:
@@ -98,26 +99,28 @@ def truncate_tokens(df: DataFrame, col: str = "text", budget: int = SEQ_BUDGET_T
 
 def training_plan(pairs: DataFrame, seed: int = TRAIN_SEED, rows_per_step: int = ROWS_PER_STEP,
                   max_steps: int | None = TRAIN_MAX_STEPS, id_col: str = "pair_id",
-                  config: "TrainConfig | None" = None) -> DataFrame:
-    """Seeded order and step assignment of the rows a capped run consumes.
+                  config: "TrainConfig | None" = None, resume_step: int = 0) -> DataFrame:
+    """Seeded order and step assignment of the rows a run consumes.
 
     A ``config`` (``cmdeval.config.TrainConfig``) overrides the three numbers.
 
-    The order key is ``md5(seed ':' pair_id)``. Only ``max_steps *
-    rows_per_step`` rows are used, so the sort is a bounded top-k
-    (TakeOrderedAndProject); the global rank runs on that bounded set only.
-    ``max_steps=None`` gives the full order: sorted by range partitions, with
-    order_key but without rank and step, which would need all rows in one task.
+    The order key is ``md5(seed ':' pair_id)``; ties go by id. With ``max_steps`` only ``max_steps *
+    rows_per_step`` rows are used, so the sort is a bounded top-k (TakeOrderedAndProject) and the rank
+    runs on that bounded set. ``max_steps=None`` ranks all rows (one epoch) by ranges, see ``ordering.ranked``.
+    ``resume_step`` leaves out the rows of the steps that a stopped run has done; ranks and steps stay the same.
     """
     if config is not None:
         seed, rows_per_step, max_steps = config.seed, config.rows_per_step, config.max_steps
+    if resume_step < 0 or rows_per_step < 1:
+        raise ValueError("resume_step must not be negative and rows_per_step not below 1")
     keyed = pairs.withColumn("order_key", F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string"))))
     if max_steps is None:
-        return keyed.orderBy("order_key", id_col)
-    head = keyed.orderBy("order_key", id_col).limit(max_steps * rows_per_step)
-    rank = F.row_number().over(Window.orderBy("order_key", id_col))
-    return (head.withColumn("rank", rank.cast("bigint"))
-            .withColumn("step", (F.floor((F.col("rank") - 1) / rows_per_step) + 1).cast("bigint")))
+        order = ranked(keyed, [F.col("order_key"), F.col(id_col)])
+    else:
+        head = keyed.orderBy("order_key", id_col).limit(max_steps * rows_per_step)
+        order = head.withColumn("rank", F.row_number().over(Window.orderBy("order_key", id_col)).cast("bigint"))
+    order = order.withColumn("step", (F.floor((F.col("rank") - 1) / rows_per_step) + 1).cast("bigint"))
+    return order.where(F.col("step") > resume_step) if resume_step else order
 
 
 def map_batches(df: DataFrame, fn, schema) -> DataFrame:

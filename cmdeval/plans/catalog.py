@@ -16,7 +16,7 @@ from ..functions.text import clean_command, cut_at_stop, last_line
 from ..operators import evaluate, predict, prep, report, scoring, telemetry
 from ..constants import SHORT_REPORT
 from ..session import scratch_path
-from ..sources import fixtures, read_pairs, read_responses
+from ..sources import fixtures, read_pairs, read_responses, read_suite
 from .. import streaming
 
 MODELS = fixtures.SIM_MODELS
@@ -104,6 +104,12 @@ def q_train_plan(spark, d):
     return plan.select("pair_id", "order_key", "rank", "step")
 
 
+def q_train_order(spark, d):
+    """The whole seeded order with rank and step."""
+    plan = prep.training_plan(prep.resolve_pairs(_pairs(spark, d)), max_steps=None)
+    return plan.select("pair_id", "order_key", "rank", "step")
+
+
 def q_corpus_size(spark, d):
     corpus = prep.render_training(prep.resolve_pairs(_pairs(spark, d)))
     return corpus.agg(F.count(F.lit(1)).alias("n_rows"),
@@ -202,6 +208,15 @@ def q_sample_results(spark, d):
     return evaluate.sample_results(_results(spark, d))
 
 
+def q_positional_results(spark, d):
+    """Detail records of a suite whose files hold no ids: a sample's id is its place in its suite."""
+    path = scratch_path(spark, "suite-no-ids")
+    (_suite(spark, d).repartitionByRange(6, "id").sortWithinPartitions("id").select("suite", "nl", "gold")
+     .write.json(path))
+    suite = read_suite(spark, path, "json", positions=True)
+    return evaluate.sample_results(evaluate.score(suite, fixtures.simulated_responses(suite), MODELS))
+
+
 def q_suite_summary(spark, d):
     return _summary(spark, d)
 
@@ -299,6 +314,29 @@ def q_stream_log_tail(spark, d):
     return spark.read.parquet(_drain(spark, log, "log-tail")).select("run_id", "step", "ts", "loss")
 
 
+def q_stream_growing_log(spark, d):
+    """The run log as files of JSON lines, followed by byte offsets."""
+    src = scratch_path(spark, "growing-log")
+    log = fixtures.run_log_from_events(table(spark, d, "events")).withColumn("ts", timefn.utc_instant("ts"))
+    log.select(F.to_json(F.struct("*"), {"timestampFormat": streaming.LOG_TS_FORMAT}).alias("value")).write.text(src)
+    records = streaming.json_records(streaming.tail_lines(spark, src, "part-*"))
+    out = spark.read.parquet(_drain(spark, records, "growing-tail"))
+    return out.select("run_id", "step", timefn.utc_wall("ts").alias("ts"), "loss")
+
+
+def q_train_log_records(spark, d):
+    """The run log as the trainer prints it, progress bars between, followed and parsed."""
+    src = scratch_path(spark, "train-log")
+    log = fixtures.run_log_from_events(table(spark, d, "events"))
+    bar = F.when(F.col("step") % 3 == 0, F.lit("  3%|#         | 10/300 [00:12<05:50]\r")).otherwise(F.lit(""))
+    entry = F.format_string("%s{'loss': %s, 'grad_norm': 0.5, 'learning_rate': 2e-05, 'epoch': %s}", bar, F.col("loss").cast("string"), F.col("step"))
+    lines = log.select(F.explode(F.array(F.lit("==== step ===="), entry)).alias("value"))
+    lines.write.text(src)
+    records = streaming.train_log_records(streaming.tail_lines(spark, src, "part-*"))
+    out = _drain(spark, records, "train-records")
+    return spark.read.parquet(out).select("kind", F.col("epoch").cast("bigint").alias("step"), "loss", "grad_norm", "learning_rate")
+
+
 def q_stream_eval(spark, d):
     """Answers stream in with the documents; the references are written once, by the join's key."""
     calls = fixtures.simulated_responses(fixtures.suite_from_documents(_stream(spark, d, "documents")))
@@ -354,6 +392,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "failed_calls": q_failed_calls,
     "suite_union": q_suite_union,
     "sample_results": q_sample_results,
+    "positional_results": q_positional_results,
     "suite_summary": q_suite_summary,
     "suite_summary_full": q_suite_summary_full,
     "model_compare": q_model_compare,
@@ -361,6 +400,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_report": q_json_report,
     "json_summary": q_json_summary,
     "train_plan": q_train_plan,
+    "train_order": q_train_order,
     "corpus_size": q_corpus_size,
     "loss_convergence": q_loss_convergence,
     "peak_memory": q_peak_memory,
@@ -369,6 +409,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "syntax_valid": q_syntax_valid,
     "batch_predict": q_batch_predict,
     "stream_log_tail": q_stream_log_tail,
+    "stream_growing_log": q_stream_growing_log,
+    "train_log_records": q_train_log_records,
     "stream_eval": q_stream_eval,
     "stream_telemetry": q_stream_telemetry,
     "stream_loss_windows": q_stream_loss_windows,

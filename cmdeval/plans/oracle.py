@@ -39,6 +39,9 @@ SUITE = f"""suite AS (
          doc_id AS id, text AS nl, trim(replace(text, {NL}, ' '), {WS}) AS gold
   FROM documents)"""
 
+SUITE_BY_PLACE = SUITE.replace("SELECT CASE", "SELECT * REPLACE (row_number() OVER (PARTITION BY suite ORDER BY id) AS id) FROM (\n  SELECT CASE"
+                               ).replace("FROM documents)", "FROM documents))")
+
 SIM = f"""sim0 AS (
   SELECT m.model, s.suite, s.id, s.gold,
          CASE WHEN m.model = 'base' THEN s.id % {fx.SIM_FLAVOURS}
@@ -259,6 +262,8 @@ GROUP BY ALL""",
 UNION ALL SELECT 'benchmark', item_id, trim(replace(text, {NL}, ' '), {WS}) FROM benchmark""",
     "sample_results": EVAL + """SELECT model, suite, id, nl, gold, raw_prediction, clean_prediction,
   em, f1, bleu4, latency, is_error FROM scored""",
+    "positional_results": with_(MODELS, SUITE_BY_PLACE, SIM, PAIRED, scoring("paired")) + """SELECT model, suite, id, nl, gold,
+  raw_prediction, clean_prediction, em, f1, bleu4, latency, is_error FROM scored""",
     "json_report": EVAL + """SELECT model, suite, id, nl, gold, raw_prediction, clean_prediction,
   em, f1, bleu4, latency, is_error FROM scored""",
     "json_summary": EVAL + SUMMARY_SELECT,
@@ -271,6 +276,10 @@ r AS (SELECT *, row_number() OVER (ORDER BY order_key, pair_id) AS rank FROM k)
 SELECT pair_id, order_key, CAST(rank AS BIGINT) AS rank,
   CAST(floor((rank - 1) / {ROWS_PER_STEP}) + 1 AS BIGINT) AS step
 FROM r WHERE rank <= {TRAIN_MAX_STEPS * ROWS_PER_STEP}""",
+    "train_order": f"""{with_(PAIRS)}, k AS (
+  SELECT pair_id, md5('{TRAIN_SEED}:' || CAST(pair_id AS VARCHAR)) AS order_key FROM resolved),
+r AS (SELECT *, row_number() OVER (ORDER BY order_key, pair_id) AS rank FROM k)
+SELECT pair_id, order_key, CAST(rank AS BIGINT) AS rank, CAST(floor((rank - 1) / {ROWS_PER_STEP}) + 1 AS BIGINT) AS step FROM r""",
     "corpus_size": f"""{with_(PAIRS)}SELECT count(*) AS n_rows, CAST(sum(length({TRAIN_TEXT})) AS BIGINT) AS n_chars
 FROM resolved""",
     "loss_convergence": f"""SELECT CAST(user_id AS VARCHAR) AS run_id, count(*) AS n_logged,
@@ -302,6 +311,8 @@ FROM u""",
   SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY step DESC) AS rn FROM ({RUN_LOG}))
 WHERE rn <= {LOG_TAIL_LINES}""",
     "stream_log_tail": RUN_LOG,
+    "stream_growing_log": RUN_LOG,
+    "train_log_records": f"""SELECT 'step' AS kind, step, loss, 0.5{D} AS grad_norm, 0.00002{D} AS learning_rate FROM ({RUN_LOG})""",
     "stream_eval": with_(MODELS, SUITE, SIM, f"""present AS (
   SELECT r.model, r.suite, r.id, s.gold, coalesce(trim(r.raw_prediction, {WS}), '') AS raw_prediction, r.latency
   FROM sim r JOIN suite s ON s.suite = r.suite AND s.id = r.id)""",

@@ -1,5 +1,6 @@
 from .streams import (LOG_TS_FORMAT, loss_windows, finish_running, run_availablenow, latest, running_evaluation, tail_log,
                       telemetry_windows)
+from .log_source import json_records, tail_lines, train_log_records
 
-__all__ = ["loss_windows", "finish_running", "latest", "run_availablenow", "running_evaluation", "tail_log",
+__all__ = ["json_records", "tail_lines", "train_log_records", "LOG_TS_FORMAT", "loss_windows", "finish_running", "latest", "run_availablenow", "running_evaluation", "tail_log",
            "telemetry_windows"]
