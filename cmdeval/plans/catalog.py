@@ -343,8 +343,9 @@ def q_stream_eval(spark, d):
     gold = scratch_path(spark, "gold")
     _suite(spark, d).select("suite", "id", "gold").repartition("suite", "id").write.parquet(gold)
     gold = spark.read.schema("suite string, id bigint, gold string").parquet(gold)
-    out = _drain(spark, streaming.running_evaluation(calls, gold, STREAM_WATERMARK), "running-eval", mode="complete")
-    return streaming.finish_running(spark.read.parquet(out))
+    out = scratch_path(spark, "running-eval")
+    table_ = streaming.running_evaluation_table(calls, gold, out, out + "-ckpt")
+    return streaming.finish_running(streaming.running_totals(table_.current()))
 
 
 STREAM_WINDOW = "1 day"
@@ -360,6 +361,19 @@ def q_stream_telemetry(spark, d):
         "label", "n_samples", "peak_reserved_bytes")
 
 
+def q_stream_late_rows(spark, d):
+    """Samples arrive a file at a time in no order of time: rows in windows and rows counted as late are all rows."""
+    src = scratch_path(spark, "samples-by-arrival")
+    samples = fixtures.gpu_samples_from_events(table(spark, d, "events")).withColumn("ts", timefn.utc_instant("ts"))
+    samples.repartition(4, F.xxhash64("ts", "run_id")).write.parquet(src)
+    stream = spark.readStream.schema(samples.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    out = scratch_path(spark, "late-windows")
+    tables = streaming.window_tables(stream, out, out + "-ckpt", "1 day", "10 days", by=("label",))
+    counted = (tables.current().select("label", F.col("n_samples").alias("n"))
+               .unionByName(tables.late.current().select("label", F.col("n_late").alias("n"))))
+    return counted.groupBy("label").agg(F.sum("n").alias("n_events"))
+
+
 def q_stream_loss_windows(spark, d):
     log = fixtures.run_log_from_events(_stream(spark, d, "events")).withColumn("ts", timefn.utc_instant("ts"))
     out = _drain(spark, streaming.loss_windows(log, STREAM_WINDOW, STREAM_WATERMARK), "loss-windows", mode="update")
@@ -413,6 +427,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "train_log_records": q_train_log_records,
     "stream_eval": q_stream_eval,
     "stream_telemetry": q_stream_telemetry,
+    "stream_late_rows": q_stream_late_rows,
     "stream_loss_windows": q_stream_loss_windows,
 }
 

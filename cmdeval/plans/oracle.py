@@ -323,6 +323,7 @@ WHERE rn <= {LOG_TAIL_LINES}""",
   FROM events GROUP BY ALL)
 SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, label, n_samples, peak_reserved_bytes
 FROM w""",
+    "stream_late_rows": "SELECT event_type AS label, CAST(count(*) AS BIGINT) AS n_events FROM events GROUP BY event_type",
     "stream_loss_windows": f"""WITH w AS (
   SELECT date_trunc('day', ts) AS window_start, CAST(user_id AS VARCHAR) AS run_id, count(*) AS n_logged,
          {rnd('avg(value)', 6)} AS mean_loss, arg_max(value, event_id) AS last_loss

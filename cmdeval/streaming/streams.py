@@ -17,6 +17,7 @@ from ..functions.text import clean_command, strip
 from ..operators.evaluate import failed_call
 from ..operators.scoring import score_pairs
 from ..sources.schemas import RUN_LOG_SCHEMA
+from .increments import ANSWERS, IncrementTable, WindowTables, first_answers, running_answers
 
 
 # Log files carry microsecond timestamps with an explicit zone.
@@ -60,6 +61,50 @@ def running_evaluation(responses: DataFrame, suite: DataFrame, watermark: str =
         F.sum(output_chars("raw_prediction")).alias("sum_chars"))
 
 
+def running_evaluation_table(responses: DataFrame, suite: DataFrame, path: str, checkpoint: str,
+                             compact_every: int = 16, timeout_sec: float | None = None) -> IncrementTable:
+    """Score a stream of answers into a keyed table, to the end of what is available.
+
+    The stream keeps no state: of each key the first answer by ``ts`` counts, however late or often it comes, since
+    the table holds one row for each answered (model, suite, id). Failed calls are left out.
+    """
+    table = running_answers(responses.sparkSession, path, compact_every)
+
+    def scored(batch: DataFrame, batch_id: int) -> None:
+        answers = batch.where(~failed_call(batch)).select(
+            "model", "suite", F.col("id").cast("bigint").alias("id"), F.col("ts").cast("timestamp").alias("ts"), F.col("latency").cast("double").alias("latency"),
+            F.coalesce(strip("raw_prediction"), F.lit("")).alias("raw_prediction"))
+        joined = first_answers(answers).join(suite.select("suite", "id", "gold"), ["suite", "id"], "inner")
+        done = score_pairs(joined.withColumn("clean_prediction", clean_command("raw_prediction")))
+        done = done.withColumn("single_line", single_line("raw_prediction")).withColumn("output_chars", output_chars("raw_prediction"))
+        table.add(done.select(*[f.split(" ")[0] for f in ANSWERS.split(", ")]), batch_id)
+
+    _run_batches(responses, scored, checkpoint, timeout_sec)
+    return table
+
+
+def window_tables(samples: DataFrame, path: str, checkpoint: str, window: str = "1 hour", delay: str = "1 hour",
+                  by: Sequence[str] = ("run_id",), end_marker: str | None = None, compact_every: int = 16,
+                  timeout_sec: float | None = None) -> WindowTables:
+    """Windows of a stream of samples to the end of what is available, late rows counted beside; see ``WindowTables``."""
+    tables = WindowTables(samples.sparkSession, path, window, delay, list(by), compact_every)
+    _run_batches(samples, lambda batch, batch_id: tables.add(batch, batch_id, end_marker), checkpoint, timeout_sec)
+    return tables
+
+
+def _run_batches(stream: DataFrame, fn, checkpoint: str, timeout_sec: float | None) -> None:
+    _wait(stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(fn).start(), timeout_sec)
+
+
+def _wait(query, timeout_sec: float | None) -> None:
+    query.awaitTermination(timeout_sec)
+    if query.isActive:
+        query.stop()
+        raise TimeoutError("stream did not drain in time")
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
 def finish_running(totals: DataFrame) -> DataFrame:
     """Summary columns from running sums (same rounding as the batch summary)."""
     n = F.col("n")
@@ -79,8 +124,9 @@ def telemetry_windows(samples: DataFrame, window: str = "1 hour", watermark: str
                       by: Sequence[str] = ("run_id",)) -> DataFrame:
     """Tumbling event-time windows per run: sample count and peak reserved bytes.
 
-    Rows older than the watermark are dropped; a window is emitted once the
-    watermark passes its end.
+    Rows older than the watermark are dropped (``window_tables`` counts them beside).
+    In append mode a window is emitted once the watermark passes its end, in update
+    mode whenever a micro-batch changes it.
     """
     return (samples.withWatermark("ts", watermark)
             .groupBy(F.window("ts", window).alias("w"), *by)
@@ -134,10 +180,5 @@ def run_availablenow(stream: DataFrame, path: str, checkpoint: str, mode: str =
         query = writer.outputMode("update").foreachBatch(changed).start()
     else:
         raise ValueError(f"unsupported mode {mode!r}")
-    query.awaitTermination(timeout_sec)
-    if query.isActive:
-        query.stop()
-        raise TimeoutError("stream did not drain in time")
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
+    _wait(query, timeout_sec)
     return path
