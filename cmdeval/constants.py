@@ -34,10 +34,6 @@ POSIX_BLANK = " \t\x0b\x0c"
 # Python `\w+|[^\w\s]` with Unicode classes, written for Java regex and RE2:
 # word = [\p{L}\p{N}_], space = [\x09-\x0d\x1c-\x20\x{85}\p{Z}].
 TOKEN_PATTERN = r"([\p{L}\p{N}_]+|[^\p{L}\p{N}_\x09-\x0d\x1c-\x20\x{85}\p{Z}])"
-# The same tokens for Java regex, without the group and with a possessive run
-# (the two alternatives are disjoint, so no match changes; RE2 lacks `++`).
-TOKEN_PATTERN_JAVA = r"[\p{L}\p{N}_]++|[^\p{L}\p{N}_\x09-\x0d\x1c-\x20\x{85}\p{Z}]"
-
 CODE_FENCE = "```"
 COMMENT_MARK = "#"
 
@@ -76,5 +72,26 @@ SHORT_REPORT = ("exact_match_pct", "mean_token_f1", "syntax_validity_pct", "avg_
 
 # ---- end of fixed values -------------------------------------------------
 
+
+
+def word_ranges(first: int = 0x370, last: int = 0x2FFFF) -> str:
+    """Character ranges of Python's alphanumeric characters, for a Java character class: its own classes of letters
+    and numbers are those of the Unicode version that the JVM was built with."""
+    out, start = [], None
+    for c in range(first, last + 2):
+        word = c <= last and not 0xD800 <= c < 0xE000 and chr(c).isalnum()
+        if word and start is None:
+            start = c
+        elif not word and start is not None:
+            out.append(f"\\x{{{start:x}}}-\\x{{{c - 1:x}}}")
+            start = None
+    return "".join(out)
+
+
+# The same tokens for Java regex, without the group and with a possessive run (the two alternatives are disjoint,
+# so no match changes; RE2 lacks `++`). Characters below the ranges don't look at them.
+_WORD = r"\p{L}\p{N}_[\x{370}-\x{2ffff}&&[" + word_ranges() + "]]"
+TOKEN_PATTERN_JAVA = rf"[{_WORD}]++|[^{_WORD}\x09-\x0d\x1c-\x20\x{{85}}\p{{Z}}]"
+
 PY_WHITESPACE = "".join(chr(c) for c in PY_WHITESPACE_CODEPOINTS)
 ROWS_PER_STEP = TRAIN_BATCH_SIZE * TRAIN_GRAD_ACCUM

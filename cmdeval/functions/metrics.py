@@ -43,6 +43,52 @@ def round_half_even(x: Column, digits: int) -> Column:
     return F.bround(x * F.lit(scale), 0) / F.lit(scale)
 
 
+def round_exact(x: Column, digits: int) -> Column:
+    """Python's ``round(x, digits)``: to the nearest decimal of the number that the double is, half to even.
+
+    ``x * 10**digits`` is rounded to a double; what that drops is got back by splitting x into two short halves
+    (Dekker's product), and where the product looks like a tie it tells the side. For up to 8 digits.
+    """
+    if not 0 <= digits <= 8:
+        raise ValueError("digits must be from 0 to 8")
+    s = float(10 ** digits)
+
+    def rounded(v: Column) -> Column:
+        y = v * F.lit(s)
+        near = F.rint(y)
+        far = F.lit(134217729.0) * v
+        high = far - (far - v)
+        dropped = (high * F.lit(s) - y) + (v - high) * F.lit(s)
+        tie = F.abs(y - near) == 0.5
+        whole = (F.when(tie & (dropped > 0), F.ceil(y).cast("double")).when(tie & (dropped < 0), F.floor(y).cast("double"))
+                 .otherwise(near))
+        return F.when(F.abs(y) < float(1 << 52), whole / F.lit(s)).otherwise(v)
+
+    return _bound(x, rounded)
+
+
+def exact_sum(x: Column, bits: int) -> Column:
+    """Sum of doubles as whole multiples of ``2 ** -bits``: the same bits however the rows are dealt out.
+
+    Values are rounded to such a multiple first (no change for scores of at least 0.5 at 53 bits); they must be
+    below ``2 ** (63 - bits)``, others and NaN count as absent.
+    """
+    scale = F.lit(float(1 << bits))
+    return F.sum(F.rint(x * scale).try_cast("bigint").cast("decimal(20,0)")).cast("double") / scale
+
+
+#: Fixed-point bits of scores (0 to 1) and of seconds.
+SCORE_BITS, SECONDS_BITS = 53, 32
+
+
+def plain_number(x: Column) -> Column:
+    """A double as Python prints it, without an exponent from 0.0001 up to 10 ** 16."""
+    text = x.cast("string")
+    digits = F.regexp_replace(x.cast("decimal(38,18)").cast("string"), r"(\.\d+?)0+$", "$1")
+    fixed = (F.abs(x) >= 1e-4) & (F.abs(x) < 1e16)
+    return F.when(text.contains("E") & fixed, digits).otherwise(text)
+
+
 def _bound(value: Column, use) -> Column:
     """``use(value)`` with the value computed once, however often ``use`` names it."""
     return F.element_at(F.transform(F.array(value), use), 1)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.metrics import output_chars, round_half_even, single_line
+from ..functions.metrics import SCORE_BITS, SECONDS_BITS, exact_sum, output_chars, round_exact, single_line
 from ..functions.text import clean_command, strip
 from .scoring import score_pairs
 
@@ -127,7 +127,9 @@ def sample_results(results: DataFrame) -> DataFrame:
 
 
 def summarise(results: DataFrame, by: Sequence[str] = ("model", "suite")) -> DataFrame:
-    """One row per (model, suite): the published means, rounded half-even.
+    """One row per (model, suite): the published means, rounded as Python rounds them.
+
+    Sums are exact (``exact_sum``): no partitioning changes a digit.
 
     Partial aggregation runs map-side, so even a suite holding most rows
     shuffles only one small record per task.
@@ -135,18 +137,22 @@ def summarise(results: DataFrame, by: Sequence[str] = ("model", "suite")) -> Dat
     n = F.count(F.lit(1))
 
     def pct(c):
-        return round_half_even(F.sum(F.col(c).cast("double")) / n * F.lit(100.0), 2)
+        return round_exact(exact_sum(F.col(c).cast("double"), SCORE_BITS) / n * F.lit(100.0), 2)
+
+    def seconds(c):
+        return exact_sum(c.cast("double"), SECONDS_BITS)
 
     aggs = [n.alias("num_samples"),
             pct("em").alias("exact_match_pct"),
             pct("f1").alias("mean_token_f1"),
             pct("bleu4").alias("mean_bleu4")]
     if "syntax_valid" in results.columns:
-        aggs.append(round_half_even(F.sum(F.col("syntax_valid").cast("double")) / n * F.lit(100.0), 2)
-                    .alias("syntax_validity_pct"))
+        aggs.append(pct("syntax_valid").alias("syntax_validity_pct"))
     aggs += [pct("single_line").alias("single_line_clean_pct"),
-             round_half_even(F.sum("latency") / n, 2).alias("avg_latency_sec"),
-             round_half_even(F.sum(F.col("output_chars").cast("double")) / n, 1).alias("avg_output_chars"),
+             round_exact(seconds(F.col("latency")) / n, 2).alias("avg_latency_sec"),
+             round_exact(F.sum("output_chars").cast("double") / n, 1).alias("avg_output_chars"),
              F.sum(F.col("is_error").cast("bigint")).alias("n_errors"),
-             round_half_even(F.avg(F.when(~F.col("is_error"), F.col("latency"))), 2).alias("avg_latency_ok")]
+             round_exact(F.try_divide(seconds(F.when(~F.col("is_error"), F.col("latency"))),
+                                      F.count(F.when(~F.col("is_error"), F.col("latency"))).cast("double")), 2)
+             .alias("avg_latency_ok")]
     return results.groupBy(*by).agg(*aggs)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import REPORT_HEADER, REPORT_METRICS, REPORT_RULE
-from ..functions.metrics import round_half_even
+from ..functions.metrics import plain_number, round_exact
 from .evaluate import sample_results, summarise, with_format_flags
 
 
@@ -46,13 +47,13 @@ def compare(summary: DataFrame, base: str, tuned: str,
     wide = (long.groupBy("suite", "metric", "metric_ord", "kind")
             .agg(of[base].alias("base"), of[tuned].alias("tuned")))
     faster = F.when(F.col("base") == 0, F.lit(None).cast("double")).otherwise(
-        round_half_even((F.lit(1.0) - F.col("tuned") / F.col("base")) * F.lit(100.0), 1))
+        round_exact((F.lit(1.0) - F.col("tuned") / F.col("base")) * F.lit(100.0), 1))
     delta = F.when(F.col("kind") == "faster", faster).otherwise(F.col("tuned") - F.col("base"))
     return wide.select("suite", "metric", "metric_ord", "base", "tuned", delta.alias("delta"))
 
 
 def _num(c: Column) -> Column:
-    return F.coalesce(c.cast("string"), F.lit("n/a"))
+    return F.coalesce(plain_number(c), F.lit("n/a"))
 
 
 def markdown(cmp: DataFrame, base_label: str = "base", tuned_label: str = "tuned",
@@ -65,7 +66,7 @@ def markdown(cmp: DataFrame, base_label: str = "base", tuned_label: str = "tuned
     improvement = F.when(
         meta["kind"] == "faster",
         F.concat(F.lit("⚡ "), _num(F.col("delta")), F.lit("% faster")),
-    ).otherwise(F.concat(F.lit("+"), _num(round_half_even(F.col("delta"), 1)), unit))
+    ).otherwise(F.concat(F.lit("+"), _num(round_exact(F.col("delta"), 1)), unit))
     row_line = F.concat_ws(" | ",
                            F.concat(F.lit("| "), meta["name"]),
                            F.concat(_num(F.col("base")), unit),
@@ -87,25 +88,66 @@ def write_markdown(lines: DataFrame, path: str) -> None:
      .select("line").write.mode("overwrite").text(path))
 
 
-def write_json(results: DataFrame, path: str) -> dict[str, str]:
-    """JSON report: ``results/`` (detail records) and ``summary/``.
+MODELS_SCHEMA = "model string, label string"
 
-    Details are partitioned by model and suite and sorted by id inside every
-    file; they are never gathered into one nested record, since a suite can
-    be far larger than one task. The summary is computed from the written
-    details (the format flags are recomputed from ``raw_prediction``), so
-    scoring runs once and the lineage is cut at the files.
+
+def _finished(spark: SparkSession, folder: str) -> dict[int, str]:
+    """Finished folders ``version=N`` by their number."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return {}
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    done = [n for n in names if n.startswith("version=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{n}/_SUCCESS"))]
+    return {int(n.removeprefix("version=")): f"{folder}/{n}" for n in done}
+
+
+def write_json(results: DataFrame, path: str, labels: Mapping[str, str] | None = None) -> dict[str, str]:
+    """Publish a JSON report: details, summary and the models' labels, all of one version.
+
+    A version's files are written to a folder of its own and its manifest last; readers take the newest manifest, so
+    they see a whole report or the one before, also while a run writes or after it was killed.
+
+    Details are partitioned by model and suite and sorted by id inside every file; they are never gathered into one
+    nested record, since a suite can be far larger than one task. The summary is computed from the written details
+    (the format flags are recomputed from ``raw_prediction``), so scoring runs once and the lineage is cut at the
+    files. A model without a label is labelled by its name.
     """
     spark = results.sparkSession
-    out = {"summary": f"{path}/summary", "results": f"{path}/results"}
+    version = max(_finished(spark, f"{path}/manifests"), default=0) + 1
+    folder = f"{path}/files/{uuid.uuid4().hex}"
+    out = {"summary": f"{folder}/summary", "results": f"{folder}/results", "models": f"{folder}/models"}
     details = sample_results(results)
     (details.sortWithinPartitions("model", "suite", "id")
-     .write.mode("overwrite").partitionBy("model", "suite").json(out["results"]))
+     .write.partitionBy("model", "suite").json(out["results"]))
     written = spark.read.schema(details.schema).json(out["results"])
-    summarise(with_format_flags(written)).write.mode("overwrite").json(out["summary"])
+    summary = summarise(with_format_flags(written))
+    summary.write.json(out["summary"])
+    models = spark.read.schema(summary.schema).json(out["summary"]).select("model").distinct()
+    label = F.col("model")
+    for model, text in (labels or {}).items():
+        label = F.when(F.col("model") == model, F.lit(text)).otherwise(label)
+    models.select("model", label.alias("label")).coalesce(1).write.json(out["models"])
+    manifest = spark.createDataFrame([(version, folder)], "version bigint, folder string")
+    manifest.coalesce(1).write.mode("overwrite").json(f"{path}/manifests/version={version}")
     return out
 
 
+def _published(spark: SparkSession, path: str) -> str:
+    """Folder of the newest whole report."""
+    versions = _finished(spark, f"{path}/manifests")
+    if not versions:
+        raise FileNotFoundError(f"no report in {path}")
+    return spark.read.schema("folder string").json(versions[max(versions)]).first()["folder"]
+
+
 def read_json_report(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    return (spark.read.schema(SUMMARY_SCHEMA).json(f"{path}/summary"),
-            spark.read.schema(DETAIL_SCHEMA).json(f"{path}/results"))
+    """(summary, details) of the newest whole report."""
+    folder = _published(spark, path)
+    return (spark.read.schema(SUMMARY_SCHEMA).json(f"{folder}/summary"),
+            spark.read.schema(DETAIL_SCHEMA).json(f"{folder}/results"))
+
+
+def read_models(spark: SparkSession, path: str) -> DataFrame:
+    """(model, label) of the newest whole report."""
+    return spark.read.schema(MODELS_SCHEMA).json(f"{_published(spark, path)}/models")

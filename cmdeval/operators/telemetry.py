@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import LOG_TAIL_LINES
-from ..functions.metrics import round_half_even
+from ..functions.metrics import round_exact
 from ..functions.timefn import as_instant
 
 GIB = float(1 << 30)
@@ -28,7 +28,7 @@ def convergence(log: DataFrame, by: Sequence[str] = ("run_id",)) -> DataFrame:
         F.min_by("loss", "step").alias("first_loss"),
         F.max_by("loss", "step").alias("final_loss"),
         F.min("loss").alias("min_loss"),
-        round_half_even(F.avg("loss"), 6).alias("mean_loss"),
+        round_exact(F.avg("loss"), 6).alias("mean_loss"),
         ((F.max(micros) - F.min(micros)) / F.lit(1e6)).alias("runtime_sec"))
         .withColumn("loss_drop", F.col("first_loss") - F.col("final_loss")))
 
@@ -39,11 +39,11 @@ def peak_memory(samples: DataFrame, by: Sequence[str] = ("run_id",)) -> DataFram
         F.count(F.lit(1)).alias("n_samples"),
         F.max("reserved_bytes").alias("peak_reserved_bytes"),
         F.max("total_bytes").alias("total_bytes"))
-    used = round_half_even(F.col("peak_reserved_bytes") / F.lit(GIB), 3)
-    total = round_half_even(F.col("total_bytes") / F.lit(GIB), 3)
+    used = round_exact(F.col("peak_reserved_bytes") / F.lit(GIB), 3)
+    total = round_exact(F.col("total_bytes") / F.lit(GIB), 3)
     return (agg.withColumn("used_gib", used).withColumn("total_gib", total)
             .withColumn("used_pct", F.when(F.col("total_gib") == 0, F.lit(None).cast("double"))
-                        .otherwise(round_half_even(F.col("used_gib") / F.col("total_gib") * F.lit(100.0), 2))))
+                        .otherwise(round_exact(F.col("used_gib") / F.col("total_gib") * F.lit(100.0), 2))))
 
 
 def tail(log: DataFrame, n: int = LOG_TAIL_LINES, by: Sequence[str] = ("run_id",),

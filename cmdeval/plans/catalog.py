@@ -240,20 +240,34 @@ def q_markdown_report(spark, d):
     return report.markdown(shown, LABELS["base"], LABELS["tuned"])
 
 
+_REPORTS: dict[tuple[str, str], str] = {}
+
+
 def _written_report(spark, d):
-    path = scratch_path(spark, "json-report")
-    report.write_json(_results(spark, d), path)
-    return report.read_json_report(spark, path)
+    """Folder of the report of a table folder, published once a session: its parts are read by several queries."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _REPORTS:
+        path = scratch_path(spark, "json-report")
+        report.write_json(_results(spark, d), path, LABELS)
+        _REPORTS[key] = path
+    return _REPORTS[key]
 
 
 def q_json_report(spark, d):
     """The detail records, as read back from the report's files."""
-    return _written_report(spark, d)[1].select(*evaluate.RESULT_COLUMNS)
+    return report.read_json_report(spark, _written_report(spark, d))[1].select(*evaluate.RESULT_COLUMNS)
 
 
 def q_json_summary(spark, d):
     """The summary, as read back from the report's files."""
-    return _written_report(spark, d)[0]
+    return report.read_json_report(spark, _written_report(spark, d))[0]
+
+
+def q_json_models(spark, d):
+    """The models of the report with their labels and sample counts."""
+    path = _written_report(spark, d)
+    samples = report.read_json_report(spark, path)[0].groupBy("model").agg(F.sum("num_samples").alias("num_samples"))
+    return report.read_models(spark, path).join(samples, "model")
 
 
 def q_syntax_valid(spark, d):
@@ -413,6 +427,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "markdown_report": q_markdown_report,
     "json_report": q_json_report,
     "json_summary": q_json_summary,
+    "json_models": q_json_models,
     "train_plan": q_train_plan,
     "train_order": q_train_order,
     "corpus_size": q_corpus_size,

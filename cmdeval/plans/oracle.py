@@ -23,11 +23,22 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def rnd(expr: str, digits: int) -> str:
+def scaled(expr: str, digits: int) -> str:
+    """Half-even rounding of the scaled double."""
     scale = float(10 ** digits)
     return f"(round_even(({expr}) * {scale}{D}, 0) / {scale}{D})"
 
 
+def rnd(expr: str, digits: int) -> str:
+    """The decimal that printing the exact value of the double gives."""
+    return f"CAST(printf('%.{digits}f', CAST({expr} AS DOUBLE)) AS DOUBLE)"
+
+
+def fixed_sum(expr: str, bits: int) -> str:
+    """Sum in whole multiples of a power of two."""
+    return f"(CAST(sum(CAST(round_even(({expr}) * {float(1 << bits)}{D}, 0) AS HUGEINT)) AS DOUBLE) / {float(1 << bits)}{D})"
+
+
 def block(role: str, content: str) -> str:
     return f"({q(IM_START)} || {role} || {NL} || {content} || {q(IM_END)} || {NL})"
 
@@ -124,7 +135,7 @@ scored AS (
     CASE WHEN np = 0 OR ng = 0 OR m1 = 0 THEN 0.0{D}
          ELSE (2.0{D} * (1.0{D} * m1 / np) * (1.0{D} * m1 / ng)) / ((1.0{D} * m1 / np) + (1.0{D} * m1 / ng)) END AS f1,
     CASE WHEN np = 0 THEN 0.0{D}
-         ELSE {rnd(f"(CASE WHEN np < ng THEN exp(1.0{D} - ng / greatest(np, 1)) ELSE 1.0{D} END) * exp(0.0{D} + {terms})", BLEU_DIGITS)} END AS bleu4,
+         ELSE {scaled(f"(CASE WHEN np < ng THEN exp(1.0{D} - ng / greatest(np, 1)) ELSE 1.0{D} END) * exp(0.0{D} + {terms})", BLEU_DIGITS)} END AS bleu4,
     CASE WHEN len(string_split(raw_prediction, {NL})) <= 2 THEN 1 ELSE 0 END AS single_line,
     CAST(length(raw_prediction) AS BIGINT) AS output_chars
   FROM counted)"""
@@ -138,8 +149,8 @@ EVAL = with_(MODELS, SUITE, SIM, PAIRED, scoring("paired"))
 
 SUMMARY_COLS = f"""model, suite, count(*) AS num_samples,
   {rnd('sum(em) / count(*) * 100.0::DOUBLE', 2)} AS exact_match_pct,
-  {rnd('sum(f1) / count(*) * 100.0::DOUBLE', 2)} AS mean_token_f1,
-  {rnd('sum(bleu4) / count(*) * 100.0::DOUBLE', 2)} AS mean_bleu4,
+  {rnd(fixed_sum('f1', 53) + ' / count(*) * 100.0::DOUBLE', 2)} AS mean_token_f1,
+  {rnd(fixed_sum('bleu4', 53) + ' / count(*) * 100.0::DOUBLE', 2)} AS mean_bleu4,
   {rnd('sum(single_line)::DOUBLE / count(*) * 100.0::DOUBLE', 2)} AS single_line_clean_pct,
   {rnd('sum(latency) / count(*)', 2)} AS avg_latency_sec,
   {rnd('sum(output_chars)::DOUBLE / count(*)', 1)} AS avg_output_chars"""
@@ -267,6 +278,8 @@ UNION ALL SELECT 'benchmark', item_id, trim(replace(text, {NL}, ' '), {WS}) FROM
     "json_report": EVAL + """SELECT model, suite, id, nl, gold, raw_prediction, clean_prediction,
   em, f1, bleu4, latency, is_error FROM scored""",
     "json_summary": EVAL + SUMMARY_SELECT,
+    "json_models": with_(MODELS) + """SELECT model, CASE model WHEN 'base' THEN 'simulated base' ELSE 'simulated tuned' END AS label,
+  CAST((SELECT count(*) FROM documents) AS BIGINT) AS num_samples FROM models""",
     "suite_summary": EVAL + SUMMARY_SELECT,
     "model_compare": EVAL + ", " + COMPARE + "\nSELECT suite, metric, metric_ord, base, tuned, delta FROM cmp",
     "markdown_report": MARKDOWN,

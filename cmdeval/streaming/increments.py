@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.metrics import SCORE_BITS, SECONDS_BITS, exact_sum
+
 
 class IncrementTable:
     """``fold`` brings rows to one per key; folding what it has folded, with more rows, must give the same."""
@@ -98,8 +100,9 @@ def running_answers(spark: SparkSession, path: str, compact_every: int = 16) ->
 
 def running_totals(answers: DataFrame) -> DataFrame:
     """Sums per (model, suite) of a table of first answers, for ``finish_running``."""
+    scores = [exact_sum(F.col(c).cast("double"), SCORE_BITS).alias(f"sum_{c}") for c in ("em", "f1", "bleu4", "single_line")]
     return answers.groupBy("model", "suite").agg(
-        F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(f"sum_{c}") for c in ("em", "f1", "bleu4", "single_line", "latency")],
+        F.count(F.lit(1)).alias("n"), *scores, exact_sum(F.col("latency"), SECONDS_BITS).alias("sum_latency"),
         F.sum("output_chars").alias("sum_chars"))
 
 

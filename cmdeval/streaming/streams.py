@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.metrics import output_chars, round_half_even, single_line
+from ..functions.metrics import output_chars, round_exact, single_line
 from ..functions.text import clean_command, strip
 from ..operators.evaluate import failed_call
 from ..operators.scoring import score_pairs
@@ -110,14 +110,14 @@ def finish_running(totals: DataFrame) -> DataFrame:
     n = F.col("n")
 
     def pct(c):
-        return round_half_even(F.col(c) / n * F.lit(100.0), 2)
+        return round_exact(F.col(c) / n * F.lit(100.0), 2)
 
     return totals.select(
         "model", "suite", n.alias("num_samples"),
         pct("sum_em").alias("exact_match_pct"), pct("sum_f1").alias("mean_token_f1"),
         pct("sum_bleu4").alias("mean_bleu4"), pct("sum_single_line").alias("single_line_clean_pct"),
-        round_half_even(F.col("sum_latency") / n, 2).alias("avg_latency_sec"),
-        round_half_even(F.col("sum_chars") / n, 1).alias("avg_output_chars"))
+        round_exact(F.col("sum_latency") / n, 2).alias("avg_latency_sec"),
+        round_exact(F.col("sum_chars") / n, 1).alias("avg_output_chars"))
 
 
 def telemetry_windows(samples: DataFrame, window: str = "1 hour", watermark: str = "1 hour",
@@ -143,7 +143,7 @@ def loss_windows(log: DataFrame, window: str = "1 hour", watermark: str = "1 hou
     return (log.withWatermark("ts", watermark)
             .groupBy(F.window("ts", window).alias("w"), *by)
             .agg(F.count(F.lit(1)).alias("n_logged"),
-                 round_half_even(F.avg("loss"), 6).alias("mean_loss"),
+                 round_exact(F.avg("loss"), 6).alias("mean_loss"),
                  F.max_by("loss", "step").alias("last_loss"))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                     *by, "n_logged", "mean_loss", "last_loss"))

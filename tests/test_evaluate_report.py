@@ -70,6 +70,36 @@ def test_json_report_round_trip(spark, small):
     assert {"id", "nl", "gold", "raw_prediction", "clean_prediction", "em", "f1", "bleu4", "latency"} <= set(recs[0])
 
 
+def test_summary_has_the_same_bits_however_dealt(spark):
+    rows = [("m", "s", i, 1.0 if i % 7 else 0.0, 1 / (i % 13 + 1), 1 / (i % 11 + 3), 0.1 * (i % 17), i % 5 == 0, 1, i % 90) for i in range(2000)]
+    df = spark.createDataFrame(rows, "model string, suite string, id long, em double, f1 double, bleu4 double, latency double, "
+                                     "is_error boolean, single_line int, output_chars long")
+    assert len({tuple(evaluate.summarise(df.repartition(n, "id")).collect()[0]) for n in (1, 7, 200)}) == 1
+    failed = evaluate.summarise(df.where("is_error")).collect()[0]
+    assert failed.avg_latency_ok is None and failed.n_errors == failed.num_samples
+
+
+def test_report_is_published_whole_or_not_at_all(spark, small, monkeypatch):
+    path = scratch_path(spark, "published")
+    with pytest.raises(FileNotFoundError):
+        report.read_json_report(spark, path)
+    res = evaluate.score(*small, ["base", "tuned"])
+    report.write_json(res.where("suite = 's1'"), path, {"base": "Base (0.5B)"})
+    assert {(r.model, r.label) for r in report.read_models(spark, path).collect()} == {("base", "Base (0.5B)"), ("tuned", "tuned")}
+
+    def killed(_):
+        raise KeyboardInterrupt
+    with monkeypatch.context() as m:  # details are written, then the run is killed
+        m.setattr(report, "summarise", killed)
+        with pytest.raises(KeyboardInterrupt):
+            report.write_json(res, path)
+    s, r = report.read_json_report(spark, path)
+    assert s.count() == 2 and r.count() == 4
+    report.write_json(res, path)
+    s, r = report.read_json_report(spark, path)
+    assert s.count() == 4 and r.count() == 6 and report.read_models(spark, path).where("label = model").count() == 2
+
+
 def test_fixture_counts_calls_as_the_log_has_them(spark):
     """Missing and failed calls are errors; a failed call before an answer is not."""
     from cmdeval.plans import QUERIES

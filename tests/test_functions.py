@@ -6,10 +6,11 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cmdeval.constants import PY_WHITESPACE_CODEPOINTS
+from cmdeval.constants import PY_WHITESPACE_CODEPOINTS, TOKEN_PATTERN_JAVA
 from cmdeval.functions import (bleu4_from_counts, clean_command, cut_at_stop, exact_match,
                                f1_from_counts, last_line, multiset_overlap, next_codes,
-                               next_order, single_line, strip, token_codes, tokens)
+                               next_order, plain_number, round_exact, single_line, strip, token_codes, tokens)
+from cmdeval.functions.metrics import exact_sum
 
 
 GOLDEN = [  # prediction, gold, em, f1, bleu4
@@ -143,3 +144,37 @@ def test_multiset_overlap_equals_counters(spark):
     got = spark.createDataFrame(rows, "i int, p array<bigint>, g array<bigint>").select("i", multiset_overlap("p", "g").alias("m"))
     want = {i: sum((Counter(p) & Counter(g)).values()) for i, p, g in rows}
     assert {r.i: r.m for r in got.collect()} == want
+
+
+def test_round_exact_is_pythons_round(spark):
+    xs = [i / 1000 for i in range(-10_000, 10_000)] + [0.125, 2.675, 1e15 + 0.3, 2.0**52 - 0.5, 5e-324, 1e300]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x double")
+    for r in df.select("x", *[round_exact(F.col("x"), k).alias(f"r{k}") for k in (0, 1, 2, 3, 6)]).collect():
+        assert [r[f"r{k}"] for k in (0, 1, 2, 3, 6)] == [round(r.x, k) for k in (0, 1, 2, 3, 6)], r.x
+    odd = spark.createDataFrame([(float("nan"),), (float("inf"),), (None,)], "x double").select(round_exact(F.col("x"), 2).alias("r"))
+    assert [str(r.r) for r in odd.collect()] == ["nan", "inf", "None"]
+
+
+def test_plain_numbers_print_as_in_python(spark):
+    xs = [12345678.0, 0.0001, 50.0, 1e7, 0.00012345, 123456789.25, -1e8, 0.0, 9.99, -0.5]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    assert [r.t for r in df.select(plain_number(F.col("x")).alias("t")).collect()] == [repr(x) for x in xs]
+
+
+def test_words_are_pythons_words(spark):
+    """Every character below U+30000 between two letters."""
+    cs = [c for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+    df = spark.createDataFrame([(c, f"x{chr(c)}y") for c in cs], "c int, t string").repartition(8)
+    got = {r.c: r.k for r in df.select("c", F.regexp_extract_all("t", F.lit(TOKEN_PATTERN_JAVA), 0).alias("k")).collect()}
+    assert [hex(c) for c in cs if got[c] != re.findall(r"\w+|[^\w\s]", f"x{chr(c)}y")] == []
+
+
+def test_exact_sums_ignore_the_partitioning(spark):
+    import random
+    from fractions import Fraction
+    rng = random.Random(9)
+    xs = [rng.choice([1.0, 0.1, 1 / 3, rng.random(), 1e-9]) for _ in range(3000)]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x double")
+    sums = {df.repartition(n, "i").agg(exact_sum(F.col("x"), 53).alias("s")).collect()[0].s for n in (1, 7, 200)}
+    assert len(sums) == 1 and abs(Fraction(sums.pop()) - sum(map(Fraction, xs))) < Fraction(1, 10**10)
+    assert df.where("i < 0").agg(exact_sum(F.col("x"), 53).alias("s")).collect()[0].s is None
