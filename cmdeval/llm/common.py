@@ -28,6 +28,21 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def apart(df: DataFrame, *helpers: str) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with the columns that are named like one of an operator's helper columns renamed, and the names to give
+    them back at the end."""
+    taken = {c.lower() for c in (*df.columns, *helpers)}
+    names = {}
+    for c in df.columns:
+        if c.lower() in {h.lower() for h in helpers}:
+            k = 0
+            while f"{c}__{k}".lower() in taken:
+                k += 1
+            names[c] = f"{c}__{k}"
+            taken.add(names[c].lower())
+    return df.withColumnsRenamed(names), {new: old for old, new in names.items()}
+
+
 def words_of(text: Column | str) -> Column:
     """Array of the words of a text; null counts as empty."""
     return F.regexp_extract_all(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")),

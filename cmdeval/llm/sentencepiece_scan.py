@@ -34,11 +34,13 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .bpe_count import tokenizer_path
-from .common import materialise, ship
+from .common import apart, materialise, ship
 
 CHUNK_CHARS = 65_536
 CACHE_ENTRIES = 200_000
@@ -299,21 +301,24 @@ def encode(docs: DataFrame, model: str = "piece_bpe_32k.model", doc_id: str = "d
     The worker that encodes a document also decodes it, so ids aren't sent to a second one.
     """
     ship(docs.sparkSession)
+    columns, (docs, back) = docs.columns, apart(docs, "_doc", "_key", "_ids", "_k", "_decoded")
 
-    @F.pandas_udf("struct<ids: array<int>, same: boolean>")
-    def whole(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces_at(tokenizer_path(model))
-        for texts in batches:
-            out, lo, values = [], 0, [t or "" for t in texts]
-            while lo < len(values):
-                hi, chars = lo, 0
-                while hi < len(values) and chars < GROUP_CHARS:
-                    chars += len(values[hi])
-                    hi += 1
-                out += p.encode(values[lo:hi])
-                lo = hi
-            yield pd.DataFrame({"ids": pd.Series(out, dtype=object),
-                                "same": [p.decode(x.tolist()) == t for x, t in zip(out, values)]})
+        for batch in batches:
+            texts, lo = batch.column(place), 0
+            while lo < len(texts):
+                group, chars = [], 0
+                while lo + len(group) < len(texts) and chars < GROUP_CHARS:
+                    group.append(texts[lo + len(group)].as_py() or "")
+                    chars += len(group[-1])
+                ids = p.encode(group)
+                same = [p.decode(x.tolist()) == t for x, t in zip(ids, group)]
+                sizes = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+                flat = np.concatenate([np.zeros(0, dtype=np.int32), *ids]).astype(np.int32)
+                made = [pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat)), pa.array(same, pa.bool_())]
+                yield pa.RecordBatch.from_arrays([*batch.slice(lo, len(group)).columns, *made], names)
+                lo += len(group)
 
     def matrices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         p = pieces_at(tokenizer_path(model))
@@ -336,9 +341,13 @@ def encode(docs: DataFrame, model: str = "piece_bpe_32k.model", doc_id: str = "d
 
     # Other documents are one chunk: they go to the library word by word, without a shuffle.
     giant = F.coalesce(F.length(text) > chunk_chars, F.lit(False))
-    small = (docs.where(~giant).withColumn("_whole", whole(F.col(text))).withColumn("ids", F.col("_whole.ids"))
-             .withColumn("round_trip", F.col("_whole.same")).drop("_whole"))
+    kept = [f for f in docs.schema.fields if f.name.lower() not in ("ids", "round_trip", "n_tokens")]
+    names, place = [*[f.name for f in kept], "ids", "round_trip"], [f.name for f in kept].index(text)
+    schema = T.StructType([*kept, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("round_trip", T.BooleanType())])
+    small = docs.where(~giant).select(*[f.name for f in kept]).mapInArrow(whole, schema)
     margin = pieces_margin(model)
+    if chunk_chars < margin:
+        raise ValueError(f"chunk_chars must be at least {margin}, the length of the longest piece")
     parts = F.regexp_extract_all(F.col("t"), F.lit(f"((?s).{{1,{chunk_chars}}})"))
     giants = (docs.where(giant).select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("key"), F.col(text).alias("t")))
     chunks = (giants.groupBy("doc", "key").agg(F.min("t").alias("t"))
@@ -361,7 +370,11 @@ def encode(docs: DataFrame, model: str = "piece_bpe_32k.model", doc_id: str = "d
              .join(joined, F.col(doc_id).eqNullSafe(F.col("_doc")) & (F.col("_k") == F.col("_key")))
              .withColumn("ids", F.col("_ids")).drop("_doc", "_key", "_ids", "_k"))
     large = decode(large, model, text="_decoded").withColumn("round_trip", F.col("_decoded") == F.col(text)).drop("_decoded")
-    return small.unionByName(large).withColumn("n_tokens", F.size("ids").cast("bigint"))
+    out = small.unionByName(large.select(*names)).withColumn("n_tokens", F.size("ids").cast("bigint")).withColumnsRenamed(back)
+    # The columns of the documents stand where they stood, those that are new after them.
+    made = ["ids", "round_trip", "n_tokens"]
+    old = {c.lower(): c for c in columns}
+    return out.select(*[c if c.lower() not in made else F.col(c.lower()).alias(c) for c in columns], *[c for c in made if c not in old])
 
 
 def pieces_margin(model: str) -> int:
