@@ -34,7 +34,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import apart, materialise
 
 SIMILARITY = 80  # per cent
 BUCKET_BITS = 17
@@ -86,11 +86,19 @@ def _candidates(firsts: DataFrame, similarity: int) -> DataFrame:
     left = F.least(an - ai, bn - bi) + 1  # this token and what follows it, and one before it
     room = left * (100 + similarity) >= similarity * (an + bn)
     return a.join(b, (F.col("a.t") == F.col("b.t")) & (F.col("a.k") < F.col("b.k")) & near & room).select(
-        F.col("a.k").alias("a"), F.col("b.k").alias("b")).groupBy("a", "b").count().where("count > 1").select("a", "b")
+        F.col("a.k").alias("a"), F.col("b.k").alias("b"), an.alias("an"), bn.alias("bn")).groupBy("a", "b").agg(
+        F.count(F.lit(1)).alias("common"), F.max("an").alias("an"), F.max("bn").alias("bn")).where(
+        # Two common tokens, but where one is overlap enough.
+        (F.col("common") > 1) | ((F.col("an") + F.col("bn")) * similarity <= 100 + similarity)).select("a", "b")
+
+
+#: Columns that stand beside those of the documents on the way.
+HELPERS = ("_id", "_key", "_lines", "_rid", "_rkey", "_removed")
 
 
 def dedup_lines(docs: DataFrame, similarity: int = SIMILARITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the lines that repeat earlier ones; n_lines and n_removed are added."""
+    columns, (docs, back) = docs.columns, apart(docs, *HELPERS)
     keyed = (docs.withColumn("_id", F.col(doc_id)).withColumn("_key", F.xxhash64(doc_id, text))
              .withColumn("_lines", F.split(text, "\n")))
     lines = _lines(keyed.select("_id", "_key", "_lines"))
@@ -130,5 +138,5 @@ def dedup_lines(docs: DataFrame, similarity: int = SIMILARITY, doc_id: str = "do
            .withColumn("n_removed", F.coalesce(F.when(F.col("_removed").isNotNull(), F.size("_removed")), F.lit(0)).cast("bigint")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
-    added = [c for c in ("n_lines", "n_removed") if c not in docs.columns]
-    return out.select(*docs.columns, *added)
+    added = [c for c in ("n_lines", "n_removed") if c not in columns]
+    return out.drop(*HELPERS).withColumnsRenamed(back).select(*columns, *added)

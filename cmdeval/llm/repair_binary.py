@@ -40,7 +40,7 @@ import string
 import zlib
 from collections.abc import Iterator
 from itertools import chain
-from unicodedata import is_normalized
+from unicodedata import is_normalized, normalize
 
 import numpy as np
 import pandas as pd
@@ -62,14 +62,16 @@ SEPARATOR = "0"
 
 #: Characters that are no punctuation, or full stop and comma.
 _COMMON = frozenset(string.ascii_letters + string.digits + " \t\r\n.," + "".join(
-    c for c in map(chr, range(0xC0, 0x250)) if c.isalpha()))
+    c for c in map(chr, range(0xC0, 0x250)) if c.isalpha() and len(c.lower()) == 1))
 
 SHARD_SCHEMA = ("part int, shard int, part_start bigint, n_tokens bigint, first_rule bigint, rules binary, "
                 "lengths binary, symbols binary, doc_ids array<bigint>, doc_tokens array<bigint>")
 
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _WORDS = re.compile("[^ \n\t\r]+")
-_RUNS = re.compile(r"[.,](?:[^\w\s]|_)|(?:[^\w\s]|_)[.,]")
+#: Full stops or commas beside what the tokenizer's pattern takes for punctuation: the four separators, white space to
+#: Python, are that too.
+_RUNS = re.compile(r"[.,](?:[^\w\s]|[_\x1c-\x1f])|(?:[^\w\s]|[_\x1c-\x1f])[.,]")
 
 
 class Numbers(dict):
@@ -118,7 +120,8 @@ class WordEncoder:
     def split(self, text: str) -> list[str]:
         odd = set(text) - _COMMON
         # No special token may come to be, and no run of punctuation may be cut.
-        if "<" not in odd and not any(x in text for x in ("..", ".,", ",.", ",,")) and not (odd and _RUNS.search(text)):
+        if "<" not in odd and not any(x in text for x in ("..", ".,", ",.", ",,")) and not (
+                odd and _RUNS.search(text if text.isascii() else normalize("NFC", text).lower())):
             text = text.encode("utf-8", "replace").lower().decode().replace(".", " . ").replace(",", " , ")
         return _WORDS.findall(text) if odd and _ODD_SPACE.search(text) else text.split()
 

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, ship
+from .common import apart, materialise, ship
 
 EXAMPLES = 4_096
 NEIGHBOURS = 20
@@ -298,8 +298,9 @@ def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
             got = [index.value.score(t) for t in texts]
             yield pd.DataFrame({"score": [g[0] for g in got], "ids": [g[1] for g in got], "cosines": [g[2] for g in got]})
 
+    docs, back = apart(docs, "_j")
     judged = docs.withColumn("_j", judge(F.col(text)))
     return (judged.withColumn("score", F.col("_j.score"))
             .withColumn("predicted", (F.col("_j.score") >= threshold).cast("int"))
             .withColumn("evidence", F.arrays_zip(F.col("_j.ids").alias("doc_id"), F.col("_j.cosines").alias("cosine")))
-            .drop("_j"))
+            .drop("_j").withColumnsRenamed(back))
