@@ -69,3 +69,14 @@ def test_repair_ids_of_odd_texts_are_the_librarys():
     ids, sizes = own.encode(texts)
     for text, got in zip(texts, np.split(ids, np.cumsum(sizes)[:-1])):
         assert got.tolist() == [*lib.encode(text, add_special_tokens=False).ids, 1], repr(text)
+
+
+def test_pipeline_stages_keep_clashing_columns(spark):
+    import corpus_pipeline
+    names = ["_t", "_m", "_i", "_k", "_copy", "_doc_id"]
+    schema = "doc_id bigint, source string, text string, " + ", ".join(f"{c} string" for c in names)
+    rows = [(i, "ab"[i % 2], f"words of document {i} that differ from all the {i} others", *[f"{c}{i}" for c in names]) for i in range(6)]
+    df = spark.createDataFrame(rows, schema)
+    for stage in (corpus_pipeline.drop_near_copies, corpus_pipeline.mix_sources):
+        got = stage(spark, df, "").collect()
+        assert got and all(tuple(r) in rows for r in got) and got[0].__fields__ == df.columns
