@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cmdeval.llm import line_dedup, mixing, ngram_join, sentencepiece_scan, toxicity
-from cmdeval.llm.common import materialise, table
+from cmdeval.llm.common import apart, materialise, table
 
 #: Near copies among documents: shingles of five words, Jaccard similarity in per cent.
 SHINGLE_WORDS, SHINGLE_SIMILARITY = 5, 80
@@ -37,9 +37,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     kept = (found.where("n_shingles > 0").groupBy("group").agg(F.min(order).alias("x")).select("x.*")
             .union(found.where("n_shingles = 0").select("doc_id", "text_key")).distinct()
             .select(F.col("doc_id").alias("_i"), F.col("text_key").alias("_k")))
+    columns, (docs, back) = docs.columns, apart(docs, "_t", "_i", "_k")
     keyed = docs.withColumn("_t", F.xxhash64("text"))
     return (keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["_i"]) & (keyed["_t"] == kept["_k"]), "left_semi")
-            .dropDuplicates(["doc_id", "_t"]).select(*docs.columns))
+            .dropDuplicates(["doc_id", "_t"]).drop("_t").withColumnsRenamed(back).select(*columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,12 +55,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bare = plan.groupBy("_source").agg(F.sum("_copies").alias("_all"), most).where("_all = 0")
     plan = plan.where("_copies > 0").drop("taken").unionByName(
         bare.select("x._doc_id", "_source", "x._text_key", "x._n", F.lit(1).alias("_copies")))
+    columns, (docs, back) = docs.columns, apart(docs, "_t", "_m", "_copy", *plan.columns)
     keyed = docs.withColumn("_t", F.xxhash64("text"))
     keyed = keyed.withColumn("_m", F.row_number().over(Window.partitionBy("doc_id", "source", "_t").orderBy(F.lit(1))))
     on = (keyed["doc_id"].eqNullSafe(plan["_doc_id"]) & keyed["source"].eqNullSafe(plan["_source"])
           & (keyed["_t"] == plan["_text_key"]) & (keyed["_m"] == plan["_n"]))
     return (keyed.join(plan, on).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-            .select(*docs.columns))
+            .select(*docs.columns).withColumnsRenamed(back).select(*columns))
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
