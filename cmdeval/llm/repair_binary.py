@@ -74,6 +74,12 @@ _WORDS = re.compile("[^ \n\t\r]+")
 _RUNS = re.compile(r"[.,](?:[^\w\s]|[_\x1c-\x1f])|(?:[^\w\s]|[_\x1c-\x1f])[.,]")
 
 
+def _shaped(text: str, odd: set[str]) -> str:
+    """The text as the tokenizer's pattern sees it, where a character of it could come apart into a letter and a mark."""
+    apart = any(len(c.lower()) > 1 or not is_normalized("NFC", c) for c in odd)
+    return normalize("NFC", text).lower() if apart else text
+
+
 class Numbers(dict):
     """Word -> its number, from 1 in the order of first meeting; ``new`` lists those just met."""
 
@@ -121,7 +127,7 @@ class WordEncoder:
         odd = set(text) - _COMMON
         # No special token may come to be, and no run of punctuation may be cut.
         if "<" not in odd and not any(x in text for x in ("..", ".,", ",.", ",,")) and not (
-                odd and _RUNS.search(text if text.isascii() else normalize("NFC", text).lower())):
+                odd and _RUNS.search(_shaped(text, odd))):
             text = text.encode("utf-8", "replace").lower().decode().replace(".", " . ").replace(",", " , ")
         return _WORDS.findall(text) if odd and _ODD_SPACE.search(text) else text.split()
 
