@@ -3,11 +3,14 @@
 Every source is a queue of its documents in a shuffled but fixed order, gone
 through up to ``max_repeat`` times. The virtual finish time of a copy is the
 words of its source up to its end, divided by the source's weight. All copies
-are sorted globally by that time (range partitions, never one task) and cut
-where the total budget is spent: at any cut the sources have been served in
-proportion to their weights, and a source that has run out leaves its share to
-the others. The copy that each source has in service at the cut gives the words
-that are still due, so each source ends within a word of its target.
+are sorted globally by that time (range partitions, never one task). Going
+through them in that order, the words served when a copy finishes are those of
+the sources that have run out before, and for the others their weight times the
+time: running totals over the order. The first copy at which they pass the total
+budget is the cut. Copies before it are taken whole; of the copy that a source
+still has in service at the cut, the words up to the time at which the budget
+is spent; of later ones nothing. So each source ends within a word of its
+target, which is reported and decides nothing.
 
 Sources by code point, null last, take ``weights`` in turn. The budget is
 ``share`` of all words. Target of a source: ``min(max_repeat * size, weight * V)``
@@ -74,12 +77,21 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
               .withColumn("_pass", F.explode(F.sequence(F.lit(0), F.lit(max_repeat - 1))))
               .withColumn("_start", F.col("_at") - F.col("source_start") + F.col("_pass") * F.col("source_size"))
               .withColumn("_finish", (F.col("_start") + F.col("size")) / F.col("weight")))
+    full = F.col("source_size") * max_repeat
+    # A source runs out with its last copy: from then on it takes no share of the service.
+    out_ = F.col("_start") + F.col("size") == full
+    copies = (copies.withColumn("_out", F.when(out_, full).otherwise(F.lit(0)).cast("bigint"))
+              .withColumn("_left", F.when(out_, F.col("weight")).otherwise(F.lit(0)).cast("bigint")))
     served = prefix_sums(copies, [F.col("_finish"), F.col("source").asc_nulls_last(), F.col("_pass"), *map(F.col, order)],
-                         {"size": "_spent"}, "mix-served")
-    due = F.greatest(F.lit(0).cast("bigint"), F.floor(F.col("target") + 0.5) - F.col("_start"))
-    whole = F.col("_spent") + F.col("size") <= F.lit(budget)
-    in_service = due < F.col("size")
-    taken = F.when(whole | in_service, F.least(F.col("size"), due)).otherwise(F.lit(0).cast("bigint"))
+                         {"_out": "_gone", "_left": "_idle"}, "mix-served")
+    weight = targets.agg(F.sum("weight")).first()[0] or 0
+    spent = F.col("_gone") + F.col("_finish") * (F.lit(weight) - F.col("_idle"))
+    cut = (served.where(spent > F.lit(budget)).agg(F.min(F.struct("_finish", "_gone", "_idle")).alias("x")).first()["x"])
+    taken = F.col("size")
+    if cut is not None:
+        time = (budget - cut["_gone"]) / (weight - cut["_idle"])
+        due = F.floor(F.col("weight") * F.lit(time) - F.col("_start") + 0.5)
+        taken = F.when(spent <= F.lit(budget), taken).otherwise(F.least(taken, F.greatest(F.lit(0).cast("bigint"), due)))
     # A document's place in its queue names it: places of documents with words differ.
     got = (served.withColumn("_taken", taken).where("_taken > 0")
            .groupBy(F.col("_at").alias("_a"), F.col("_key").alias("_k")).agg(F.sum("_taken").alias("taken")))

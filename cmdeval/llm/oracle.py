@@ -24,10 +24,17 @@ q AS (
 p AS (
   SELECT q.*, pass, pos + pass * source_size AS start, (pos + pass * source_size + size)::DOUBLE / w::DOUBLE AS finish
   FROM q, (VALUES (0), (1)) AS two(pass) WHERE size > 0),
-z AS (SELECT *, sum(size) OVER (ORDER BY finish, source NULLS LAST, pass, k, doc_id, size ROWS UNBOUNDED PRECEDING) AS spent FROM p),
+e AS (SELECT *, start + size = 2 * source_size AS is_last FROM p),
+x AS (
+  SELECT *, coalesce(sum(CASE WHEN is_last THEN 2 * source_size END) OVER o, 0)::DOUBLE AS gone,
+         ((SELECT sum(w) FROM t) - coalesce(sum(CASE WHEN is_last THEN w END) OVER o, 0))::DOUBLE AS busy
+  FROM e WINDOW o AS (ORDER BY finish, source NULLS LAST, pass, k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+z AS (SELECT *, gone + finish * busy AS spent FROM x),
+y AS (SELECT (budget - gone) / busy AS v FROM z WHERE spent > budget
+      ORDER BY finish, source NULLS LAST, pass, k, doc_id, size LIMIT 1),
 g AS (
-  SELECT rid, sum(CASE WHEN spent <= budget OR greatest(0, floor(target + 0.5)::BIGINT - start) < size
-                       THEN least(size, greatest(0, floor(target + 0.5)::BIGINT - start)) ELSE 0 END)::BIGINT AS taken
+  SELECT rid, sum(CASE WHEN spent <= budget THEN size
+                       ELSE least(size, greatest(0, floor(w * (SELECT v FROM y) - start + 0.5)::BIGINT)) END)::BIGINT AS taken
   FROM z GROUP BY rid)
 SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM q LEFT JOIN g USING (rid)
 """
