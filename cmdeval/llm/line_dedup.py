@@ -6,20 +6,19 @@ a line is removed if an earlier line has a Jaccard similarity of at least
 ``similarity`` per cent with it, whether that line stays or not. Lines without
 words always stay. All other lines stay as they are, in order.
 
-* Lines with the same tokens form a class; all but its first line go. The first
-  goes if the first line of another, similar class comes earlier.
-* Tokens are ordered by rarity: counts over all lines, kept for ``BUCKETS``
+* Lines that are equal but for case and the kind of white space form a class,
+  grouped before any word is looked at, so a line that fills the corpus is one
+  row from then on. All lines of a class but the first go. The first goes if the
+  first line of another, similar class comes earlier.
+* Tokens are ordered by rarity: counts over all classes, kept for ``BUCKETS``
   hash buckets (a fixed size that one array holds), on a logarithmic scale, ties
-  by the token's hash.
+  by the token's hash. The array is a scalar subquery: not a part of the plan.
 * Prefix filter: similar classes share two of their ``size - ceil(t * size) + 2``
-  rarest tokens. Length filter: sizes within the similarity. Positional filter:
-  at the first two common tokens, enough tokens must be left on both sides.
+  rarest tokens, or one where one is overlap enough. Length filter: sizes within
+  the similarity. Positional filter: at the first two common tokens, enough
+  tokens must be left on both sides.
 * Candidates are verified on the full token sets.
 
-A line that fills the corpus is one class: only its first occurrence is indexed
-(lines with at least a ``FREQUENT``-th of all occurrences, so a bounded number,
-are sent to every task to see to that).
-
 Documents with equal id and text are one document and end alike. Null text
 stays null. A null id sorts first. All columns pass; text is replaced, n_chars
 where it exists, and n_lines and n_removed are added. An empty table gives an
@@ -28,58 +27,56 @@ empty table.
 
 from __future__ import annotations
 
-import json
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import apart, materialise
 
 SIMILARITY = 80  # per cent
-BUCKET_BITS = 17
-BUCKETS = 1 << BUCKET_BITS
-FREQUENT = 20_000
-#: Classes in candidate pairs up to this many are sent to every task; more are joined by a shuffle.
-SENT_ROWS = 400_000
+BUCKETS = 1 << 17
 
 
-def line_tokens(line: Column) -> Column:
-    """Hashes of the distinct lower-case words of a line."""
-    words = F.array_remove(F.split(F.lower(line), r"[\x20\x09-\x0D]+"), "")
-    return F.transform(F.array_distinct(words), lambda w: F.xxhash64(w))
+def line_tokens(line: Column | str) -> Column:
+    """Hashes of the distinct words of a line of ``_lines``."""
+    words = F.array_remove(F.split(line, " "), "")
+    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(at, tokens): every line with words; ``at`` orders the lines."""
-    each = docs.select("_id", "_key", F.posexplode("_lines").alias("_pos", "_line"))
-    return (each.select(F.struct("_id", "_key", "_pos").alias("at"), F.array_sort(line_tokens(F.col("_line"))).alias("tokens"))
-            .where(F.size("tokens") > 0))
-
-
-def _rarity(lines: DataFrame) -> Column:
-    """How frequent the tokens of each hash bucket are, on a logarithmic scale, as a constant array."""
-    seen = lines.select(F.explode("tokens").alias("t")).select(F.pmod("t", F.lit(BUCKETS)).cast("int").alias("b"))
-    levels = [0] * BUCKETS
-    for r in seen.groupBy("b").count().collect():  # BUCKETS rows at most, whatever the corpus
-        levels[r["b"]] = min(127, int(4 * math.log2(r["count"] + 1)))
-    return F.from_json(F.lit(json.dumps(levels, separators=(",", ":"))), "array<int>")
+    """(at, line, k, k2): every line with words, in lower case and with spaces as its only white space;
+    ``at`` orders the lines, ``k`` and ``k2`` name the class."""
+    plain = F.regexp_replace(F.lower("_text"), r"[\x09\x0B-\x0D]", " ")
+    each = docs.select("_id", "_key", F.posexplode(F.split(plain, "\n")).alias("_pos", "line"))
+    return each.where(F.btrim("line") != "").select(
+        F.struct("_id", "_key", "_pos").alias("at"), "line", F.xxhash64("line").alias("k"),
+        F.xxhash64(F.lit(1), "line").alias("k2"))
+
+
+def _levels(classes: DataFrame) -> DataFrame:
+    """One row: how frequent the words of each hash bucket are, on a logarithmic scale."""
+    seen = classes.select(F.explode(F.split("line", " ")).alias("w")).where("w <> ''")
+    counts = seen.groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    level = F.least(F.lit(127), F.floor(4 * F.log2(F.coalesce("n", F.lit(0)) + 1))).cast("int")
+    every = classes.sparkSession.range(BUCKETS).withColumnRenamed("id", "b").join(counts, "b", "left")
+    # BUCKETS pairs of numbers in one row, whatever the corpus.
+    return materialise(every.agg(F.sort_array(F.collect_list(F.struct("b", level.alias("level")))).getField("level").alias("levels")),
+                       "line-rarity")
 
 
 def _by_rarity(tokens: Column, levels: Column) -> Column:
     """Tokens as numbers that sort by rarity: the level of the bucket above 56 bits of the hash."""
     def packed(t: Column) -> Column:
-        level = F.element_at(levels, (F.pmod(t, F.lit(BUCKETS)) + 1).cast("int")).cast("bigint")
+        level = F.get(levels, F.pmod(t, F.lit(BUCKETS)).cast("int")).cast("bigint")
         return F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(t, 8))
-    return F.array_sort(F.transform(tokens, packed))
+    return F.sort_array(F.transform(tokens, packed))
 
 
-def _candidates(firsts: DataFrame, similarity: int) -> DataFrame:
+def _candidates(classes: DataFrame, similarity: int) -> DataFrame:
     """Pairs (a, b) of classes that pass the prefix, length and positional filters."""
-    size = F.size("ranked")
+    # Never null, or the join would ask that of the whole expression and rank every line twice.
+    size = F.coalesce(F.size("ranked"), F.lit(0))
     prefix = F.least(size, size - F.ceil(size * similarity / 100).cast("int") + 2)
-    tokens = (firsts.select("k", size.alias("n"), F.posexplode(F.slice("ranked", F.lit(1), prefix)).alias("i", "t"))
-              .repartition("t").dropDuplicates(["t", "k", "n", "i"]))
+    tokens = classes.select("k", size.alias("n"), F.posexplode(F.slice("ranked", F.lit(1), prefix)).alias("i", "t"))
     a, b = tokens.alias("a"), tokens.alias("b")
     an, bn, ai, bi = (F.col(c) for c in ("a.n", "b.n", "a.i", "b.i"))
     near = (an * 100 >= bn * similarity) & (bn * 100 >= an * similarity)
@@ -93,7 +90,7 @@ def _candidates(firsts: DataFrame, similarity: int) -> DataFrame:
 
 
 #: Columns that stand beside those of the documents on the way.
-HELPERS = ("_id", "_key", "_lines", "_rid", "_rkey", "_removed")
+HELPERS = ("_id", "_key", "_text", "_lines", "_rid", "_rkey", "_removed")
 
 
 def dedup_lines(docs: DataFrame, similarity: int = SIMILARITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -101,25 +98,18 @@ def dedup_lines(docs: DataFrame, similarity: int = SIMILARITY, doc_id: str = "do
     columns, (docs, back) = docs.columns, apart(docs, *HELPERS)
     keyed = (docs.withColumn("_id", F.col(doc_id)).withColumn("_key", F.xxhash64(doc_id, text))
              .withColumn("_lines", F.split(text, "\n")))
-    lines = _lines(keyed.select("_id", "_key", "_lines"))
-    classes = lines.select("at", F.xxhash64("tokens").alias("k"), F.xxhash64(F.lit(1), "tokens").alias("k2"))
-    # Same tokens: all but the first line of each class go.
-    firsts = materialise(classes.groupBy("k", "k2").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("copies"))
-                         .where("copies > 1"), "line-classes")
-    repeats = classes.join(firsts, ["k", "k2"]).where(F.col("at") > F.col("first")).select("at")
-    # At most FREQUENT classes can each hold a FREQUENT-th of the occurrences.
-    total = firsts.agg(F.sum("copies")).first()[0] or 0
-    frequent = firsts.where(F.col("copies") * FREQUENT >= total).select("k", "first")
-    ranks = _rarity(lines)
-    indexed = (lines.withColumn("k", F.xxhash64("tokens")).join(F.broadcast(frequent), "k", "left")
-               .where(F.col("first").isNull() | (F.col("at") == F.col("first")))
-               .select("k", _by_rarity(F.col("tokens"), ranks).alias("ranked")))
-    pairs = materialise(_candidates(indexed, similarity), "line-candidates")
-    # Token sets of the classes in candidate pairs, read once more from the documents.
-    live = materialise(pairs.select(F.col("a").alias("k")).union(pairs.select("b")).distinct(), "line-live")
-    wanted = F.broadcast(live) if live.count() <= SENT_ROWS else live
-    sets = materialise(lines.withColumn("k", F.xxhash64("tokens")).join(wanted, "k", "left_semi")
-                       .groupBy("k").agg(F.min("at").alias("first"), F.min("tokens").alias("tokens")), "line-sets")
+    lines = _lines(docs.select(F.col(doc_id).alias("_id"), F.xxhash64(doc_id, text).alias("_key"), F.col(text).alias("_text")))
+    classes = materialise(lines.groupBy("k", "k2").agg(F.min(F.struct("at", "line")).alias("x"), F.count(F.lit(1)).alias("copies"))
+                          .select("k", "k2", F.col("x.at").alias("first"), "copies", "x.line"), "line-classes")
+    # Equal lines: all but the first line of each class go.
+    firsts = classes.where("copies > 1").select("k", "k2", "first")
+    repeats = lines.select("at", "k", "k2").join(firsts, ["k", "k2"]).where(F.col("at") > F.col("first")).select("at")
+    levels = _levels(classes).scalar()
+    ranked = classes.select("k", line_tokens("line").alias("tokens"), levels.alias("levels"))
+    ranked = ranked.select("k", _by_rarity(F.col("tokens"), F.col("levels")).alias("ranked"))
+    pairs = materialise(_candidates(ranked, similarity), "line-candidates")
+    live = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
+    sets = materialise(classes.join(live, "k", "left_semi").select("k", "first", line_tokens("line").alias("tokens")), "line-sets")
     both = (pairs.join(sets.select(F.col("k").alias("a"), F.col("first").alias("fa"), F.col("tokens").alias("ta")), "a")
             .join(sets.select(F.col("k").alias("b"), F.col("first").alias("fb"), F.col("tokens").alias("tb")), "b"))
     common = F.size(F.array_intersect("ta", "tb"))
