@@ -25,7 +25,14 @@ Signatures travel as packed blocks, a copy met before in a task is not signed
 again, and a signature that no other class has ends in the task that sorts it.
 Only components are asked for, so not every pair of a bucket is verified: first
 each class with the smallest class it shares a bucket with; then, only in
-buckets that still hold several components, the pairs across components.
+buckets that still hold several components, the pairs across components. Such a
+bucket is split into blocks of about ``BLOCK`` classes, and a pair of blocks is
+what a task holds.
+
+Every set has a sketch: its shingles are thrown into cells, a bit for each cell
+tells whether their number is odd. Two sets differ in at least as many shingles
+as their sketches in bits, so pairs whose sketches differ in more than a link
+may are settled by counting bits. Only the others become rows and are verified.
 
 Null text is empty. Rows that repeat an id are documents of their own. A null id
 takes part; a component's id is its smallest id that is not null. An empty table
@@ -42,7 +49,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, materialise, ship
+from .common import materialise, ship
 from .components import connected_components
 
 N = 4
@@ -52,6 +59,9 @@ COMMON = 0.1
 FLUSH = 500_000
 GROUPS_PER_PARTITION = 8
 GROUP_CHARS = 1 << 20
+BLOCK = 1_024
+#: Fewest cells of a sketch; sets of more shingles have as many cells as shingles, or up to twice as many.
+CELLS = 1_024
 
 _M = np.uint64(0xFF51AFD7ED558CCD)
 _K = np.uint64(0x9E3779B97F4A7C15)
@@ -91,6 +101,28 @@ def set_name(s: np.ndarray) -> int:
     return int(mixed(total).view(np.int64)[0])
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Parity of the number of a set's shingles in each cell, 64 cells a word."""
+    cells = CELLS
+    while cells < len(s):
+        cells *= 2
+    with np.errstate(over="ignore"):
+        place = (mixed(s ^ _K) % np.uint64(cells)).astype(np.int64)
+    odd = (np.bincount(place, minlength=cells) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.uint64)
+
+
+def folded(x: np.ndarray, words: int) -> np.ndarray:
+    """The sketch of the same set with fewer cells (cells are numbered by a remainder)."""
+    return x if len(x) == words else np.bitwise_xor.reduce(x.reshape(-1, words), axis=0)
+
+
+def may_link(n: int, x: np.ndarray, m: np.ndarray, y: np.ndarray, similarity: int) -> np.ndarray:
+    """Whether a set of ``n`` shingles and sketch ``x`` may link with those of ``m`` shingles and sketches ``y``."""
+    differ = np.bitwise_count(y ^ x).sum(axis=1, dtype=np.int64)
+    return differ * (100 + similarity) <= (n + m) * (100 - similarity)
+
+
 def band_tops(largest: int, similarity: int) -> list[int]:
     """Upper sizes of the bands up to one that holds ``largest``, and one more."""
     tops = [1]
@@ -102,8 +134,9 @@ def band_tops(largest: int, similarity: int) -> list[int]:
 class Plan:
     """How the sets of each band are signed."""
 
-    def __init__(self, counts: dict[int, int], similarity: int):
-        self.tops = np.array(band_tops(max(counts, default=1), similarity))
+    def __init__(self, counts: dict[int, int], largest: int, similarity: int):
+        """``counts``: documents of each size, about; no set has more than ``largest`` shingles."""
+        self.tops = np.array(band_tops(max(largest, *counts, 1), similarity))
         sizes = np.array(sorted(counts), dtype=np.int64)
         held = np.zeros(len(self.tops) + 1)
         np.add.at(held, np.searchsorted(self.tops, sizes), [counts[int(s)] for s in sizes])
@@ -159,7 +192,7 @@ def _packets(groups: int, sigs: list, names: list, bands: list) -> Iterator[dict
     name, band = np.array(names, dtype=np.int64)[owner], np.array(bands, dtype=np.uint8)[owner]
     edges = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
     for lo, hi in zip(edges, [*edges[1:], len(group)]):
-        yield {"p": int(group[lo]), "kind": 1, "ids": None,
+        yield {"p": int(group[lo]), "kind": 1, "ids": None, "sketches": None,
                "data": s[lo:hi].tobytes() + name[lo:hi].tobytes() + band[lo:hi].tobytes()}
 
 
@@ -171,18 +204,22 @@ def _unpacked(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _rows(records: list[dict], columns: list[str]) -> pd.DataFrame:
-    kinds = {"ids": object, "data": object, "members": object, "doc": "Int64", "name": "Int64", "n": "Int64", "key": "Int64"}
+    kinds = {"ids": object, "data": object, "sketch": object, "sketches": object, "members": object, "bucket": "Int64",
+             "head": "Int64", "doc": "Int64", "name": "Int64", "n": "Int64", "key": "Int64"}
     return pd.DataFrame({c: pd.Series([r[c] for r in records], dtype=kinds.get(c, "int64")) for c in columns})
 
 
 def _buckets(docs: DataFrame, n: int, similarity: int) -> DataFrame:
     """kind 0: a row for each document; kind 1: classes that share a signature."""
     spark = docs.sparkSession
-    words = F.regexp_count(F.coalesce("t", F.lit("")), F.lit(WORD_PATTERN))
-    # Sizes in steps that are finer than the bands: a few hundred rows, whatever the corpus.
-    step = F.floor(F.log(F.greatest(words - (n - 1), F.lit(1)).cast("double")) * 50)
-    found = docs.groupBy(step.alias("s")).agg(F.max(words - (n - 1)).alias("top"), F.count(F.lit(1)).alias("n")).collect()
-    plan = Plan({max(1, r["top"]): r["n"] for r in found}, similarity)
+    # Sizes by the number of spaces, for the costs alone, in steps that are finer than the bands: a few hundred rows,
+    # whatever the corpus.
+    size = F.octet_length("t") - F.octet_length(F.replace("t", F.lit(" "))) + 2 - n
+    step = F.floor(F.log(F.greatest(size, F.lit(1)).cast("double")) * 50)
+    found = (docs.groupBy(step.alias("s")).agg(F.max(size).alias("top"), F.count(F.lit(1)).alias("n"),
+                                               F.max(F.octet_length("t")).alias("bytes")).collect())
+    largest = max((r["bytes"] or 0 for r in found), default=0) // 2 + 1
+    plan = Plan({max(1, r["top"] or 0): r["n"] for r in found}, largest, similarity)
     groups = GROUPS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -216,17 +253,18 @@ def _buckets(docs: DataFrame, n: int, similarity: int) -> DataFrame:
                     out += _packets(groups, sigs, owners, sizes)
                 turn += 1
                 out.append({"p": turn * 7919 % groups, "kind": 0, "ids": ids[lo:hi],
+                            "sketches": [sketch(s).tobytes() for s in sets],
                             "data": np.array([[a, len(s), k] for a, s, k in zip(names, sets, keys[lo:hi])],
                                              dtype=np.int64).tobytes()})
-                yield _rows(out, ["p", "kind", "ids", "data"])
+                yield _rows(out, ["p", "kind", "ids", "data", "sketches"])
                 lo = hi
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
         out = []
         for r in group[group["kind"] == 0].itertuples():
             data = np.frombuffer(r.data, np.int64).reshape(-1, 3)
-            out += [{"kind": 0, "doc": None if i is None or i != i else int(i), "name": a, "n": k, "key": t, "members": None}
-                    for i, (a, k, t) in zip(r.ids, data.tolist())]
+            out += [{"kind": 0, "doc": None if i is None or i != i else int(i), "name": a, "n": k, "key": t, "sketch": x, "bucket": None,
+                     "head": None, "members": None} for i, (a, k, t), x in zip(r.ids, data.tolist(), r.sketches)]
         blocks = group.loc[group["kind"] == 1, "data"]
         if len(blocks):
             sig, name, band = _unpacked(list(blocks))
@@ -236,21 +274,86 @@ def _buckets(docs: DataFrame, n: int, similarity: int) -> DataFrame:
             sig, name, band = sig[fresh], name[fresh], band[fresh].astype(np.int64)
             edges = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
             ends = np.append(edges[1:], len(sig))
-            seen: set[bytes] = set()
+            bare = dict.fromkeys(("doc", "name", "n", "key", "sketch"))
+            seen: set[int] = set()
             for lo, hi in zip(*(x[ends - edges > 1].tolist() for x in (edges, ends))):
                 # Without two bands near enough for a link the classes met by chance.
-                if (np.diff(np.sort(band[lo:hi])) <= 1).any() and (key := name[lo:hi].tobytes()) not in seen:
-                    seen.add(key)
-                    out.append({"kind": 1, "doc": None, "name": None, "n": None, "key": None, "members": name[lo:hi].tolist()})
-        return _rows(out, ["kind", "doc", "name", "n", "key", "members"])
+                if (np.diff(np.sort(band[lo:hi])) <= 1).any() and (bucket := set_name(name[lo:hi].view(np.uint64))) not in seen:
+                    seen.add(bucket)
+                    out += [{"kind": 1, **bare, "bucket": bucket, "head": int(name[lo]),
+                             "members": name[at:min(at + BLOCK, hi)].tolist()} for at in range(lo, hi, BLOCK)]
+        return _rows(out, ["kind", "doc", "name", "n", "key", "sketch", "bucket", "head", "members"])
 
-    packets = docs.mapInPandas(signed, "p int, kind int, ids array<bigint>, data binary")
+    packets = docs.mapInPandas(signed, "p int, kind int, ids array<bigint>, data binary, sketches array<binary>")
     return materialise(packets.groupBy("p").applyInPandas(
-        meet, "kind int, doc bigint, name bigint, n bigint, key bigint, members array<bigint>"), "ngram-buckets")
+        meet, "kind int, doc bigint, name bigint, n bigint, key bigint, sketch binary, bucket bigint, head bigint, members array<bigint>"),
+        "ngram-buckets")
+
+
+def _likely(pairs: DataFrame, sized: DataFrame, similarity: int, name: str) -> DataFrame:
+    """The pairs (a, b) whose sizes and sketches leave a link possible."""
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            keep = []
+            for n, m, x, y in zip(b["n"], b["m"], b["x"], b["y"]):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                words = min(len(x), len(y))
+                keep.append(min(n, m) * 100 >= max(n, m) * similarity and bool(
+                    may_link(n, folded(x, words), np.array([m]), folded(y, words)[None, :], similarity)[0]))
+            yield b.loc[keep, ["a", "b"]]
+
+    both = (pairs.join(sized.select(F.col("name").alias("a"), "n", F.col("sketch").alias("x")), "a")
+            .join(sized.select(F.col("name").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y")), "b"))
+    return materialise(both.select("a", "b", "n", "m", "x", "y").mapInPandas(check, "a bigint, b bigint"), name)
+
+
+def _across(placed: DataFrame, similarity: int, name: str) -> DataFrame:
+    """Pairs (a, b) of classes of different components that share a bucket and may link.
 
+    ``placed`` has (bucket, name, n, sketch, part). Buckets with several components are split into blocks by a hash of
+    the class; a task holds pairs of blocks.
+    """
+    spark = placed.sparkSession
+    several = (placed.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi"),
+                                            F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+               .where("lo <> hi").select("bucket", "blocks"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    blocks = (placed.join(several, "bucket").withColumn("own", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
+              .withColumn("other", other).withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")))
+    groups = GROUPS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: int, name: str) -> DataFrame:
+    def meet(group: pd.DataFrame) -> pd.DataFrame:
+        found: set[tuple[int, int]] = set()
+        group = group.sort_values(["bucket", "i", "j", "n", "name"], ignore_index=True)
+        names, sizes, parts, own = (group[c].to_numpy() for c in ("name", "n", "part", "own"))
+        keys = group[["bucket", "i", "j"]].to_numpy()
+        edges = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1))) if len(keys) else []
+        for lo, hi in zip(edges, [*edges[1:], len(group)]):
+            if (parts[lo:hi] == parts[lo]).all():
+                continue
+            name, n, part, side = names[lo:hi], sizes[lo:hi], parts[lo:hi], own[lo:hi]
+            two = keys[lo, 1] != keys[lo, 2]
+            raw = [np.frombuffer(x, np.uint64) for x in group["sketch"].iloc[lo:hi]]
+            words = min(map(len, raw))
+            sk = np.stack([folded(x, words) for x in raw])
+            top = np.searchsorted(n, n * 100 // similarity, side="right")  # sizes near enough
+            for x in range(len(n) - 1):
+                y = np.arange(x + 1, top[x])
+                y = y[(part[y] != part[x]) & ((side[y] != side[x]) if two else True)]
+                if len(y):
+                    y = y[may_link(n[x], sk[x], n[y], sk[y], similarity)]
+                    found.update((max(name[x], z), min(name[x], z)) for z in name[y].tolist())
+        return pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")
+
+    columns = ["bucket", "i", "j", "own", "name", "n", "part", "sketch"]
+    spread = F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(groups)).cast("int").alias("p")
+    return materialise(blocks.select(spread, *columns).groupBy("p").applyInPandas(meet, "a bigint, b bigint").distinct(), name)
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, named: DataFrame, n: int, similarity: int, name: str) -> DataFrame:
     """The pairs (a, b) whose sets link."""
+    sets = _sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct(), named, n)
+
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             keep = []
@@ -294,39 +397,21 @@ def join_components(docs: DataFrame, n: int = N, similarity: int = SIMILARITY, d
     docs = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("t"),
                        F.xxhash64(text).alias("key"))
     found = _buckets(docs, n, similarity)
-    named = found.where("kind = 0").select("doc", "name", "n", "key")
-    buckets = found.where("kind = 1").select("members").distinct()
+    named = found.where("kind = 0").select("doc", "name", "n", "key", "sketch")
+    buckets = materialise(found.where("kind = 1").select("bucket", "head", "members").distinct(), "ngram-members")
+    placed = buckets.select("bucket", "head", F.explode("members").alias("name"))
     # First: each class with the smallest class that it meets.
-    first = (buckets.select(F.explode("members").alias("a"), F.col("members")[0].alias("b"))
-             .groupBy("a").agg(F.min("b").alias("b")).where("a <> b"))
-    first = materialise(first, "ngram-first")
-    met = buckets.select(F.explode("members").alias("name")).distinct()
-    sets = _sets(docs, met, named, n)
-    links = _verified(first, sets, similarity, "ngram-links-1")
+    first = placed.groupBy("name").agg(F.min("head").alias("b")).select(F.col("name").alias("a"), "b").where("a <> b")
+    sized = materialise(named.join(placed.select("name").distinct(), "name", "left_semi").groupBy("name")
+                        .agg(F.max("n").alias("n"), F.first("sketch").alias("sketch")), "ngram-sized")
+    first = _likely(first, sized, similarity, "ngram-first")
+    links = _verified(first, docs, named, n, similarity, "ngram-links-1")
     parts = materialise(connected_components(links, "ngram-1"), "ngram-parts-1")
     # Then: pairs across components, in buckets that hold several.
-    sized = materialise(named.groupBy("name").agg(F.max("n").alias("n")).join(met, "name", "left_semi")
-                        .join(parts.withColumnRenamed("node", "name"), "name", "left")
-                        .select("name", "n", F.coalesce("component", "name").alias("part")), "ngram-sized")
-    placed = (buckets.select(F.xxhash64("members").alias("bucket"), F.explode("members").alias("name")).join(sized, "name"))
-    several = placed.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi")
-    open_ = (placed.join(several.select("bucket"), "bucket", "left_semi").groupBy("bucket")
-             .agg(F.sort_array(F.collect_list(F.struct("n", "name", "part"))).alias("m"))
-             .select(*[F.transform("m", lambda x: x[c]).alias(c) for c in ("n", "name", "part")]))
-
-    def across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for n_, name, part in zip(b["n"], b["name"], b["part"]):
-                top = np.searchsorted(n_, n_ * 100 // similarity, side="right")  # sizes near enough
-                for i in range(len(name) - 1):
-                    j = np.arange(i + 1, top[i])
-                    j = j[part[j] != part[i]]
-                    if len(j):
-                        yield pd.DataFrame({"a": np.maximum(name[i], name[j]), "b": np.minimum(name[i], name[j])})
-
-    second = (open_.mapInPandas(across, "a bigint, b bigint").distinct()
-              .join(first, ["a", "b"], "left_anti"))
-    more = _verified(second, sets, similarity, "ngram-links-2")
+    parted = sized.join(parts.withColumnRenamed("node", "name"), "name", "left").select(
+        "name", "n", "sketch", F.coalesce("component", "name").alias("part"))
+    second = _across(placed.select("bucket", "name").join(parted, "name"), similarity, "ngram-second")
+    more = _verified(second.join(first, ["a", "b"], "left_anti"), docs, named, n, similarity, "ngram-links-2")
     parts = materialise(connected_components(links.union(more), "ngram-2"), "ngram-parts-2")
     classes = (named.where("n > 0").groupBy("name").agg(F.min("doc").alias("low"))
                .join(parts.withColumnRenamed("node", "name"), "name", "left")
