@@ -20,11 +20,11 @@ def ship(spark: SparkSession) -> None:
     ensure_package_on_workers(spark)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the cluster's shared folder and read it back: the lineage
     ends at files that every executor sees and that outlive a lost executor."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

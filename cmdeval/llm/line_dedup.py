@@ -13,10 +13,12 @@ words always stay. All other lines stay as they are, in order.
 * Tokens are ordered by rarity: counts over all classes, kept for ``BUCKETS``
   hash buckets (a fixed size that one array holds), on a logarithmic scale, ties
   by the token's hash. The array is a scalar subquery: not a part of the plan.
-* Prefix filter: similar classes share two of their ``size - ceil(t * size) + 2``
-  rarest tokens, or one where one is overlap enough. Length filter: sizes within
-  the similarity. Positional filter: at the first two common tokens, enough
-  tokens must be left on both sides.
+* Prefix filter: similar classes share one of their ``size - ceil(t * size) + 1``
+  rarest tokens. Length filter: sizes within the similarity. Positional filter:
+  from the first common token on, enough tokens must be left on both sides.
+* Each posting carries 64 bits, the parities of the class's tokens in 64 cells.
+  Two sets differ in at least as many tokens as these in bits, which settles most
+  pairs inside the join, before they become rows.
 * Candidates are verified on the full token sets.
 
 Documents with equal id and text are one document and end alike. Null text
@@ -72,21 +74,19 @@ def _by_rarity(tokens: Column, levels: Column) -> Column:
 
 
 def _candidates(classes: DataFrame, similarity: int) -> DataFrame:
-    """Pairs (a, b) of classes that pass the prefix, length and positional filters."""
+    """Pairs (a, b) of classes that pass the prefix, length, positional and parity filters."""
     # Never null, or the join would ask that of the whole expression and rank every line twice.
     size = F.coalesce(F.size("ranked"), F.lit(0))
-    prefix = F.least(size, size - F.ceil(size * similarity / 100).cast("int") + 2)
-    tokens = classes.select("k", size.alias("n"), F.posexplode(F.slice("ranked", F.lit(1), prefix)).alias("i", "t"))
+    prefix = size - F.ceil(size * similarity / 100).cast("int") + 1
+    tokens = classes.select("k", size.alias("n"), "parity", F.posexplode(F.slice("ranked", F.lit(1), prefix)).alias("i", "t"))
     a, b = tokens.alias("a"), tokens.alias("b")
     an, bn, ai, bi = (F.col(c) for c in ("a.n", "b.n", "a.i", "b.i"))
     near = (an * 100 >= bn * similarity) & (bn * 100 >= an * similarity)
-    left = F.least(an - ai, bn - bi) + 1  # this token and what follows it, and one before it
-    room = left * (100 + similarity) >= similarity * (an + bn)
-    return a.join(b, (F.col("a.t") == F.col("b.t")) & (F.col("a.k") < F.col("b.k")) & near & room).select(
-        F.col("a.k").alias("a"), F.col("b.k").alias("b"), an.alias("an"), bn.alias("bn")).groupBy("a", "b").agg(
-        F.count(F.lit(1)).alias("common"), F.max("an").alias("an"), F.max("bn").alias("bn")).where(
-        # Two common tokens, but where one is overlap enough.
-        (F.col("common") > 1) | ((F.col("an") + F.col("bn")) * similarity <= 100 + similarity)).select("a", "b")
+    room = F.least(an - ai, bn - bi) * (100 + similarity) >= similarity * (an + bn)
+    differ = F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity")))
+    few = differ * (100 + similarity) <= (100 - similarity) * (an + bn)
+    return (a.join(b, (F.col("a.t") == F.col("b.t")) & (F.col("a.k") < F.col("b.k")) & near & room & few)
+            .select(F.col("a.k").alias("a"), F.col("b.k").alias("b")).distinct())
 
 
 #: Columns that stand beside those of the documents on the way.
@@ -100,13 +100,16 @@ def dedup_lines(docs: DataFrame, similarity: int = SIMILARITY, doc_id: str = "do
              .withColumn("_lines", F.split(text, "\n")))
     lines = _lines(docs.select(F.col(doc_id).alias("_id"), F.xxhash64(doc_id, text).alias("_key"), F.col(text).alias("_text")))
     classes = materialise(lines.groupBy("k", "k2").agg(F.min(F.struct("at", "line")).alias("x"), F.count(F.lit(1)).alias("copies"))
-                          .select("k", "k2", F.col("x.at").alias("first"), "copies", "x.line"), "line-classes")
+                          .select("k", "k2", F.col("x.at").alias("first"), "copies", "x.line"), "line-classes", "zstd")
     # Equal lines: all but the first line of each class go.
     firsts = classes.where("copies > 1").select("k", "k2", "first")
     repeats = lines.select("at", "k", "k2").join(firsts, ["k", "k2"]).where(F.col("at") > F.col("first")).select("at")
     levels = _levels(classes).scalar()
+    # The subquery's column is used once, so the plan takes it into the expression and no row carries the array.
     ranked = classes.select("k", line_tokens("line").alias("tokens"), levels.alias("levels"))
     ranked = ranked.select("k", _by_rarity(F.col("tokens"), F.col("levels")).alias("ranked"))
+    parity = F.expr("coalesce(aggregate(ranked, 0L, (x, t) -> x ^ shiftleft(1L, cast(t & 63 AS int))), 0L)")
+    ranked = ranked.withColumn("parity", parity)
     pairs = materialise(_candidates(ranked, similarity), "line-candidates")
     live = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
     sets = materialise(classes.join(live, "k", "left_semi").select("k", "first", line_tokens("line").alias("tokens")), "line-sets")
