@@ -1,31 +1,34 @@
 """Operator 2: toxicity from the nearest labelled examples.
 
-Examples: up to ``EXAMPLES`` labelled documents of each class, those with the
-smallest hash; equal texts count once. Terms: all words of the examples.
-Document frequencies of the terms come from all documents. A text is its vector
-of ``(1 + log tf) * idf * t`` over the terms, where ``t`` is 1 plus the square of
-the term's two-proportion z times its log odds between the classes of examples:
-no term is left out, and those that tell the classes apart weigh more. Words that no example holds have no
-part in a cosine's numerator and none in the length of a vector.
+Examples: up to ``EXAMPLES`` labelled documents of each class with at most
+``EXAMPLE_CHARS`` characters, those with the smallest hash; equal texts count
+once. Terms: all words of the examples. Document frequencies of the terms come
+from all documents. A text is its vector of ``(1 + log tf) * idf * t`` over all its
+words. ``t`` is 1 for a term that doesn't tell the classes apart; beyond
+``MIN_Z`` standard errors it grows with the excess times the term's log odds.
+A word that no example holds weighs as a word of one document with ``t`` 1: it
+adds to the length of a text, so the cosines are those of whole texts.
 
 Search: exact cosine against the examples, by an inverted index with block
-maxima. The examples lie in blocks of ``BLOCK``; postings are sparse, and for each
-term and block that has any the largest weight bounds what the block can score. The blocks with the best bounds
-are scored first; of the others, those whose bound is below the
-``NEIGHBOURS``-th best score so far are skipped, so no neighbour is lost.
+maxima. The examples lie in blocks of ``BLOCK``. The lists of rare terms are
+read in full. A term that ``1 / COMMON`` of the examples hold has a column over all of
+them and its largest weight in each block: with these maxima an example's score
+has an upper bound. The blocks with the best bounds are scored first; of all
+others only the examples whose bound reaches the ``NEIGHBOURS``-th best score,
+so no neighbour is lost.
 
 Score: neighbours vote with their cosine as weight; the vote becomes a
-probability by a logistic fit on the examples' own leave-one-out votes, weighted
-to the share of toxic labels among all labelled rows. A text without a
-neighbour (empty, null or without a word of any example) gets the rate of such
-texts. ``evidence`` names up to three nearest examples with their cosines.
+probability by a logistic fit on the examples' own leave-one-out votes, taken in
+tasks and weighted to the share of toxic labels among all labelled rows. A text
+without a neighbour (empty, null or without a word of any example) gets the rate
+of such texts. ``evidence`` names up to three nearest examples with their cosines.
 
 Labels of rows whose ``crc32(doc_id) mod 3`` is 1 are never read, nor are lang,
-source and doc_id inputs of a score. Labels that repeat: the larger counts;
-null labels are left out. Without labels of both classes every score is the
-share of toxic labels (0 without labels). An empty table gives an empty table.
-All columns of the documents pass; score, predicted and evidence are replaced
-where they exist.
+source and doc_id inputs of a score. A null id is not held out. Labels that
+repeat: the larger counts; null labels are left out. Without examples of both
+classes every score is the share of toxic labels (0 without labels). An empty
+table gives an empty table. All columns of the documents pass; score, predicted
+and evidence are replaced where they exist.
 """
 
 from __future__ import annotations
@@ -37,15 +40,20 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import apart, materialise, ship
 
 EXAMPLES = 4_096
+#: Longer texts are scored, but no examples: with EXAMPLES this bounds what the driver and each task hold.
+EXAMPLE_CHARS = 16_384
 NEIGHBOURS = 20
 BLOCK = 64
 FIRST_BLOCKS = 4
+COMMON = 8
+MIN_Z = 3.0
 CACHE_ENTRIES = 500_000
 THRESHOLD = 0.7
 SHOWN = 3
@@ -56,7 +64,8 @@ _EDGE = ".,;:!?\"'()[]{}<>|*_-"
 
 
 def held_out(doc_id: Column | str) -> Column:
-    return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % 3 == 1
+    column = F.col(doc_id) if isinstance(doc_id, str) else doc_id
+    return F.coalesce(F.crc32(column.cast("string")) % 3 == 1, F.lit(False))
 
 
 def terms_of(text: str | None) -> Counter:
@@ -65,7 +74,7 @@ def terms_of(text: str | None) -> Counter:
 
 
 class RawTerms(dict):
-    """Word as it stands in a text -> number of its term, or -1; remembers what it has met."""
+    """Word as it stands in a text -> number of its term, -1 for an unknown word, -2 for none; remembers what it has met."""
 
     def __init__(self, number: dict[str, int]):
         self.number = number
@@ -73,15 +82,18 @@ class RawTerms(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= CACHE_ENTRIES:
             self.clear()
-        i = self[word] = self.number.get(word.strip(_EDGE), -1)
+        term = word.strip(_EDGE)
+        i = self[word] = self.number.get(term, -1 if term else -2)
         return i
 
-    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of the terms in a text, and how often each is there."""
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[int]]:
+        """Numbers of the terms in a text, how often each is there, and how often each unknown word."""
         words = text.lower().split() if text else []
-        ids, n = np.unique(np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words)), return_counts=True)
+        every = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
+        ids, n = np.unique(every, return_counts=True)
         known = ids >= 0
-        return ids[known], n[known]
+        unknown = Counter(words[i].strip(_EDGE) for i in np.flatnonzero(every == -1))
+        return ids[known], n[known], list(unknown.values())
 
 
 def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -91,13 +103,14 @@ def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Block-max inverted index of the examples: sparse postings by term, block and example."""
+    """Inverted index of the examples: lists of rare terms, columns and block maxima of common ones."""
 
-    def __init__(self, terms: list[str], weight_of: np.ndarray, docs: np.ndarray, toxic: np.ndarray,
-                 rows: np.ndarray, ids: np.ndarray, counts: np.ndarray):
-        """``weight_of``: a factor for each term; ``rows``, ``ids``, ``counts``: example, term and frequency of each posting."""
+    def __init__(self, terms: list[str], weight_of: np.ndarray, unknown: float, docs: np.ndarray, keys: np.ndarray,
+                 toxic: np.ndarray, rows: np.ndarray, ids: np.ndarray, counts: np.ndarray):
+        """``weight_of``: a factor for each term; ``unknown``: that of words outside; ``keys``: hashes of the examples' texts;
+        ``rows``, ``ids``, ``counts``: example, term and frequency of each posting."""
         self.number = {t: i for i, t in enumerate(terms)}
-        self.weight_of = weight_of
+        self.weight_of, self.unknown = weight_of, unknown
         w = (1 + np.log(counts)) * weight_of[ids]
         rows, ids, w = rows[w > 0], ids[w > 0], w[w > 0]
         w = w / np.sqrt(np.bincount(rows, w * w, minlength=len(docs)))[rows]
@@ -111,78 +124,76 @@ class Index:
         place = np.full(len(docs), -1, dtype=np.int64)
         place[order] = np.arange(len(order))
         self.docs, self.toxic = docs[order], toxic[order].astype(np.float64)
+        self.place_of = dict(zip(keys[order].tolist(), range(len(order))))
         rows = place[rows]
         by = np.lexsort((rows, ids))
-        self.place, self.weight, ids = rows[by].astype(np.int32), w[by], ids[by]
-        # An entry for each term and block: its postings from ``start``, its largest weight ``top``.
-        block = self.place // BLOCK
-        self.n_blocks = -(-len(order) // BLOCK)
-        begins = np.flatnonzero((np.diff(ids, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0))
-        self.start, self.block = np.append(begins, len(ids)), block[begins]
-        self.top = np.maximum.reduceat(self.weight, begins) if len(begins) else np.zeros(0)
-        self.first = np.searchsorted(ids[begins], np.arange(len(terms) + 1))
-        by = np.argsort(self.place, kind="stable")  # the postings of each example
-        self.own = np.split(by, np.searchsorted(self.place[by], np.arange(1, len(order))))
-        self.own = [(ids[x], self.weight[x]) for x in self.own] if len(order) else []
+        rows, ids, w = rows[by], ids[by], w[by]
+        held = np.bincount(ids, minlength=len(terms))
+        often = held * COMMON >= len(order) if len(order) else held > 0
+        self.column = np.where(often, np.cumsum(often) - 1, -1)  # of each common term
+        common = often[ids]
+        self.dense = np.zeros((len(order), int(often.sum())))
+        self.dense[rows[common], self.column[ids[common]]] = w[common]
+        self.starts = np.arange(0, len(order), BLOCK)
+        self.block = np.arange(len(order)) // BLOCK
+        self.top = np.maximum.reduceat(self.dense, self.starts) if len(order) else self.dense
+        self.place, self.weight = rows[~common].astype(np.int32), w[~common]
+        self.first = np.searchsorted(ids[~common], np.arange(len(terms) + 1))
         self.raw = RawTerms(self.number)
         self.slope, self.offset, self.none = 1.0, 0.0, 0.0
 
-    def weigh(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    @property
+    def own(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Terms and weights of each example."""
+        rare = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
+        common = np.flatnonzero(self.column >= 0)
+        return [(np.append(rare[self.place == j], common[self.dense[j] > 0]),
+                 np.append(self.weight[self.place == j], self.dense[j][self.dense[j] > 0])) for j in range(len(self.docs))]
+
+    def weigh(self, ids: np.ndarray, counts: np.ndarray, unknown: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and weights of a text of length 1; ``unknown``: how often it has each word outside the terms."""
         w = (1 + np.log(counts)) * self.weight_of[ids]
         keep = w > 0
         ids, w = ids[keep], w[keep]
-        return ids, w / math.sqrt((w * w).sum()) if len(w) else w
+        outside = (self.unknown * (1 + np.log(unknown))) if unknown else np.zeros(0)
+        return ids, w / math.sqrt((w * w).sum() + (outside * outside).sum()) if len(w) else w
 
     def nearest(self, ids: np.ndarray, w: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the nearest examples, nearest first; only those above zero."""
-        places, scores = np.zeros(0, dtype=np.int64), np.zeros(0)
         if not len(ids) or not len(self.docs):
-            return places, scores
-        entries = self.first[ids + 1] - self.first[ids]
-        at, by = spans(self.first[ids], entries), np.repeat(w, entries)
-        block = self.block[at]
-        bound = np.bincount(block, by * self.top[at], minlength=self.n_blocks)
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        # The most promising blocks first; then, at once, all whose bound reaches the worst score kept.
-        for blocks in (order[:FIRST_BLOCKS], order[FIRST_BLOCKS:]):
-            if len(scores) == NEIGHBOURS:
-                blocks = blocks[bound[blocks] + 1e-12 >= scores[-1]]
-            if not len(blocks):
-                break
-            chosen = np.zeros(self.n_blocks, dtype=bool)
-            chosen[blocks] = True
-            hit = np.flatnonzero(chosen[block])
-            sizes = self.start[at[hit] + 1] - self.start[at[hit]]
-            post = spans(self.start[at[hit]], sizes)
-            got = np.bincount(self.place[post], np.repeat(by[hit], sizes) * self.weight[post], minlength=len(self.docs))
-            if skip >= 0:
-                got[skip] = 0.0
-            good = np.flatnonzero(got > 0)
-            places, scores = np.concatenate([places, good]), np.concatenate([scores, got[good]])
-            if len(scores) > NEIGHBOURS:
-                worst = np.partition(scores, len(scores) - NEIGHBOURS)[len(scores) - NEIGHBOURS]
-                near = scores >= worst
-                places, scores = places[near], scores[near]
-            best = np.lexsort((self.docs[places], -scores))[:NEIGHBOURS]
-            places, scores = places[best], scores[best]
-        return places, scores
+            return np.zeros(0, dtype=np.int64), np.zeros(0)
+        column = self.column[ids]
+        common = np.zeros(self.dense.shape[1])
+        common[column[column >= 0]] = w[column >= 0]
+        starts = self.first[ids]
+        sizes = self.first[ids + 1] - starts  # none for common terms
+        post = spans(starts, sizes)
+        got = np.bincount(self.place[post], np.repeat(w, sizes) * self.weight[post], minlength=len(self.docs))
+        bound = got + (self.top @ common)[self.block]
+        if skip >= 0:
+            bound[skip] = -1.0
+        # The most promising blocks first; then, at once, all examples whose bound reaches the worst score kept.
+        blocks = np.argsort(-np.maximum.reduceat(bound, self.starts), kind="stable")[:FIRST_BLOCKS]
+        some = np.flatnonzero(np.isin(self.block, blocks))
+        some = some[bound[some] > 0]
+        scores = got[some] + self.dense[some] @ common
+        scores = scores[scores > 0]
+        worst = np.partition(scores, len(scores) - NEIGHBOURS)[len(scores) - NEIGHBOURS] if len(scores) >= NEIGHBOURS else 0.0
+        places = np.flatnonzero((bound > 0) & (bound + 1e-12 >= worst))
+        scores = got[places] + self.dense[places] @ common
+        good = (scores > 0) & (scores + 1e-12 >= worst)
+        places, scores = places[good], scores[good]
+        best = np.lexsort((self.docs[places], -scores))[:NEIGHBOURS]
+        return places[best], scores[best]
 
     def vote(self, places: np.ndarray, scores: np.ndarray) -> float:
         """Log odds of the distance-weighted vote."""
         yes = (scores * self.toxic[places]).sum()
         return math.log((yes + 0.05) / (scores.sum() - yes + 0.05))
 
-    def calibrate(self, share: float, n0: int, n1: int) -> None:
-        """Fit the logistic curve to leave-one-out votes. ``share``: of toxic labels among all;
-        ``n0``, ``n1``: examples of each class, those without a vector included."""
-        votes, toxic = [], []
-        for j in range(len(self.docs)):
-            places, scores = self.nearest(*self.own[j], skip=j)
-            if len(places):
-                votes.append(self.vote(places, scores))
-                toxic.append(self.toxic[j])
-        x, y = np.array(votes), np.array(toxic)
+    def calibrate(self, x: np.ndarray, y: np.ndarray, share: float, n0: int, n1: int) -> None:
+        """Fit the logistic curve to leave-one-out votes ``x`` of examples of class ``y``. ``share``: of toxic labels among
+        all; ``n0``, ``n1``: examples of each class, those without a vector included."""
         if not 0 < y.sum() < len(y):
             return
         weight = np.where(y == 1, share / n1, (1 - share) / n0) * (n0 + n1)
@@ -197,32 +208,33 @@ class Index:
                 break
         self.slope, self.offset = float(a), float(b)
 
-    def score(self, text: str | None) -> tuple[float, list[int], list[float]]:
+    def judge(self, text: str | None) -> tuple[float | None, list[int], list[float]]:
+        """The vote on a text (None: no neighbour), the nearest examples and their cosines."""
         places, scores = self.nearest(*self.weigh(*self.raw.counts(text)))
         if not len(places):
-            return self.none, [], []
-        z = self.slope * self.vote(places, scores) + self.offset
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), self.docs[places[:SHOWN]].tolist(), scores[:SHOWN].tolist()
+            return None, [], []
+        return self.vote(places, scores), self.docs[places[:SHOWN]].tolist(), scores[:SHOWN].tolist()
 
 
-def _words_udf():
-    @F.pandas_udf("array<struct<term: string, n: int>>")
-    def words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([[{"term": t, "n": n} for t, n in terms_of(x).items() if t] for x in texts])
-    return words
+def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        bags = [[(t, n) for t, n in terms_of(x).items() if t] for x in b["t"]]
+        yield pd.DataFrame({"k": np.repeat(b["k"].to_numpy(), [len(x) for x in bags]),
+                            "term": pd.Series([t for x in bags for t, _ in x], dtype=object),
+                            "n": np.array([n for x in bags for _, n in x], dtype=np.int32)})
 
 
 def telling(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
     """How much more a term weighs that ``a`` of ``n1`` toxic and ``b`` of ``n0`` other examples hold; 1 at least."""
     rate = (a + b) / (n0 + n1)
     z = np.abs(a / n1 - b / n0) / np.sqrt(rate * (1 - rate) * (1 / n1 + 1 / n0) + 1e-12)
-    return 1 + (z * np.log((a + 0.5) / (n1 + 1) / ((b + 0.5) / (n0 + 1)))) ** 2
+    return 1 + np.maximum(z - MIN_Z, 0) * np.abs(np.log((a + 0.5) / (n1 + 1) / ((b + 0.5) / (n0 + 1))))
 
 
-def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Index:
-    """The index and its calibration, from the labels that may be learned from."""
-    ship(docs.sparkSession)
+def _fitted(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str) -> tuple[Index, Broadcast]:
+    """The calibrated index, and its broadcast from before the calibration."""
+    spark = docs.sparkSession
+    ship(spark)
     known = (labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("toxic"))
              .where("id IS NOT NULL AND toxic IS NOT NULL").where(~held_out("id"))
              .groupBy("id").agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic")))
@@ -230,32 +242,33 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     n, toxic = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     share = toxic / n if n else 0.0
     none = np.zeros(0, dtype=np.int64)
-    nothing = Index([], np.zeros(0), none, none, none, none, none)
+    nothing = Index([], np.zeros(0), 0.0, none, none, none, none, none, none)
     nothing.none = share
     if not 0 < toxic < n:
-        return nothing
+        return nothing, spark.sparkContext.broadcast(nothing)
     hashed = F.xxhash64("id")
-    chosen = [known.where(F.col("toxic") == c).orderBy(hashed, "id").limit(EXAMPLES) for c in (0, 1)]
+    short = (docs.where(F.length(text) <= EXAMPLE_CHARS).select(F.col(doc_id).alias("id")).distinct()
+             .join(known, "id"))
+    short = materialise(short, "tox-candidates")
+    chosen = [short.where(F.col("toxic") == c).orderBy(hashed, "id").limit(EXAMPLES) for c in (0, 1)]
     # At most 2 * EXAMPLES ids: small enough to send to every task.
-    picked = (docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t"))
+    picked = (docs.where(F.length(text) <= EXAMPLE_CHARS).select(F.col(doc_id).alias("id"), F.col(text).alias("t"))
               .join(F.broadcast(chosen[0].union(chosen[1])), "id"))
     bags = materialise(picked.groupBy(F.xxhash64("t").alias("k")).agg(F.min(F.struct("id", "toxic", "t")).alias("x"))
-                       .select("k", "x.id", "x.toxic", _words_udf()("x.t").alias("bag")), "tox-examples")
-    examples = bags.select("k", "id", "toxic").orderBy("id", "k").toArrow()  # 2 * EXAMPLES rows at most
-    ids, toxics = (examples[c].to_numpy().astype(np.int64) for c in ("id", "toxic"))
+                       .select("k", "x.id", "x.toxic", "x.t"), "tox-examples")
+    examples = bags.select("k", "id", "toxic").orderBy("id", "k").toArrow()  # 2 * EXAMPLES rows, more where ids repeat
+    keys, ids, toxics = (examples[c].to_numpy().astype(np.int64) for c in ("k", "id", "toxic"))
     n0, n1 = int((toxics == 0).sum()), int((toxics == 1).sum())
-    if not n0 or not n1:
-        return nothing
     # The words of the examples, and nothing that grows with the table.
-    words = bags.select("k", F.explode("bag").alias("b")).select("k", "b.term", "b.n").toArrow()
+    words = bags.select("k", "t").mapInPandas(_words, "k bigint, term string, n int").toArrow()
     coded = pa.concat_arrays(words["term"].chunks or [pa.array([], pa.string())]).dictionary_encode()
     met = coded.dictionary.to_pylist()
     terms = sorted(met)
-    if not terms:
-        return nothing
+    if not n0 or not n1 or not terms:
+        return nothing, spark.sparkContext.broadcast(nothing)
     number = {t: i for i, t in enumerate(terms)}
-    by_key = np.argsort(examples["k"].to_numpy())
-    rows = by_key[np.searchsorted(examples["k"].to_numpy()[by_key], words["k"].to_numpy())]
+    by_key = np.argsort(keys)
+    rows = by_key[np.searchsorted(keys[by_key], words["k"].to_numpy())]
     places = np.array([number[t] for t in met])[coded.indices.to_numpy()]
     # Documents that hold each term, over the whole table: a count for each term and task.
 
@@ -275,32 +288,55 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     df[found["term"].to_numpy()] = found["n"].to_numpy()
     idf = np.log((1 + df[-1]) / (1 + df[:-1]))
     a, m = np.bincount(places, toxics[rows], minlength=len(terms)), np.bincount(places, minlength=len(terms))
-    index = Index(terms, idf * telling(a, m - a, n1, n0), ids, toxics, rows, places,
+    index = Index(terms, idf * telling(a, m - a, n1, n0), math.log((1 + df[-1]) / 2), ids, keys, toxics, rows, places,
                   words["n"].to_numpy().astype(np.float64))
-    index.calibrate(share, n0, n1)
+    shared = spark.sparkContext.broadcast(index)  # bounded by the examples
+
+    def left_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ix = shared.value
+        for b in batches:
+            got = []
+            for k, toxic, t in zip(b["k"], b["toxic"], b["t"]):
+                if k in ix.place_of:
+                    places, scores = ix.nearest(*ix.weigh(*ix.raw.counts(t)), skip=ix.place_of[k])
+                    if len(places):
+                        got.append((ix.vote(places, scores), toxic))
+            yield pd.DataFrame(got, columns=["vote", "toxic"])
+
+    spread = bags.select("k", "toxic", "t").repartition(max(1, spark.sparkContext.defaultParallelism), "k")
+    votes = spread.mapInPandas(left_out, "vote double, toxic int").orderBy("vote", "toxic").toArrow()  # a row an example
+    index.calibrate(votes["vote"].to_numpy(), votes["toxic"].to_numpy().astype(np.float64), share, n0, n1)
     # Rate of toxic rows among examples without a vector.
     bare1 = n1 - int(index.toxic.sum())
     bare0 = n0 - (len(index.docs) - int(index.toxic.sum()))
     yes, no = bare1 / n1 * share, bare0 / n0 * (1 - share)
     index.none = yes / (yes + no) if yes + no else share
-    return index
+    return index, shared
+
+
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Index:
+    """The index and its calibration, from the labels that may be learned from."""
+    return _fitted(docs, labels, doc_id, text, label)[0]
 
 
 def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
           threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with score, predicted and evidence."""
-    spark = docs.sparkSession
-    index = spark.sparkContext.broadcast(fit(docs, labels, doc_id, text, label))  # bounded by the examples' words
+    index, shared = _fitted(docs, labels, doc_id, text, label)
 
-    @F.pandas_udf("struct<score: double, ids: array<bigint>, cosines: array<double>>")
+    @F.pandas_udf("struct<vote: double, ids: array<bigint>, cosines: array<double>>")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            got = [index.value.score(t) for t in texts]
-            yield pd.DataFrame({"score": [g[0] for g in got], "ids": [g[1] for g in got], "cosines": [g[2] for g in got]})
+            got = [shared.value.judge(t) for t in texts]
+            yield pd.DataFrame({"vote": pd.Series([g[0] for g in got], dtype="float64"),
+                                "ids": [g[1] for g in got], "cosines": [g[2] for g in got]})
 
     docs, back = apart(docs, "_j")
     judged = docs.withColumn("_j", judge(F.col(text)))
-    return (judged.withColumn("score", F.col("_j.score"))
-            .withColumn("predicted", (F.col("_j.score") >= threshold).cast("int"))
+    log_odds = F.lit(index.slope) * F.col("_j.vote") + F.lit(index.offset)
+    curve = F.when(F.size("_j.ids") == 0, F.lit(index.none)).otherwise(
+        1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), log_odds)))))
+    return (judged.withColumn("score", curve)
+            .withColumn("predicted", (F.col("score") >= threshold).cast("int"))
             .withColumn("evidence", F.arrays_zip(F.col("_j.ids").alias("doc_id"), F.col("_j.cosines").alias("cosine")))
             .drop("_j").withColumnsRenamed(back))
