@@ -12,10 +12,10 @@ adds to the length of a text, so the cosines are those of whole texts.
 Search: exact cosine against the examples, by an inverted index with block
 maxima. The examples lie in blocks of ``BLOCK``. The lists of rare terms are
 read in full. A term that ``1 / COMMON`` of the examples hold has a column over all of
-them and its largest weight in each block: with these maxima an example's score
-has an upper bound. The blocks with the best bounds are scored first; of all
-others only the examples whose bound reaches the ``NEIGHBOURS``-th best score,
-so no neighbour is lost.
+them and its largest weight in each block: by these maxima, or by the lengths of
+both texts' common parts where that is less, an example's score has an upper
+bound. The examples with the best bounds are scored first; of all others only
+those whose bound reaches the ``NEIGHBOURS``-th best score, so no neighbour is lost.
 
 Score: neighbours vote with their cosine as weight; the vote becomes a
 probability by a logistic fit on the examples' own leave-one-out votes, taken in
@@ -51,7 +51,9 @@ EXAMPLES = 4_096
 EXAMPLE_CHARS = 16_384
 NEIGHBOURS = 20
 BLOCK = 64
-FIRST_BLOCKS = 4
+#: As many examples as these blocks hold are scored first, those with the best bounds.
+FIRST_BLOCKS = 1
+#: A term that one in COMMON examples holds has a column instead of a list.
 COMMON = 8
 MIN_Z = 3.0
 CACHE_ENTRIES = 500_000
@@ -134,10 +136,10 @@ class Index:
         common = often[ids]
         self.dense = np.zeros((len(order), int(often.sum())))
         self.dense[rows[common], self.column[ids[common]]] = w[common]
-        self.starts = np.arange(0, len(order), BLOCK)
         self.block = np.arange(len(order)) // BLOCK
-        self.top = np.maximum.reduceat(self.dense, self.starts) if len(order) else self.dense
-        self.place, self.weight = rows[~common].astype(np.int32), w[~common]
+        self.top = np.maximum.reduceat(self.dense, np.arange(0, len(order), BLOCK)) if len(order) else self.dense
+        self.length = np.sqrt(np.einsum("ij,ij->i", self.dense, self.dense))  # of each example's common part
+        self.place, self.weight = rows[~common], w[~common]
         self.first = np.searchsorted(ids[~common], np.arange(len(terms) + 1))
         self.raw = RawTerms(self.number)
         self.slope, self.offset, self.none = 1.0, 0.0, 0.0
@@ -169,18 +171,20 @@ class Index:
         sizes = self.first[ids + 1] - starts  # none for common terms
         post = spans(starts, sizes)
         got = np.bincount(self.place[post], np.repeat(w, sizes) * self.weight[post], minlength=len(self.docs))
-        bound = got + (self.top @ common)[self.block]
+        # einsum, not @: a task has one core, and BLAS would start threads.
+        tops = np.einsum("ij,j->i", self.top, common)[self.block]
+        bound = got + np.minimum(tops, self.length * (math.sqrt((common * common).sum()) * (1 + 1e-12)))
         if skip >= 0:
             bound[skip] = -1.0
-        # The most promising blocks first; then, at once, all examples whose bound reaches the worst score kept.
-        blocks = np.argsort(-np.maximum.reduceat(bound, self.starts), kind="stable")[:FIRST_BLOCKS]
-        some = np.flatnonzero(np.isin(self.block, blocks))
+        # The most promising examples first; then, at once, all whose bound reaches the worst score kept.
+        first = FIRST_BLOCKS * BLOCK
+        some = np.argpartition(-bound, first)[:first] if first < len(bound) else np.arange(len(bound))
         some = some[bound[some] > 0]
-        scores = got[some] + self.dense[some] @ common
+        scores = got[some] + np.einsum("ij,j->i", self.dense[some], common)
         scores = scores[scores > 0]
         worst = np.partition(scores, len(scores) - NEIGHBOURS)[len(scores) - NEIGHBOURS] if len(scores) >= NEIGHBOURS else 0.0
         places = np.flatnonzero((bound > 0) & (bound + 1e-12 >= worst))
-        scores = got[places] + self.dense[places] @ common
+        scores = got[places] + np.einsum("ij,j->i", self.dense[places], common)
         good = (scores > 0) & (scores + 1e-12 >= worst)
         places, scores = places[good], scores[good]
         best = np.lexsort((self.docs[places], -scores))[:NEIGHBOURS]
@@ -304,7 +308,8 @@ def _fitted(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: s
             yield pd.DataFrame(got, columns=["vote", "toxic"])
 
     spread = bags.select("k", "toxic", "t").repartition(max(1, spark.sparkContext.defaultParallelism), "k")
-    votes = spread.mapInPandas(left_out, "vote double, toxic int").orderBy("vote", "toxic").toArrow()  # a row an example
+    votes = spread.mapInPandas(left_out, "vote double, toxic int").toArrow()  # a row an example
+    votes = votes.sort_by([("vote", "ascending"), ("toxic", "ascending")])
     index.calibrate(votes["vote"].to_numpy(), votes["toxic"].to_numpy().astype(np.float64), share, n0, n1)
     # Rate of toxic rows among examples without a vector.
     bare1 = n1 - int(index.toxic.sum())
