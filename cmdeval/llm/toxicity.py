@@ -88,10 +88,18 @@ class RawTerms(dict):
         i = self[word] = self.number.get(term, -1 if term else -2)
         return i
 
+    def numbers(self, text: str | None) -> tuple[list[str], np.ndarray]:
+        words = text.lower().split() if text else []
+        return words, np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
+
+    def terms(self, text: str | None) -> np.ndarray:
+        """Numbers of the terms in a text."""
+        ids = np.unique(self.numbers(text)[1])
+        return ids[ids >= 0]
+
     def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[int]]:
         """Numbers of the terms in a text, how often each is there, and how often each unknown word."""
-        words = text.lower().split() if text else []
-        every = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
+        words, every = self.numbers(text)
         ids, n = np.unique(every, return_counts=True)
         known = ids >= 0
         unknown = Counter(words[i].strip(_EDGE) for i in np.flatnonzero(every == -1))
@@ -281,7 +289,7 @@ def _fitted(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: s
         for b in batches:
             for t in b["t"]:
                 total += 1
-                counts[raw.counts(t)[0]] += 1
+                counts[raw.terms(t)] += 1
         counts[-1] = total
         some = np.flatnonzero(counts)
         yield pd.DataFrame({"term": some, "n": counts[some]})
