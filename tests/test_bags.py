@@ -89,3 +89,24 @@ def test_syntax_worker_holds_few_commands():
     out = list(syntax._check_batches(iter([batch]), 2.0, 4))
     assert max(b.num_rows for b in out) <= syntax.SLICE_COMMANDS < 600
     assert [ok for b in out for ok in b.column(1).to_pylist()] == [i % 5 > 0 for i in range(600)]
+
+
+def test_tokens_are_cut_from_bytes_as_the_pattern_cuts_them():
+    rnd = random.Random(7)
+    pool = list("aZ_9 \t\n.-;é日😀") + ["\x1c", "\x85", "\xa0", "　", "½", "́", "\x00", "𝒜", "\U0010ffff", "ª"]
+    for k in range(300):
+        rows = [rnd.choice([None, "", "".join(rnd.choices(pool if k % 3 else pool[:11], k=rnd.choice([1, 3, 40])))])
+                for _ in range(rnd.randint(0, 7))]
+        cut = pa.array(["x", *rows, "y"], pa.large_string() if k % 2 else pa.string()).slice(1, len(rows))
+        found, sizes = bags._tokens(cut)
+        want = [re.findall(TOKEN_PATTERN_PYTHON, t or "") for t in rows]
+        assert found.to_pylist() == [w for x in want for w in x] and sizes.tolist() == [len(x) for x in want]
+
+
+def test_texts_are_lower_cased_once(spark):
+    rows = [(1, "\t ΑΣ \n", "ας"), (2, " İx", "i̇X "), (3, None, ""), (4, "a", None), (5, "　B", "b")]
+    df = spark.createDataFrame(rows, ROWS)
+    scored = scoring.score_pairs(df, batches=True)
+    assert [r.em for r in scored.orderBy("id").collect()] == [r.em for r in scoring.score_pairs(df).orderBy("id").collect()]
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lower(") == 2
