@@ -25,9 +25,11 @@ Signatures travel as packed blocks, a copy met before in a task is not signed
 again, and a signature that no other class has ends in the task that sorts it.
 Only components are asked for, so not every pair of a bucket is verified: first
 each class with the smallest class it shares a bucket with; then, only in
-buckets that still hold several components, the pairs across components. Such a
-bucket is split into blocks of about ``BLOCK`` classes, and a pair of blocks is
-what a task holds.
+buckets that still hold several components, each class with one class of each of
+the ``FEW`` smallest other components it meets there, again while that finds
+links, ``ROUNDS`` times at most; at last all pairs across the components that
+are left. Such a bucket is split into blocks of about ``BLOCK`` classes, and a
+pair of blocks is what a task holds.
 
 Every set has a sketch: its shingles are thrown into cells, a bit for each cell
 tells whether their number is odd. Two sets differ in at least as many shingles
@@ -60,6 +62,7 @@ FLUSH = 500_000
 GROUPS_PER_PARTITION = 8
 GROUP_CHARS = 1 << 20
 BLOCK = 1_024
+FEW, ROUNDS = 2, 4
 #: Fewest cells of a sketch; sets of more shingles have as many cells as shingles, or up to twice as many.
 CELLS = 1_024
 
@@ -307,9 +310,10 @@ def _likely(pairs: DataFrame, sized: DataFrame, similarity: int, name: str) -> D
     return materialise(both.select("a", "b", "n", "m", "x", "y").mapInPandas(check, "a bigint, b bigint"), name)
 
 
-def _across(placed: DataFrame, similarity: int, name: str) -> DataFrame:
+def _across(placed: DataFrame, similarity: int, name: str, few: int | None = None) -> DataFrame:
     """Pairs (a, b) of classes of different components that share a bucket and may link.
 
+    With ``few``, of those of a class in a pair of blocks one for each of the ``few`` smallest components.
     ``placed`` has (bucket, name, n, sketch, part). Buckets with several components are split into blocks by a hash of
     the class; a task holds pairs of blocks.
     """
@@ -342,6 +346,8 @@ def _across(placed: DataFrame, similarity: int, name: str) -> DataFrame:
                 y = y[(part[y] != part[x]) & ((side[y] != side[x]) if two else True)]
                 if len(y):
                     y = y[may_link(n[x], sk[x], n[y], sk[y], similarity)]
+                    if few:
+                        y = y[np.unique(part[y], return_index=True)[1][:few]]
                     found.update((max(name[x], z), min(name[x], z)) for z in name[y].tolist())
         return pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")
 
@@ -407,12 +413,23 @@ def join_components(docs: DataFrame, n: int = N, similarity: int = SIMILARITY, d
     first = _likely(first, sized, similarity, "ngram-first")
     links = _verified(first, docs, named, n, similarity, "ngram-links-1")
     parts = materialise(connected_components(links, "ngram-1"), "ngram-parts-1")
-    # Then: pairs across components, in buckets that hold several.
-    parted = sized.join(parts.withColumnRenamed("node", "name"), "name", "left").select(
-        "name", "n", "sketch", F.coalesce("component", "name").alias("part"))
-    second = _across(placed.select("bucket", "name").join(parted, "name"), similarity, "ngram-second")
-    more = _verified(second.join(first, ["a", "b"], "left_anti"), docs, named, n, similarity, "ngram-links-2")
-    parts = materialise(connected_components(links.union(more), "ngram-2"), "ngram-parts-2")
+    # Then: pairs across components, in buckets that hold several; few of a class while they bring links, then all.
+    tried, few, k = first, FEW, 1
+    while True:
+        parted = sized.join(parts.withColumnRenamed("node", "name"), "name", "left").select(
+            "name", "n", "sketch", F.coalesce("component", "name").alias("part"))
+        across = _across(placed.select("bucket", "name").join(parted, "name"), similarity, f"ngram-across-{k}", few)
+        k += 1
+        fresh = _verified(across.join(tried, ["a", "b"], "left_anti"), docs, named, n, similarity, f"ngram-links-{k}")
+        none = fresh.isEmpty()
+        if not none:
+            links = links.union(fresh)
+            parts = materialise(connected_components(links, f"ngram-{k}"), f"ngram-parts-{k}")
+        if few is None:
+            break
+        tried = tried.union(across)
+        if none or k > ROUNDS:
+            few = None
     classes = (named.where("n > 0").groupBy("name").agg(F.min("doc").alias("low"))
                .join(parts.withColumnRenamed("node", "name"), "name", "left")
                .withColumn("component", F.coalesce("component", "name")))

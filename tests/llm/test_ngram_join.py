@@ -59,3 +59,27 @@ def test_sketches_never_hide_a_link():
             assert may or 100 * common < 85 * (len(a) + len(b) - common)
     far = ngram_join.sketch(np.arange(500, dtype=np.uint64)), ngram_join.sketch(np.arange(9000, 9500, dtype=np.uint64))
     assert not ngram_join.may_link(500, far[0], np.array([500]), far[1][None, :], 85)[0]
+
+
+def test_pairs_across_components_grow_with_the_classes(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(120):  # each links with many of the others, not with all
+        w = list(base)
+        for k in rng.integers(0, len(w), size=8):
+            w[k] = f"z{rng.integers(10 ** 6)}"
+        rows.append((i, " ".join(w)))
+    made = {}
+    real = ngram_join.materialise
+
+    def counted(df, name, *rest):
+        out = real(df, name, *rest)
+        made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join, "materialise", counted)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.join_components(df).collect()]
+    assert sorted(got) == sorted(components(rows))
+    assert all(n <= ngram_join.FEW * len(rows) for name, n in made.items() if "across" in name or "second" in name), made
