@@ -62,7 +62,7 @@ FLUSH = 500_000
 GROUPS_PER_PARTITION = 8
 GROUP_CHARS = 1 << 20
 BLOCK = 1_024
-FEW, ROUNDS = 2, 4
+FEW, ROUNDS = 2, 2
 #: Fewest cells of a sketch; sets of more shingles have as many cells as shingles, or up to twice as many.
 CELLS = 1_024
 
