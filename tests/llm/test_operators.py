@@ -2,6 +2,7 @@
 
 import itertools
 import re
+import time
 import zlib
 
 import numpy as np
@@ -119,6 +120,43 @@ def test_line_dedup_by_brute_force(spark):
     assert line_dedup.dedup_lines(empty(spark)).count() == 0
 
 
+def test_line_dedup_leaves_no_shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffle_files() -> set[str]:
+        files = blocks.getAllFiles()
+        return {n for i in range(files.size()) if (n := files.apply(i).getName()).startswith("shuffle_")}
+    kept, before = shuffle_files(), spark.conf.get(line_dedup.CLEANUP, None)
+    rows = [(i, f"one line of {i} words\none line of {i // 2} words here\nthe same") for i in range(40)]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    for _ in range(100):  # files go a little later
+        if not (left := shuffle_files() - kept):
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(line_dedup.CLEANUP, None) == before
+    assert out.count() == 40
+
+
+def test_line_dedup_ranks_lines_once(spark):
+    ranked = spark.createDataFrame([(1, [1, 2, 3], 1, 1), (2, [1, 2, 4], 1, 1)], "k bigint, ranked array<bigint>, parity bigint, parity2 bigint")
+    joined = line_dedup._candidates(ranked, 50)
+    assert [tuple(r) for r in joined.collect()] == [(1, 2)]
+    assert "ReusedExchange" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_repair_words_part_from_punctuation():
+    from tokenizers import Tokenizer
+    path = repair_binary.tokenizer_path("word_bpe_49k.json")
+    own, lib = repair_binary.WordEncoder(path, 1), Tokenizer.from_file(path)
+    texts = ["An an!! (AN) an%%%\tan", "it's 'ts !!'s x'!y '1 'll", "", "a_b 12<3 <|endoftext|>", "ÉÀ, жЖ!!\x1c.. é"]
+    ids, sizes = own.encode(texts)
+    for text, got in zip(texts, np.split(ids, np.cumsum(sizes)[:-1])):
+        assert got.tolist() == [*lib.encode(text, add_special_tokens=False).ids, 1]
+    own = repair_binary.WordEncoder(path, 1)
+    own.encode(texts[:1])
+    assert set(own.known) == {"an", "!!", "(", ")", "%%%"}
+
+
 def test_snapshots_collapse_to_maximal_conversations(spark):
     rows = []
     for conv, turns in ((1, "abc"), (2, "ab"), (3, "abd"), (4, "abc"), (5, "x"), (6, "a" * 600), (7, "a" * 300)):
