@@ -44,6 +44,7 @@ from unicodedata import is_normalized, normalize
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -67,6 +68,16 @@ _COMMON = frozenset(string.ascii_letters + string.digits + " \t\r\n.," + "".join
 SHARD_SCHEMA = ("part int, shard int, part_start bigint, n_tokens bigint, first_rule bigint, rules binary, "
                 "lengths binary, symbols binary, doc_ids array<bigint>, doc_tokens array<bigint>")
 
+#: Characters that nothing composes with or takes apart: ASCII and letters of some scripts.
+_STABLE = frozenset([*map(chr, range(0x80)), *(c for c in map(chr, range(0xC0, 0x530)) if c.isalpha()
+                                               and len(c.lower()) == 1 and is_normalized("NFC", c))])
+#: What the tokenizer's pattern takes a byte of such a text for.
+_SPACE, _LETTER, _DIGIT, _MARK = range(4)
+_KINDS = np.full(256, _MARK, dtype=np.uint8)
+_KINDS[[0x20, *range(0x09, 0x0E)]] = _SPACE
+_KINDS[[*string.ascii_letters.encode(), *range(0x80, 0x100)]] = _LETTER
+_KINDS[[*string.digits.encode()]] = _DIGIT
+
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _WORDS = re.compile("[^ \n\t\r]+")
 #: Full stops or commas beside what the tokenizer's pattern takes for punctuation: the four separators, white space to
@@ -97,8 +108,10 @@ class WordEncoder:
 
     The tokenizer drops white space, so no token crosses it: each distinct word
     is encoded by the library once and remembered (``CACHE_ENTRIES`` at most).
-    ASCII capitals become small, as the tokenizer makes them, and full stops and
-    commas that touch no other punctuation stand alone, as its pattern has them.
+    ASCII capitals become small, as the tokenizer makes them. Texts of stable
+    characters are cut at once where letters, digits, punctuation and white space
+    meet, as its pattern has them; in others, full stops and commas that touch no
+    other punctuation stand alone.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -163,18 +176,49 @@ class WordEncoder:
         self.sizes[lo:lo + n], self.starts[lo:lo + n] = sizes, self.n_flat + places
         self.n_words, self.n_flat = lo + n, self.n_flat + len(ids)
 
+    def cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the words of texts of stable characters, and how many each text has."""
+        if not texts:
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        data = "\n".join([*texts, ""]).encode().lower()
+        raw = np.frombuffer(data, dtype=np.uint8)
+        kinds = _KINDS[raw]
+        meet = kinds[1:] != kinds[:-1]
+        # An apostrophe and letters after it may be one token.
+        meet &= (raw[:-1] != ord("'")) | (kinds[1:] != _LETTER)
+        starts = np.concatenate([[0], np.flatnonzero(meet) + 1])
+        offsets = np.append(starts, len(raw)).astype(np.int32)
+        coded = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
+        word = kinds[starts] != _SPACE
+        codes = coded.indices.to_numpy()[word]
+        used = np.zeros(len(coded.dictionary), dtype=bool)
+        used[codes] = True
+        numbers = np.zeros(len(used), dtype=np.int64)
+        numbers[used] = [self.known[w] for w, x in zip(coded.dictionary.to_numpy(zero_copy_only=False), used.tolist()) if x]
+        ends = np.cumsum(np.fromiter((len(t) if t.isascii() else len(t.encode()) for t in texts), dtype=np.int64, count=len(texts)) + 1)
+        return numbers[codes], np.diff(np.searchsorted(starts[word], ends), prepend=0)
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, end ids included, and the number of ids of each text."""
-        split = [self.split(t) for t in texts]
         if len(self.known) > CACHE_ENTRIES:
             self.reset()
-        counts = np.fromiter(map(len, split), dtype=np.int64, count=len(split)) + 1
+        # A special token begins with "<|".
+        stable = np.array([(t.isascii() or _STABLE.issuperset(t)) and "<|" not in t for t in texts], dtype=bool)
+        split = [self.split(t) for t, x in zip(texts, stable) if not x]
+        counts = np.zeros(len(texts), dtype=np.int64)
+        counts[~stable] = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+        numbers, counts[stable] = self.cut([t for t, x in zip(texts, stable) if x])
+        inner = np.repeat(stable, counts)  # of each word: whether its text is stable
+        both = np.empty(len(inner), dtype=np.int64)
+        both[inner] = numbers
+        both[~inner] = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), dtype=np.int64,
+                                   count=len(inner) - len(numbers))
+        counts += 1
         words = np.zeros(int(counts.sum()), dtype=np.int64)
         ends = np.cumsum(counts)
         inner = np.ones(len(words), dtype=bool)
         inner[ends - 1] = False
-        words[inner] = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), dtype=np.int64,
-                                   count=len(words) - len(split))
+        words[inner] = both
         if self.known.new:
             self.learn(self.known.new)
             self.known.new = []
@@ -200,7 +244,9 @@ def compress(ids: np.ndarray, min_count: int = MIN_COUNT) -> tuple[int, np.ndarr
         slots = (keys * np.int64(0x9E3779B97F4A7C1) >> 40) & SLOT_MASK
         thick = np.bincount(slots, minlength=SLOT_MASK + 1)[slots] >= min_count if len(keys) > SLOT_MASK >> 3 else slice(None)
         places, keys = places[thick], keys[thick]
-        pairs, which, counts = np.unique(keys, return_inverse=True, return_counts=True)
+        coded = pa.array(keys).dictionary_encode()
+        pairs, which = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+        counts = np.bincount(which, minlength=len(pairs))
         often = np.flatnonzero(counts >= min_count)
         if not len(often):
             break
