@@ -1,5 +1,7 @@
 import json
 import os
+import pathlib
+import random
 
 import pytest
 
@@ -100,6 +102,45 @@ def test_report_is_published_whole_or_not_at_all(spark, small, monkeypatch):
     assert s.count() == 4 and r.count() == 6 and report.read_models(spark, path).where("label = model").count() == 2
 
 
+def test_report_in_compressed_slices_holds_the_same_records(spark, small):
+    suite, resp = small
+    nowhere = spark.createDataFrame([("s1", None, "q4", "ls"), ("s1", None, "q5", None)], suite.schema)
+    res = evaluate.score(suite.unionByName(suite).unionByName(nowhere), resp, ["base", "tuned"])
+    plain, dealt = scratch_path(spark, "plain"), scratch_path(spark, "dealt")
+    report.write_json(res, plain)
+    out = report.write_json(res, dealt, compression="gzip", slices=3)
+    names = [f for _, _, fs in os.walk(out["results"].replace("file:", "")) for f in fs if f.startswith("part-")]
+    assert names and all(f.endswith(".json.gz") for f in names)
+    for was, now in zip(report.read_json_report(spark, plain), report.read_json_report(spark, dealt)):
+        assert sorted(map(repr, was.collect())) == sorted(map(repr, now.collect()))
+    assert report.read_json_report(spark, dealt)[1].count() == 16
+
+
+def shuffle_files(spark):
+    """Bytes of each of the session's shuffle files."""
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {p.name: p.stat().st_size for d in dirs for p in pathlib.Path(d.getPath()).rglob("shuffle_*.data")}
+
+
+@pytest.mark.parametrize("query", ["json_summary", "json_report", "json_models"])
+def test_report_takes_less_disk_than_its_texts(spark, tmp_path, query):
+    from cmdeval.plans import QUERIES, catalog
+    rnd = random.Random(3)
+    rows = [(i, " ".join(f"{rnd.randrange(10 ** 6)}" for _ in range(500))) for i in range(200)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    before = shuffle_files(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert QUERIES[query](spark, str(tmp_path)).count() == {"json_summary": 4, "json_report": 400, "json_models": 2}[query]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    folder = catalog._written_report(spark, str(tmp_path)).replace("file:", "")
+    held = sum(os.path.getsize(os.path.join(root, f)) for root, _, fs in os.walk(folder) for f in fs)
+    texts = sum(len(t) for _, t in rows)
+    assert held < 2 * texts  # of each model there is a text and three like it
+    assert sum(n for f, n in shuffle_files(spark).items() if f not in before) < texts / 10  # no texts among them
+
+
 def test_fixture_counts_calls_as_the_log_has_them(spark):
     """Missing and failed calls are errors; a failed call before an answer is not."""
     from cmdeval.plans import QUERIES
