@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 from cmdeval.constants import TOKEN_PATTERN_PYTHON
 from cmdeval.functions.text import tokens
 from cmdeval.operators import bags, evaluate, scoring, syntax
@@ -110,3 +111,38 @@ def test_texts_are_lower_cased_once(spark):
     assert [r.em for r in scored.orderBy("id").collect()] == [r.em for r in scoring.score_pairs(df).orderBy("id").collect()]
     plan = scored._jdf.queryExecution().executedPlan().toString()
     assert plan.count("lower(") == 2
+
+
+def test_counts_of_like_texts_stand_together():
+    """The models' answers to a sample and its reference hold the same grams: side by side these take less disk."""
+    rnd = random.Random(11)
+    words = ["".join(rnd.choices("abcdefghijklmnop", k=7)) for _ in range(3000)]
+    rows = []
+    for i in range(12):
+        gold = rnd.choices(words, k=700)
+        rows += [("base", i, " ".join(gold[:500]), " ".join(gold)), ("tuned", i, " ".join(["so"] + gold), " ".join(gold))]
+    batch = pa.RecordBatch.from_pylist([dict(zip(("model", "id", "p", "g"), r)) for r in rows])
+    found = pa.Table.from_batches(bags.counter(["model", "id"], {"p": "pred", "g": "gold"})(iter([batch])))
+    assert Counter(found["gram"].to_pylist()) == Counter(g for *_, p, q in rows for t in (p, q) for n in range(1, 5) for g in grams(t, n))
+
+    def held(table):
+        sink = pa.BufferOutputStream()
+        pq.write_table(table, sink, compression="snappy", use_dictionary=["model", "side", "id", "n"])
+        return sink.getvalue().size
+    apart = found.sort_by([("side", "descending"), ("n", "ascending"), ("id", "ascending"), ("model", "ascending")])
+    assert held(found) < 0.75 * held(apart)
+
+
+def test_counts_of_one_slice_in_small_batches(monkeypatch):
+    rows = [*texts()[:60], (60, "x y x", "x y x"), (60, "x y x", "x y x"), (61, None, None)]
+    batch = pa.RecordBatch.from_pylist([{"id": i, "p": p, "g": g} for i, p, g in rows],
+                                       pa.schema({"id": pa.int64(), "p": pa.string(), "g": pa.string()}))
+    want = Counter((i, side, n, g, c) for i, *both in rows for side, t in zip(("pred", "gold"), both)
+                   for n in range(1, 5) for g, c in grams(t, n).items())
+    for together, most in ((1 << 16, 1 << 18), (5, 1 << 18), (1 << 16, 7)):
+        monkeypatch.setattr(bags, "TOGETHER", together)
+        monkeypatch.setattr(bags, "BATCH_ROWS", most)
+        out = list(bags.counter(["id"], {"p": "pred", "g": "gold"})(iter([batch, batch.slice(62), batch.slice(0, 0)])))
+        assert max(b.num_rows for b in out) <= most
+        got = Counter(tuple(r.values()) for b in out for r in b.to_pylist())
+        assert got == want
