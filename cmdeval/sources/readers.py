@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..constants import COMMAND_ALIASES, INSTRUCTION_ALIASES
-from ..operators.ordering import numbered
+from ..operators.ordering import numbered, numbered_as_read
 from .schemas import (GPU_SAMPLE_SCHEMA, PAIR_SCHEMA, RESPONSE_SCHEMA, RUN_LOG_SCHEMA,
                       SUITE_SCHEMA)
 
@@ -114,23 +114,29 @@ def read_suite(spark: SparkSession, path: str, fmt: str | None = None, name: str
     fmt = _format_of(path, fmt)
     columns = [f for f in SUITE_SCHEMA.fields if not (positions and f.name == "id")]
     if fmt == "parquet":
-        df, block, at = spark.read.parquet(path), F.expr(f"_metadata.row_index div {NUMBER_ROWS}"), F.col("_metadata.row_index")
+        df = spark.read.parquet(path)
     else:
         reader = spark.read.schema(T.StructType(columns))
         if fmt == "csv":
             df = reader.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
         else:
             df = reader.json(path)
-        # Rows of one split are read by one task in their order.
-        block, at = F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
     have = {f.name: F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType) for f in columns}
     if name is not None:
         have["suite"] = F.lit(name)
     picked = [c.alias(n) for n, c in have.items()]
     if not positions:
         return df.select(*picked)
-    placed = df.select(*picked, F.col("_metadata.file_path").alias("_file"), block.alias("_block"), at.alias("_at"))
-    return numbered(placed, ["suite"], "_file", "_block", "_at", "id").select(*[f.name for f in SUITE_SCHEMA.fields])
+    picked.append(F.col("_metadata.file_path").alias("_file"))
+    if fmt == "parquet":
+        row = F.col("_metadata.row_index")
+        placed = df.select(*picked, F.expr(f"_metadata.row_index div {NUMBER_ROWS}").alias("_block"), row.alias("_at"))
+        found = numbered(placed, ["suite"], "_file", "_block", "_at", "id")
+    else:
+        # Rows of one split are read by one task in their order.
+        placed = df.select(*picked, F.col("_metadata.file_block_start").alias("_block"))
+        found = numbered_as_read(placed, ["suite"], "_file", "_block", "id")
+    return found.select(*[f.name for f in SUITE_SCHEMA.fields])
 
 
 def _recovered(line: str, name: str, pattern: str) -> Column:

@@ -1,7 +1,10 @@
 """Places in a global order and numbers inside a suite."""
 
 import json
+import os
+import random
 
+import pyarrow as pa
 import pytest
 
 from cmdeval.config import TrainConfig
@@ -9,6 +12,8 @@ from cmdeval.operators import evaluate, ordering, prep
 from cmdeval.session import scratch_path
 from cmdeval.sources import read_suite
 
+from test_evaluate_report import shuffle_files
+
 
 @pytest.fixture
 def many_ranges(spark):
@@ -69,3 +74,40 @@ def test_results_of_a_suite_without_ids(spark):
     got = {r.id: (r.gold, r.em, r.is_error) for r in evaluate.sample_results(evaluate.score(suite, calls, ["m"])).collect()}
     assert got == {1: ("ls", 0.0, True), 2: ("pwd", 1.0, False)}
     assert json.loads(suite.where("id = 1").toJSON().first())["nl"] == "q1"
+
+
+def test_counts_run_on_over_batches():
+    rows = [("a", 1), (None, 1), ("a", 1), ("a", 2), (None, None), (None, 1), ("a", 1), ("", 2), ("a", 2), (None, None)]
+    batches = [tuple(pa.array([r[i] for r in rows[a:b]], t) for i, t in enumerate((pa.string(), pa.int64())))
+               for a, b in ((0, 3), (3, 3), (3, 4), (4, 10))]
+    got = [x for out in ordering.running_counts(iter(batches)) for x in out.to_pylist()]
+    assert got == [rows[:i + 1].count(r) for i, r in enumerate(rows)]
+
+
+def documents(spark, folder):
+    rnd = random.Random(3)
+    rows = [(i, "\n".join(f"{rnd.randrange(10 ** 6)}" for _ in range(500))) for i in range(200)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    return rows
+
+
+@pytest.mark.parametrize("fmt", ["json", "csv"])
+def test_positions_take_no_text_across_the_network(spark, tmp_path, fmt):
+    texts = sum(len(t) for _, t in documents(spark, tmp_path))
+    path = scratch_path(spark, "no-texts")
+    writer = spark.read.parquet(f"{tmp_path}/documents.parquet").selectExpr("'s' AS suite", "text AS nl", "text AS gold").write
+    getattr(writer.option("header", True).option("escape", '"'), fmt)(path)
+    before = shuffle_files(spark)
+    assert sorted(r.id for r in read_suite(spark, path, fmt, positions=True).collect()) == list(range(1, 201))
+    assert sum(n for f, n in shuffle_files(spark).items() if f not in before) < texts / 10
+
+
+def test_suite_files_of_positional_results_are_compressed(spark, tmp_path, monkeypatch):
+    from cmdeval.plans import QUERIES, catalog
+    rows, paths = documents(spark, tmp_path), []
+    monkeypatch.setattr(catalog, "scratch_path", lambda *a: paths.append(scratch_path(*a)) or paths[-1])
+    got = QUERIES["positional_results"](spark, str(tmp_path)).collect()
+    want = {(m, f"suite_{'ab'[i % 2]}", i // 2 + 1, t) for i, t in rows for m in ("base", "tuned")}
+    assert {(r.model, r.suite, r.id, r.nl) for r in got} == want and len(got) == 400
+    folder = paths[0].replace("file:", "")
+    assert sum(os.path.getsize(f"{folder}/{f}") for f in os.listdir(folder)) < 1.5 * sum(len(t) for _, t in rows)  # twice and more as plain JSON
